@@ -65,7 +65,8 @@ def read_delimited(spark, path: str, schema: T.StructType, sep: str = FEED_SEPAR
 def protect(df: DataFrame, key: Column) -> DataFrame:
     """Each row as one line of encrypted text (AES-GCM with a fresh nonce per row)."""
     body = F.to_json(F.struct(*df.columns), _JSON_EXACT)
-    return df.select(F.base64(F.aes_encrypt(body.cast("binary"), key)).alias("value"))
+    coded = F.base64(F.aes_encrypt(body.cast("binary"), key))
+    return df.select(F.translate(coded, "\r\n", "").alias("value"))  # one line per row
 
 
 def unprotect(lines: DataFrame, key: Column, schema: T.StructType) -> DataFrame:

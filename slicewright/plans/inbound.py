@@ -128,9 +128,10 @@ def _close_run(spark: SparkSession, load: Load, verdicts: DataFrame) -> DataFram
 def _publish(staged: DataFrame, verdicts: DataFrame, load: Load) -> None:
     """Replace the target slices of the accepted files.  Staging is already sliced: no shuffle."""
     accepted = verdicts.where(F.col("check_status") == checks.OK)
-    slices = staged.join(accepted.select("file_name", "data_dt"), "file_name")
-    rows = with_lineage(slices, F.col("data_dt"), load.run_id, load.as_of)
-    write_slices(rows.drop("file_name", "data_dt"), load.target)
+    slices = accepted.select("file_name", F.col("data_dt").alias("_slice"))
+    rows = staged.join(slices, "file_name")
+    stamped = with_lineage(rows, F.col("_slice"), load.run_id, load.as_of)
+    write_slices(stamped.drop("file_name", "_slice"), load.target)
     # A slice announced and delivered empty has no rows to overwrite the old ones with.
     sizes = accepted.groupBy("data_dt").agg(F.sum("data_cnt").alias("n"))
     for empty in sizes.where(F.col("n") == 0).toLocalIterator():
