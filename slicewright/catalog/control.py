@@ -92,27 +92,27 @@ _TO_WINDOWS = ", ".join(
 # --- Spark pieces --------------------------------------------------------------
 
 
-def checked_requests(spark, sf_dir) -> DataFrame:
-    return requests.validate_requests(fx.derive(spark, sf_dir, "requests"))
-
-
 def newest_accepted(spark, sf_dir) -> DataFrame:
-    """The newest accepted request of each process."""
-    accepted = checked_requests(spark, sf_dir).where(F.col("error").isNull())
-    return latest_per_key(accepted, ["proc_name"], ["requested_at", "request_no"])
+    """The newest accepted request of each process, from a stored request table."""
+    stored = save(fx.derive(spark, sf_dir, "requests"), new_folder(spark, "requests"))
+    accepted = requests.validate_requests(stored).where(F.col("error").isNull())
+    needed = accepted.select(
+        "proc_name", "proc_run_id", "run_mode", "start_day", "end_day", "requested_at", "request_no"
+    )
+    return latest_per_key(needed, ["proc_name"], ["requested_at", "request_no"])
 
 
-def guarded_requests(spark, sf_dir) -> DataFrame:
+def guarded_requests(spark, sf_dir, status: DataFrame) -> DataFrame:
     return requests.guard_runs(
-        newest_accepted(spark, sf_dir), fx.config(spark, sf_dir), current_status(spark, sf_dir)
+        newest_accepted(spark, sf_dir), fx.config(spark, sf_dir), status
     )
 
 
-def run_windows(spark, sf_dir) -> DataFrame:
-    free = guarded_requests(spark, sf_dir).where(F.col("guard_error").isNull())
-    return windows.resolve_windows(
-        free, fx.config(spark, sf_dir), current_status(spark, sf_dir), fx.as_of()
-    )
+def run_windows(spark, sf_dir, status: DataFrame | None = None) -> DataFrame:
+    if status is None:
+        status = current_status(spark, sf_dir)
+    free = guarded_requests(spark, sf_dir, status).where(F.col("guard_error").isNull())
+    return windows.resolve_windows(free, fx.as_of())
 
 
 # --- queries -------------------------------------------------------------------
@@ -124,7 +124,8 @@ def run_windows(spark, sf_dir) -> DataFrame:
 SELECT proc_name, proc_run_id, run_mode, start_dt, end_dt, start_day, end_day, error FROM checked""",
 )
 def ctl_request_validate(spark, sf_dir) -> DataFrame:
-    return checked_requests(spark, sf_dir).drop("requested_at", "request_no")
+    checked = requests.validate_requests(fx.derive(spark, sf_dir, "requests"))
+    return checked.drop("requested_at", "request_no")
 
 
 @query(
@@ -165,7 +166,8 @@ def ctl_config_validate(spark, sf_dir) -> DataFrame:
     + " SELECT proc_name, proc_run_id, guard_error FROM guarded",
 )
 def ctl_run_guard(spark, sf_dir) -> DataFrame:
-    return guarded_requests(spark, sf_dir).select("proc_name", "proc_run_id", "guard_error")
+    guarded = guarded_requests(spark, sf_dir, current_status(spark, sf_dir))
+    return guarded.select("proc_name", "proc_run_id", "guard_error")
 
 
 @query(
@@ -215,7 +217,8 @@ SELECT coalesce(s.proc_name, w.proc_name) AS proc_name,
 FROM status s FULL JOIN windows w ON s.proc_name = w.proc_name""",
 )
 def ctl_status_start(spark, sf_dir) -> DataFrame:
-    started = progress.start_status(current_status(spark, sf_dir), run_windows(spark, sf_dir))
+    status = save(current_status(spark, sf_dir), new_folder(spark, "status"))
+    started = progress.start_status(status, run_windows(spark, sf_dir, status))
     return save(started, new_folder(spark, "status"))
 
 

@@ -25,7 +25,7 @@ def current_status(spark, sf_dir) -> DataFrame:
 @query(
     "jn_request_config",
     f"""{fx.ctes("config", "requests")}
-SELECT r.proc_name, r.proc_run_id, c.data_freq, c.run_period, c.data_back_day, c.notebook_path
+SELECT r.proc_name, r.proc_run_id, c.is_active, c.data_freq, c.run_period, c.data_back_day, c.notebook_path
 FROM requests r JOIN config c ON r.proc_name = c.proc_name WHERE c.is_active = 1""",
 )
 def jn_request_config(spark, sf_dir) -> DataFrame:

@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 # Every character that counts as blank at the ends of a parameter value.
 BLANKS = "".join(chr(code) for code in range(0x3001) if chr(code).isspace())
 
+# Finds a character that is none of BLANKS; stops at the first one.
+_SOLID = r"(?U)[^\s\x1c-\x1f]"
+
 # Fixed value: a log message keeps letters, digits, underscores, blanks and / : #
 MESSAGE_NOISE = r"(?U)[^\p{L}\p{N}_\s\x1c-\x1f/:#]"
 
@@ -19,7 +22,7 @@ def strip(text: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """True for NULL and for text made of blanks only."""
-    return text.isNull() | (strip(text) == "")
+    return text.isNull() | ~text.rlike(_SOLID)
 
 
 def blank_to_null(text: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from slicewright.functions import dates, text
 from slicewright.operators import predicates
+from slicewright.plans.windows import join_config, join_status
 from slicewright.schemas import DAILY, MONTHLY, NORMAL, RERUN, RUNNING
 
 
@@ -23,8 +24,9 @@ def validate_requests(requests: DataFrame) -> DataFrame:
     params = ["proc_name", "proc_run_id", "run_mode", "start_dt", "end_dt"]
     clean = requests.withColumns({p: text.blank_to_null(F.col(p)) for p in params})
     mode, start, end = F.col("run_mode"), F.col("start_dt"), F.col("end_dt")
+    typed = clean.withColumns({"start_day": dates.parse_iso(start), "end_day": dates.parse_iso(end)})
+    start_day, end_day = F.col("start_day"), F.col("end_day")
     rerun = mode.eqNullSafe(RERUN)
-    start_day, end_day = dates.parse_iso(start), dates.parse_iso(end)
     rules = [
         (rerun & (start.isNull() | end.isNull()), "a re-run needs both a start and an end date"),
         (start.isNotNull() & (~rerun | end.isNull()), "a start date needs mode R and an end date"),
@@ -34,9 +36,7 @@ def validate_requests(requests: DataFrame) -> DataFrame:
         (rerun & (end_day < start_day), "end date lies before start date"),
         (mode.isNotNull() & ~mode.isin(RERUN, NORMAL), "mode must be R, N or empty"),
     ]
-    return clean.withColumn("error", _first_failing(rules)).withColumns(
-        {"start_day": start_day, "end_day": end_day}
-    )
+    return typed.withColumn("error", _first_failing(rules))
 
 
 def validate_config(config: DataFrame) -> DataFrame:
@@ -63,14 +63,14 @@ def validate_config(config: DataFrame) -> DataFrame:
 
 
 def guard_runs(requests: DataFrame, config: DataFrame, status: DataFrame) -> DataFrame:
-    """Requests with a ``guard_error``: no active config, or the process is running already."""
-    known = config.where(predicates.active()).select("proc_name", F.lit(True).alias("_known"))
-    current = status.select("proc_name", F.col("proc_status").alias("_status"))
-    error = F.when(F.col("_known").isNull(), "process is unknown or not active").when(
-        F.col("_status") == RUNNING, "process is running already"
-    )
-    return (
-        requests.join(known, "proc_name", "left")
-        .join(current, "proc_name", "left")
-        .select(*requests.columns, error.alias("guard_error"))
+    """Requests with their config, last status and a ``guard_error``.
+
+    The error is NULL when the process may start: it has an active config and
+    is not running already.  Config and status are joined once, here; the run
+    window is then worked out row by row.
+    """
+    context = join_status(join_config(requests, config, how="left"), status)
+    error = F.when(F.col("is_active").isNull(), "process is unknown or not active").when(
+        F.col("last_proc_status") == RUNNING, "process is running already"
     )
+    return context.withColumn("guard_error", error)

@@ -10,10 +10,10 @@ from slicewright.operators import predicates
 from slicewright.schemas import DAILY, FAILED, MONTHLY, NORMAL, RUNNING
 
 
-def join_config(requests: DataFrame, config: DataFrame) -> DataFrame:
+def join_config(requests: DataFrame, config: DataFrame, how: str = "inner") -> DataFrame:
     """Requests with the active config of their process."""
-    fields = ["proc_name", "data_freq", "run_period", "data_back_day", "notebook_path"]
-    return requests.join(config.where(predicates.active()).select(*fields), "proc_name")
+    fields = ["proc_name", "is_active", "data_freq", "run_period", "data_back_day", "notebook_path"]
+    return requests.join(config.where(predicates.active()).select(*fields), "proc_name", how)
 
 
 def join_status(configured: DataFrame, status: DataFrame) -> DataFrame:
@@ -28,10 +28,8 @@ def _by_frequency(daily: Column, monthly: Column) -> Column:
     return F.when(freq == DAILY, daily).when(freq == MONTHLY, monthly)
 
 
-def resolve_windows(
-    requests: DataFrame, config: DataFrame, status: DataFrame, as_of: Column
-) -> DataFrame:
-    """Run window per accepted request (one request per process).
+def resolve_windows(context: DataFrame, as_of: Column) -> DataFrame:
+    """Run window per guarded request (see ``guard_runs``), one request per process.
 
     A failed process resumes where it stopped, whatever the request says.
     Otherwise the requested dates count, and missing ones follow from the
@@ -48,10 +46,11 @@ def resolve_windows(
         F.coalesce(ask_end, F.date_sub(today, back)),
         F.coalesce(F.last_day(ask_end), dates.month_end(today, -back)),
     )
-    rows = (
-        join_status(join_config(requests, config), status)
-        .withColumn("_resumed", resumed)
-        .withColumn("_end", F.when(resumed, F.col("last_end_dt")).otherwise(fresh_end))
+    rows = context.withColumns(
+        {
+            "_resumed": resumed,
+            "_end": F.when(resumed, F.col("last_end_dt")).otherwise(fresh_end),
+        }
     )
     fresh_start = _by_frequency(
         F.coalesce(ask_start, F.date_sub(F.col("_end"), span)),
