@@ -13,8 +13,16 @@ from slicewright.catalog.sinks import CHECK_KEY
 from slicewright.catalog.sources import land_epoch_events
 from slicewright.functions import dates, filenames
 from slicewright.operators import exports
-from slicewright.plans.inbound import Load, file_state, load_epoch_files, load_files
+from slicewright.operators.mutations import write_slices
+from slicewright.plans.inbound import (
+    Load,
+    file_state,
+    load_epoch_files,
+    load_files,
+    load_source,
+)
 from slicewright.plans.outbound import export_table
+from slicewright.sources.dispatch import SourceSpec
 from slicewright.storage import new_folder
 
 PROC = "INB_EVENTS"
@@ -154,3 +162,45 @@ def outbound_export(spark, sf_dir) -> DataFrame:
         key=key,
     )
     return exports.unprotect(spark.read.text(paths["protected"]), key, documents.schema)
+
+
+BUSINESS_DAY = date(1997, 12, 31)
+
+
+@query(
+    "inbound_load_business",
+    f"""
+SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, BUSINESSDAYDATE
+FROM (SELECT *, CAST(make_date(year(o_orderdate), 12, 31) AS DATE) AS BUSINESSDAYDATE FROM orders)
+WHERE BUSINESSDAYDATE <> DATE '{BUSINESS_DAY.isoformat()}'
+UNION ALL
+SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(12,2)) + 1 AS DECIMAL(12,2)), DATE '{BUSINESS_DAY.isoformat()}'
+FROM orders""",
+)
+def inbound_load_business(spark, sf_dir) -> DataFrame:
+    """One typed source replaces one business date of a table of order years."""
+    price = F.col("o_totalprice").cast("decimal(12,2)")
+    orders = fx.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        price.alias("o_totalprice"),
+        F.make_date(F.year("o_orderdate"), F.lit(12), F.lit(31)).alias("BUSINESSDAYDATE"),
+    )
+    path = new_folder(spark, "landing")
+    load = new_load(spark, path)
+    write_slices(orders, load.target, "BUSINESSDAYDATE", gather=True)
+    landed = orders.withColumns(
+        {
+            "o_totalprice": (F.col("o_totalprice") + 1).cast("decimal(12,2)"),
+            "BUSINESSDAYDATE": F.lit(BUSINESS_DAY),
+        }
+    )
+    landed.write.csv(path, sep="|", header=True)
+    name = f"FEED_{BUSINESS_DAY:%Y%m%d}.csv"
+    controls = orders.agg(F.count("*").alias("ctrl_cnt")).select(
+        F.lit(name).alias("file_name"), F.lit(f"{BUSINESS_DAY:%Y%m%d}").alias("ctrl_dt"), "ctrl_cnt"
+    )
+    load_source(
+        spark, load, SourceSpec(path, "|", orders.schema), file_name=name, data_dt=BUSINESS_DAY,
+        controls=controls, slice_column="BUSINESSDAYDATE",
+    )
+    return spark.read.schema(orders.schema).parquet(load.target)

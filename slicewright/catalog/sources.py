@@ -169,10 +169,11 @@ def _land_json(spark, sf_dir) -> str:
     """Weather documents landed as JSON arrays spread over many lines, one array per file."""
     path = new_folder(spark, "json")
     whole = F.struct("event_id", "latitude", "longitude", "hourly")
-    batch = F.floor(F.col("event_id") / DOCUMENTS_PER_FILE)
+    batch = F.floor(F.monotonically_increasing_id() / DOCUMENTS_PER_FILE)
     arrays = (
         weather_documents(spark, sf_dir)
-        .groupBy(batch.alias("batch"))
+        .withColumn("batch", batch)
+        .groupBy("batch")
         .agg(F.collect_list(whole).alias("documents"))
         .select(F.to_json("documents", {"pretty": "true"}).alias("value"))
     )

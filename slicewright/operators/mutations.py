@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from slicewright.functions import dates
 from slicewright.operators.keys import only_row_per_key
 from slicewright.schemas import conform
+from slicewright.storage import settle
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -50,8 +51,11 @@ def replace_slice(target: DataFrame, new: DataFrame, column: str, data_dt) -> Da
 
 def replace_slices(target: DataFrame, new: DataFrame, column: str) -> DataFrame:
     """``target`` with every date that occurs in ``new`` replaced by the rows of ``new``."""
-    replaced = new.select(column).where(F.col(column).isNotNull()).distinct()
-    return target.join(replaced, column, "left_anti").unionByName(new)
+    replaced = new.select(F.col(column).cast("date").alias("_slice")).distinct()
+    # Bounded: a calendar has fewer than 3.7 million dates, whatever the table holds.
+    dates_only = F.broadcast(replaced.where(F.col("_slice").isNotNull()))
+    kept = target.join(dates_only, F.col(column).cast("date") == F.col("_slice"), "left_anti")
+    return kept.unionByName(new)
 
 
 def write_slices(df: DataFrame, path: str, column: str = "DATA_DT", *, gather: bool = False):
@@ -81,11 +85,13 @@ def update_matched(
     """``target`` with columns set on the rows that match a change and satisfy ``when``.
 
     ``changes`` holds at most one row per key.  Its other columns are available
-    to ``assignments`` and ``when`` as ``new_<name>``.
+    to ``assignments`` and ``when`` as ``new_<name>``.  The changes are written
+    first: usually they are few and the target is then not shuffled at all, and
+    many target rows may share a key.
     """
     values = [c for c in changes.columns if c not in keys]
     complete = changes.dropna(subset=list(keys))  # a NULL key matches nothing
-    source = only_row_per_key(complete, keys, "update").select(
+    source = settle(only_row_per_key(complete, keys, "update"), "changes").select(
         *keys, *[F.col(c).alias(f"new_{c}") for c in values], F.lit(True).alias("_matched")
     )
     hit = F.col("_matched").isNotNull()

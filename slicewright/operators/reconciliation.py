@@ -14,6 +14,7 @@ COUNT_MISMATCH = "COUNT_MISMATCH"
 DATE_MISMATCH = "DATE_MISMATCH"
 NO_CONTROL = "NO_CONTROL"
 NO_DATA = "NO_DATA"
+STRAY_ROWS = "STRAY_ROWS"
 
 
 def count_slices(df: DataFrame, key: str | Column, name: str) -> DataFrame:

@@ -9,6 +9,7 @@ Processing row and an untouched or fully replaced slice, so it can be repeated.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
@@ -16,16 +17,25 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from slicewright.functions import dates, filenames
+from slicewright.functions import dates, filenames, text
 from slicewright.operators import ledger as ledgers
 from slicewright.operators import reconciliation as checks
 from slicewright.operators.keys import latest_per_key
-from slicewright.operators.mutations import append, write_slices
+from slicewright.operators.mutations import append, overwrite, write_slices
 from slicewright.operators.projection import with_lineage
-from slicewright.schemas import FILE_LOG, FILE_LOG_KEY, LEDGER, PROCESSING, SUCCESS, conform
+from slicewright.schemas import (
+    FAILED,
+    FILE_LOG,
+    FILE_LOG_KEY,
+    LEDGER,
+    PROCESSING,
+    SUCCESS,
+    conform,
+)
 from slicewright.sources import landing as landings
 from slicewright.sources.columnar import landed_name
 from slicewright.sources.delimited import read_trimmed
+from slicewright.sources.dispatch import SourceSpec, read_source
 from slicewright.storage import new_folder, save
 
 
@@ -83,6 +93,23 @@ def _log_rows(load: Load, files: DataFrame, total: Column) -> DataFrame:
     )
 
 
+@contextmanager
+def _failure_logged(load: Load, pending: DataFrame):
+    """Log the pending files as Failed when the load breaks off, and pass the error on."""
+    try:
+        yield
+    except Exception as error:
+        failed = pending.withColumns(
+            {
+                "proc_status": F.lit(FAILED),
+                "end_proc_dtm": load.as_of,
+                "error_message": text.clean_message(F.lit(str(error))),
+            }
+        )
+        append(conform(_log_rows(load, failed, total=F.lit(0)), FILE_LOG), load.file_log)
+        raise
+
+
 def _due_rows(rows: DataFrame, pending: DataFrame, name: Column, file_dt: Column) -> DataFrame:
     """Rows of pending files.
 
@@ -153,12 +180,22 @@ def load_files(
     """
     work = new_folder(spark, "load")
     pending = _open_run(spark, load, expected, work)
+    with _failure_logged(load, pending):
+        staged = _stage_text(spark, load, pending, f"{work}/staged")
+        verdicts = save(_check_files(pending, staged, controls), f"{work}/verdicts")
+        _publish(staged, verdicts, load)
+        return _close_run(spark, load, verdicts)
+
+
+def _stage_text(spark: SparkSession, load: Load, pending: DataFrame, path: str) -> DataFrame:
     name = landed_name()
     file_dt = dates.parse_compact(filenames.date_after_first_underscore(name))
     source = read_trimmed(spark, load.landing, load.sep, nested=True)
-    staged = save(
-        _due_rows(source, pending, name, file_dt), f"{work}/staged", partition_by=["file_name"]
-    )
+    return save(_due_rows(source, pending, name, file_dt), path, partition_by=["file_name"])
+
+
+def _check_files(pending: DataFrame, staged: DataFrame, controls: DataFrame) -> DataFrame:
+    """Verdict per pending file: present, announced, on its date, and complete."""
     counts = checks.count_slices(staged, "file_name", "file_name")
     run_dt, ctrl_dt = dates.compact(F.col("data_dt")), F.col("ctrl_dt")
     data, ctrl = F.coalesce("data_cnt", F.lit(0)), F.col("ctrl_cnt")
@@ -175,16 +212,13 @@ def load_files(
         .when(F.col("check_status") == checks.DATE_MISMATCH, checks.date_message(run_dt, ctrl_dt))
         .when(F.col("check_status") == checks.COUNT_MISMATCH, checks.count_message(data, ctrl))
     )
-    verdicts = save(
+    return (
         pending.join(counts, "file_name", "left")
         .join(controls, "file_name", "left")
         .withColumn("data_cnt", F.when(~F.col("missing"), data))
         .withColumn("check_status", status)
-        .withColumn("message", message),
-        f"{work}/verdicts",
+        .withColumn("message", message)
     )
-    _publish(staged, verdicts, load)
-    return _close_run(spark, load, verdicts)
 
 
 def load_epoch_files(spark: SparkSession, load: Load, run_dates: DataFrame) -> DataFrame:
@@ -203,32 +237,106 @@ def load_epoch_files(spark: SparkSession, load: Load, run_dates: DataFrame) -> D
         "data_dt",
     )
     pending = _open_run(spark, load, expected, work)
-    name = landed_name()
-    source = spark.read.option("recursiveFileLookup", "true").parquet(load.landing)
-    staged = save(
-        _due_rows(source, pending, name, filenames.epoch_file_date(name)),
-        f"{work}/staged",
-        partition_by=["file_name"],
-    )
-    counts = checks.count_slices(staged, "file_name", "file_name")
-    verdicts = save(
-        pending.join(counts, "file_name", "left")
-        .withColumns(
+    with _failure_logged(load, pending):
+        name = landed_name()
+        source = spark.read.option("recursiveFileLookup", "true").parquet(load.landing)
+        staged = save(
+            _due_rows(source, pending, name, filenames.epoch_file_date(name)),
+            f"{work}/staged",
+            partition_by=["file_name"],
+        )
+        counts = checks.count_slices(staged, "file_name", "file_name")
+        present = pending.join(counts, "file_name", "left")
+        n_rows = F.when(~F.col("missing"), F.coalesce("data_cnt", F.lit(0)))
+        verdicts = present.withColumns(
             {
-                "data_cnt": F.when(~F.col("missing"), F.coalesce("data_cnt", F.lit(0))),
+                "data_cnt": n_rows,
                 "ctrl_cnt": F.lit(None).cast("bigint"),
                 "check_status": F.when(F.col("missing"), checks.NO_DATA).otherwise(checks.OK),
                 "message": F.when(F.col("missing"), "no files found for the date"),
             }
-        ),
-        f"{work}/verdicts",
-    )
-    _publish(staged, verdicts, load)
-    return _close_run(spark, load, verdicts)
-
+        )
+        verdicts = save(verdicts, f"{work}/verdicts")
+        _publish(staged, verdicts, load)
+        return _close_run(spark, load, verdicts)
+
+
+def load_source(
+    spark: SparkSession,
+    load: Load,
+    spec: SourceSpec,
+    *,
+    file_name: str,
+    data_dt: date,
+    controls: DataFrame,
+    slice_column: str | None = "DATA_DT",
+) -> DataFrame:
+    """Load one configured source for one date; returns its verdict as a row.
 
-def save_counted(df: DataFrame, path: str) -> tuple[DataFrame, int]:
-    """Write ``df`` and learn its row count from the same pass."""
+    ``DATA_DT`` stamps lineage columns and replaces that date's slice.  Another
+    column is a business date of the rows themselves: the table is partitioned
+    by it, and every row must lie on the run date.  None replaces the table.
+    The source is read once: staging it also counts it.
+    """
+    work = new_folder(spark, "load")
+    opened = spark.createDataFrame([(file_name, data_dt, PROCESSING)], _OPENED)
+    append(conform(_log_rows(load, opened, total=F.lit(0)), FILE_LOG), load.file_log)
+    control = controls.where(F.col("file_name") == file_name).select("ctrl_dt", "ctrl_cnt").first()
+    business = slice_column not in (None, "DATA_DT")
+    n_inside = F.count("*")
+    if business:
+        n_inside = F.count_if(F.col(slice_column).try_cast("date") == F.lit(data_dt))
+    staged, seen = None, {"n_rows": None, "n_inside": None}
+    with _failure_logged(load, opened):
+        try:
+            rows = read_source(spark, spec)
+            staged, seen = save_counted(rows, f"{work}/staged", n_inside=n_inside)
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+        verdict = _judge(seen, control, f"{data_dt:%Y%m%d}")
+        if verdict[0] == checks.OK:
+            if slice_column is None:
+                overwrite(staged, load.target)
+            elif business:
+                dated = staged.withColumn(slice_column, F.lit(data_dt))
+                write_slices(dated, load.target, slice_column)
+            else:
+                stamped = with_lineage(staged, F.lit(data_dt), load.run_id, load.as_of)
+                write_slices(stamped, load.target)
+                if seen["n_rows"] == 0:
+                    clear_slice(staged, load.target, data_dt)
+        closed = spark.createDataFrame(
+            [(file_name, data_dt, seen["n_rows"], control and control.ctrl_cnt, *verdict)], _CLOSED
+        )
+        return _close_run(spark, load, closed)
+
+
+_OPENED = "file_name string, data_dt date, proc_status string"
+_CLOSED = (
+    "file_name string, data_dt date, data_cnt bigint, ctrl_cnt bigint, check_status string, "
+    "message string"
+)
+
+
+def _judge(seen: dict, control, run_dt: str) -> tuple[str, str | None]:
+    """Check result of one source, in the order in which a load is checked."""
+    n = seen["n_rows"]
+    if n is None:
+        return checks.NO_DATA, "data file not found"
+    if control is None or control.ctrl_cnt is None:
+        return checks.NO_CONTROL, "control row not found"
+    if control.ctrl_dt != run_dt:
+        return checks.DATE_MISMATCH, f"run date {run_dt}, control date {control.ctrl_dt}"
+    if n != control.ctrl_cnt:
+        return checks.COUNT_MISMATCH, f"rows loaded {n}, rows announced {control.ctrl_cnt}"
+    if seen["n_inside"] != n:
+        return checks.STRAY_ROWS, f"{n - seen['n_inside']} rows lie outside the slice {run_dt}"
+    return checks.OK, None
+
+
+def save_counted(df: DataFrame, path: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """Write ``df`` and learn its row count, and any other metrics, from the same pass."""
     seen = Observation()
-    saved = save(df.observe(seen, F.count("*").alias("n_rows")), path)
-    return saved, seen.get["n_rows"]
+    counts = [F.count("*").alias("n_rows"), *[m.alias(name) for name, m in metrics.items()]]
+    return save(df.observe(seen, *counts), path), seen.get

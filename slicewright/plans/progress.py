@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from slicewright.functions import text
 from slicewright.operators.mutations import merge_upsert, update_matched
 from slicewright.schemas import FAILED, RUN_LOG, RUN_LOG_KEY, RUNNING, STATUS_KEY, SUCCESS, conform
+from slicewright.storage import settle
 
 
 def start_status(status: DataFrame, windows: DataFrame) -> DataFrame:
@@ -44,7 +45,7 @@ def stop_after_failure(outcomes: DataFrame, process: str, order: list[str], fail
     position = F.struct(*order)
     stops = outcomes.where(failed).groupBy(process).agg(F.min(position).alias("_stop"))
     return (
-        outcomes.join(stops, process, "left")
+        outcomes.join(settle(stops, "stops"), process, "left")
         .where(F.col("_stop").isNull() | (position <= F.col("_stop")))
         .drop("_stop")
     )

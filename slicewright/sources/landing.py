@@ -58,8 +58,14 @@ def expected_files(calendar: DataFrame, config: DataFrame) -> DataFrame:
 
 
 def resolve(expected: DataFrame, landed: DataFrame) -> DataFrame:
-    """Expected files with a ``missing`` flag; ``landed`` lists each name once."""
-    present = landed.select("file_name", F.lit(True).alias("_landed"))
-    return expected.join(present, "file_name", "left").select(
+    """Expected files with a ``missing`` flag; ``landed`` lists each name once.
+
+    Processes without a file name miss their file.  However many there are,
+    they are spread over the tasks by a key that no file name can equal.
+    """
+    nameless = F.concat(F.lit("/"), F.xxhash64(*expected.columns).cast("string"))
+    wanted = expected.withColumn("_name", F.coalesce("file_name", nameless))
+    present = landed.select(F.col("file_name").alias("_name"), F.lit(True).alias("_landed"))
+    return wanted.join(present, "_name", "left").select(
         *expected.columns, F.col("_landed").isNull().alias("missing")
     )

@@ -44,3 +44,13 @@ def save(df: DataFrame, path: str, *, partition_by: list[str] | None = None) ->
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write a small derived side of a join and return its scan.
+
+    Whether it can be broadcast is then decided on its real size; when it
+    cannot, both sides of the join are plain shuffles, which adaptive execution
+    can split at a hot key.
+    """
+    return save(df, new_folder(df.sparkSession, label))

@@ -8,8 +8,9 @@ from slicewright import schemas
 from slicewright.functions import dates
 from slicewright.operators import exports
 from slicewright.plans.inbound import (
-    Load, file_state, load_epoch_files, load_files, save_counted)
+    Load, file_state, load_epoch_files, load_files, load_source, save_counted)
 from slicewright.plans.outbound import export_table
+from slicewright.sources.dispatch import SourceSpec
 from slicewright.storage import new_folder
 
 AS_OF = datetime(2024, 3, 31, 20)
@@ -126,9 +127,76 @@ def test_epoch_load_reports_dates_without_files(spark, tmp_path):
     assert rows == [("2024-01-01", 0), ("2024-01-01", 1), ("2024-01-02", 2)]
 
 
+def test_load_that_breaks_off_is_logged(spark, zone):
+    put(zone, D[0], [("a", 1)])
+    load = new_load(spark, zone)
+    broken = spark.createDataFrame([(feed(D[0]), "x")], "file_name string, other string")
+    expected = spark.createDataFrame([(feed(D[0]), D[0])], EXPECTED)
+    with pytest.raises(Exception, match="ctrl_"):
+        load_files(spark, load, expected, broken)
+    state = file_state(spark, load.file_log).first()
+    assert state.proc_status == "Failed" and "ctrl_" in state.error_message
+
+
 def test_save_counted(spark):
-    saved, n = save_counted(spark.range(123), new_folder(spark, "test"))
-    assert n == 123 and saved.count() == 123
+    saved, seen = save_counted(
+        spark.range(123), new_folder(spark, "test"), n_even=F.count_if(F.col("id") % 2 == 0))
+    assert seen == {"n_rows": 123, "n_even": 62} and saved.count() == 123
+
+
+def one(spark, load, path, day, control, **options):
+    controls = spark.createDataFrame([control] if control else [], CONTROL)
+    spec = SourceSpec(path, "|")
+    return load_source(spark, load, spec, file_name=feed(day), data_dt=day, controls=controls,
+                       **options).first()
+
+
+def test_one_source_with_lineage(spark, zone):
+    put(zone, D[0], [("a", 1), ("b", 2)])
+    load, path = new_load(spark, zone), str(zone / feed(D[0]))
+    bad = one(spark, load, path, D[0], (feed(D[0]), "20240101", 3))
+    assert (bad.check_status, bad.message) == (
+        "COUNT_MISMATCH", "rows loaded 2, rows announced 3")
+    assert one(spark, load, path, D[0], None).check_status == "NO_CONTROL"
+    assert one(spark, load, path, D[0], (feed(D[0]), "20240102", 2)).check_status == "DATE_MISMATCH"
+    gone = str(zone / "gone.csv")
+    assert one(spark, load, gone, D[0], (feed(D[0]), "20240101", 2)).check_status == "NO_DATA"
+    good = replace(load, run_id="run-2")
+    assert one(spark, good, path, D[0], (feed(D[0]), "20240101", 2)).proc_status == "Success"
+    assert len(target_rows(spark, load)) == 2
+    states = [(r.proc_run_id, r.proc_status) for r in file_state(spark, load.file_log).collect()]
+    assert sorted(states) == [("run-1", "Failed"), ("run-2", "Success")]
+    put(zone, D[0], [])
+    assert one(spark, good, path, D[0], (feed(D[0]), "20240101", 0)).proc_status == "Success"
+    assert target_rows(spark, load) == []
+
+
+def test_one_source_by_business_date(spark, zone):
+    load = new_load(spark, zone)
+    for day, rows in ((D[0], ["2024-01-01|x", "2024-01-01|y"]), (D[1], ["2024-01-02|z"]),
+                      (D[0], ["2024-01-01|w"])):
+        (zone / feed(day)).write_text("BUSINESSDAYDATE|v\n" + "\n".join(rows) + "\n")
+        got = one(spark, load, str(zone / feed(day)), day,
+                  (feed(day), f"{day:%Y%m%d}", len(rows)), slice_column="BUSINESSDAYDATE")
+        assert got.check_status == "OK"
+    rows = spark.read.parquet(load.target).collect()
+    assert sorted((str(r.BUSINESSDAYDATE), r.v) for r in rows) == [
+        ("2024-01-01", "w"), ("2024-01-02", "z")]
+    (zone / feed(D[0])).write_text("BUSINESSDAYDATE|v\n2024-01-01|a\n2024-01-03|b\n|c\n")
+    got = one(spark, load, str(zone / feed(D[0])), D[0], (feed(D[0]), "20240101", 3),
+              slice_column="BUSINESSDAYDATE")
+    assert (got.check_status, got.message) == (
+        "STRAY_ROWS", "2 rows lie outside the slice 20240101")
+    assert spark.read.parquet(load.target).count() == 2
+
+
+def test_one_source_replaces_the_table(spark, zone):
+    load = new_load(spark, zone)
+    for rows in ([("a", 1), ("b", 2)], [("c", 3)]):
+        put(zone, D[0], rows)
+        one(spark, load, str(zone / feed(D[0])), D[0], (feed(D[0]), "20240101", len(rows)),
+            slice_column=None)
+    assert [tuple(r) for r in spark.read.parquet(load.target).collect()] == [("c", "3")]
 
 
 HARD = [(1, 'say "hi", ok'), (2, " padded "), (3, "line\nbreak"), (4, None), (5, "ünï,cödé")]
