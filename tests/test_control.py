@@ -19,9 +19,8 @@ def request(mode=None, start=None, end=None, name="p"):
     return (name, "r", mode, start, end)
 
 
-@pytest.mark.parametrize(
-    "row, error",
-    [
+def test_request_rules(spark):
+    cases = [
         (request(), None),
         (request(""), None),
         (request("N"), None),
@@ -37,11 +36,11 @@ def request(mode=None, start=None, end=None, name="p"):
         (request("R", "2024-1-5", "2024-1-5"), None),
         (request("X"), "mode must be R, N or empty"),
         (request("r"), "mode must be R, N or empty"),
-    ],
-)
-def test_request_rules(spark, row, error):
-    checked = requests.validate_requests(spark.createDataFrame([row], REQUEST)).first()
-    assert checked.error == error
+    ]
+    rows = [("p", f"{i:02}", *row[2:]) for i, (row, _) in enumerate(cases)]
+    checked = requests.validate_requests(spark.createDataFrame(rows, REQUEST))
+    got = [r.error for r in checked.orderBy("proc_run_id").collect()]
+    assert got == [error for _, error in cases]
 
 
 def config_row(name, freq="D", period=1, back=1, active=1):
