@@ -158,7 +158,7 @@ def src_fixed_width(spark, sf_dir) -> DataFrame:
 
 
 # Documents per landed JSON file; a file is parsed by one task, so it stays small.
-DOCUMENTS_PER_FILE = 1000
+DOCUMENTS_PER_FILE = 20_000
 
 DOCUMENT_LAYOUT = T.StructType(
     [T.StructField("event_id", T.LongType()), *schemas.FORECAST_DOCUMENT.fields]

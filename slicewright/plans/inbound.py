@@ -33,8 +33,8 @@ from slicewright.schemas import (
     conform,
 )
 from slicewright.sources import landing as landings
-from slicewright.sources.columnar import landed_name
-from slicewright.sources.delimited import read_trimmed
+from slicewright.sources.columnar import read_landed
+from slicewright.sources.delimited import trimming_reader
 from slicewright.sources.dispatch import SourceSpec, read_source
 from slicewright.storage import new_folder, save
 
@@ -110,19 +110,16 @@ def _failure_logged(load: Load, pending: DataFrame):
         raise
 
 
-def _due_rows(rows: DataFrame, pending: DataFrame, name: Column, file_dt: Column) -> DataFrame:
+def _due_rows(rows: DataFrame, pending: DataFrame) -> DataFrame:
     """Rows of pending files.
 
-    The span of pending dates is a constant over file metadata, so files
-    outside it are never opened; the join then keeps exactly the pending ones.
+    The span of pending names is a constant that prunes the scan to the files
+    within it; the join then keeps exactly the pending ones.
     """
-    span = pending.agg(F.min("data_dt").alias("lo"), F.max("data_dt").alias("hi")).first()
-    names = pending.where(~F.col("missing")).select("file_name")
-    return (
-        rows.where(file_dt.between(F.lit(span.lo), F.lit(span.hi)))
-        .withColumn("file_name", name)
-        .join(names, "file_name", "left_semi")
-    )
+    landed = pending.where(~F.col("missing"))
+    span = landed.agg(F.min("file_name").alias("lo"), F.max("file_name").alias("hi")).first()
+    within = F.col("file_name").between(F.lit(span.lo), F.lit(span.hi))
+    return rows.where(within).join(landed.select("file_name"), "file_name", "left_semi")
 
 
 def _close_run(spark: SparkSession, load: Load, verdicts: DataFrame) -> DataFrame:
@@ -188,10 +185,8 @@ def load_files(
 
 
 def _stage_text(spark: SparkSession, load: Load, pending: DataFrame, path: str) -> DataFrame:
-    name = landed_name()
-    file_dt = dates.parse_compact(filenames.date_after_first_underscore(name))
-    source = read_trimmed(spark, load.landing, load.sep, nested=True)
-    return save(_due_rows(source, pending, name, file_dt), path, partition_by=["file_name"])
+    source = read_landed(trimming_reader(spark, load.sep), "csv", load.landing)
+    return save(_due_rows(source, pending), path, partition_by=["file_name"])
 
 
 def _check_files(pending: DataFrame, staged: DataFrame, controls: DataFrame) -> DataFrame:
@@ -238,13 +233,9 @@ def load_epoch_files(spark: SparkSession, load: Load, run_dates: DataFrame) -> D
     )
     pending = _open_run(spark, load, expected, work)
     with _failure_logged(load, pending):
-        name = landed_name()
-        source = spark.read.option("recursiveFileLookup", "true").parquet(load.landing)
-        staged = save(
-            _due_rows(source, pending, name, filenames.epoch_file_date(name)),
-            f"{work}/staged",
-            partition_by=["file_name"],
-        )
+        source = read_landed(spark.read, "parquet", load.landing)
+        due = _due_rows(source, pending)
+        staged = save(due, f"{work}/staged", partition_by=["file_name"])
         counts = checks.count_slices(staged, "file_name", "file_name")
         present = pending.join(counts, "file_name", "left")
         n_rows = F.when(~F.col("missing"), F.coalesce("data_cnt", F.lit(0)))

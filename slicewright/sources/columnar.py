@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from slicewright.functions import dates, filenames
@@ -24,19 +24,29 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
-def landed_name() -> Column:
-    """Landed name of the file a row was read from."""
-    return filenames.landed_name(F.col("_metadata.file_path"))
+def read_landed(reader: DataFrameReader, format_name: str, folder: str) -> DataFrame:
+    """Rows of a landing folder with the landed name they came from as ``file_name``.
+
+    A landed file is a plain file, or a ``landed=<name>`` directory.  Either
+    way the name is a constant of the scan: it is not worked out row by row,
+    and a filter on it keeps Spark from opening the other files.
+    """
+    rows = reader.format(format_name).load(folder)
+    if filenames.LANDED_COLUMN in rows.columns:
+        name = F.col(filenames.LANDED_COLUMN).cast("string")
+    else:
+        name = F.col("_metadata.file_name")
+    return rows.withColumn("file_name", name).drop(filenames.LANDED_COLUMN)
 
 
 def read_epoch_files(spark: SparkSession, folder: str, data_dt=None) -> DataFrame:
     """Rows of the epoch-named Parquet files of one UTC date, or of every date.
 
-    The date test reads only file metadata, so Spark drops the other files
-    from the scan without opening them.  Adds ``file_name`` and ``file_dt``.
+    Adds ``file_name`` and ``file_dt``.
     """
-    name = landed_name()
-    file_dt = filenames.epoch_file_date(name)
-    rows = spark.read.option("recursiveFileLookup", "true").parquet(folder)
-    wanted = file_dt.isNotNull() if data_dt is None else file_dt == dates.day(data_dt)
-    return rows.where(wanted).select("*", name.alias("file_name"), file_dt.alias("file_dt"))
+    rows = read_landed(spark.read, "parquet", folder)
+    file_dt = filenames.epoch_file_date(F.col("file_name"))
+    if data_dt is None:
+        return rows.withColumn("file_dt", file_dt).where(F.col("file_dt").isNotNull())
+    wanted = dates.day(data_dt)
+    return rows.where(file_dt == wanted).withColumn("file_dt", wanted)

@@ -2,26 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import types as T
 
 
-def read_trimmed(
-    spark: SparkSession, path: str | list[str], sep: str = ",", nested: bool = False
-) -> DataFrame:
-    """Headed text without a declared schema: all columns strings, outer blanks removed.
-
-    ``nested`` also reads files in subfolders, without making columns of the folder names.
-    """
-    return spark.read.option("recursiveFileLookup", nested).csv(
-        path,
-        sep=sep,
-        header=True,
-        ignoreLeadingWhiteSpace=True,
-        ignoreTrailingWhiteSpace=True,
+def trimming_reader(spark: SparkSession, sep: str = ",") -> DataFrameReader:
+    """Reader of headed text without a declared schema: strings, outer blanks removed."""
+    return spark.read.options(
+        sep=sep, header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True
     )
 
 
+def read_trimmed(spark: SparkSession, path: str | list[str], sep: str = ",") -> DataFrame:
+    """Headed text without a declared schema."""
+    return trimming_reader(spark, sep).csv(path)
+
+
 def read_typed(
     spark: SparkSession,
     path: str | list[str],

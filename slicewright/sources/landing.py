@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slicewright.functions import filenames, text
-from slicewright.sources.columnar import landed_name
-from slicewright.sources.delimited import read_trimmed
+from slicewright.sources.columnar import read_landed
+from slicewright.sources.delimited import trimming_reader
 
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
@@ -31,8 +31,9 @@ def read_controls(spark: SparkSession, path: str, shared_prefix: str) -> DataFra
     its own, whose name carries the date.
     """
     own_date = filenames.date_after_first_underscore(F.col("FILENAME"))
-    control_date = filenames.date_after_last_underscore(landed_name())
-    return read_trimmed(spark, path, nested=True).select(
+    rows = read_landed(trimming_reader(spark), "csv", path)
+    control_date = filenames.date_after_last_underscore(F.col("file_name"))
+    return rows.select(
         F.col("FILENAME").alias("file_name"),
         F.when(F.col("FILENAME").startswith(shared_prefix), own_date)
         .otherwise(control_date)

@@ -77,8 +77,9 @@ def test_epoch_files_of_one_date(spark, tmp_path, flat):
     assert columnar.read_epoch_files(spark, zone, date(2030, 1, 1)).isEmpty()
 
 
-def test_epoch_date_prunes_files(spark, tmp_path):
-    zone = landed_epochs(spark, tmp_path, flat=False)
+@pytest.mark.parametrize("flat", [True, False])
+def test_epoch_date_prunes_files(spark, tmp_path, flat):
+    zone = landed_epochs(spark, tmp_path, flat)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         plan = columnar.read_epoch_files(spark, zone, "20240101")._jdf.queryExecution()
