@@ -7,11 +7,12 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slicewright import schemas
 from slicewright.catalog import fixtures as fx
 from slicewright.catalog.registry import query
 from slicewright.functions import dates, filenames
 from slicewright.operators import reconciliation
-from slicewright.operators.keys import key_violations
+from slicewright.operators.keys import key_violations, required_violations
 
 COUNTED = ["customer", "documents", "events", "lineitem", "orders", "part"]
 
@@ -123,3 +124,20 @@ FROM file_log GROUP BY proc_name, proc_status""",
 )
 def agg_load_metrics(spark, sf_dir) -> DataFrame:
     return reconciliation.load_metrics(fx.derive(spark, sf_dir, "file_log"))
+
+
+@query(
+    "agg_required_violations",
+    """
+SELECT 'file_name' AS column_name, count(*) AS n_rows FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'total_record', count(*) FROM events WHERE event_type = 'signup'""",
+)
+def agg_required_violations(spark, sf_dir) -> DataFrame:
+    status = F.col("proc_status")
+    log = fx.derive(spark, sf_dir, "file_log").withColumns(
+        {
+            "file_name": F.when(status != schemas.FAILED, F.col("file_name")),
+            "total_record": F.when(status != schemas.PROCESSING, F.col("total_record")),
+        }
+    )
+    return required_violations(log, schemas.FILE_LOG)

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], choose) -> DataFrame:
@@ -58,3 +59,10 @@ def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         )
         .where(F.col("violation").isNotNull())
     )
+
+
+def required_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns that the schema requires but that hold NULLs, counted in one pass."""
+    required = [f.name for f in schema.fields if not f.nullable]
+    counts = df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in required])
+    return counts.unpivot([], required, "column_name", "n_rows").where(F.col("n_rows") > 0)

@@ -36,7 +36,7 @@ from slicewright.sources import landing as landings
 from slicewright.sources.columnar import read_landed
 from slicewright.sources.delimited import trimming_reader
 from slicewright.sources.dispatch import SourceSpec, read_source
-from slicewright.storage import new_folder, save
+from slicewright.storage import new_folder, release, save
 
 
 @dataclass(frozen=True)
@@ -73,7 +73,8 @@ def file_state(spark: SparkSession, file_log: str) -> DataFrame:
 def _open_run(spark: SparkSession, load: Load, expected: DataFrame, work: str) -> DataFrame:
     """Expected files not yet in the ledger, entered in the log as Processing."""
     landed = landings.manifest(spark, load.landing)
-    due = ledgers.unprocessed(expected, _table(spark, load.ledger, LEDGER))
+    own = _table(spark, load.ledger, LEDGER).where(F.col("proc_name") == load.proc_name)
+    due = ledgers.unprocessed(expected, own)
     pending = save(
         landings.resolve(due, landed).withColumn("proc_status", F.lit(PROCESSING)),
         f"{work}/pending",
@@ -181,6 +182,7 @@ def load_files(
         staged = _stage_text(spark, load, pending, f"{work}/staged")
         verdicts = save(_check_files(pending, staged, controls), f"{work}/verdicts")
         _publish(staged, verdicts, load)
+        release(spark, f"{work}/staged")
         return _close_run(spark, load, verdicts)
 
 
@@ -249,6 +251,7 @@ def load_epoch_files(spark: SparkSession, load: Load, run_dates: DataFrame) -> D
         )
         verdicts = save(verdicts, f"{work}/verdicts")
         _publish(staged, verdicts, load)
+        release(spark, f"{work}/staged")
         return _close_run(spark, load, verdicts)
 
 
@@ -297,6 +300,8 @@ def load_source(
                 write_slices(stamped, load.target)
                 if seen["n_rows"] == 0:
                     clear_slice(staged, load.target, data_dt)
+        if staged is not None:
+            release(spark, f"{work}/staged")
         closed = spark.createDataFrame(
             [(file_name, data_dt, seen["n_rows"], control and control.ctrl_cnt, *verdict)], _CLOSED
         )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from slicewright.functions import dates
 from slicewright.operators import predicates
+from slicewright.operators.projection import with_parameters
 from slicewright.schemas import DAILY, FAILED, MONTHLY, NORMAL, RUNNING
 
 
@@ -106,13 +107,10 @@ def expand_calendar(windows: DataFrame) -> DataFrame:
 def next_run_date(status: DataFrame, config: DataFrame, loop_no: int) -> DataFrame:
     """Running processes with the date that lies ``loop_no`` periods after their marker."""
     fields = config.select("proc_name", "data_freq", "notebook_path")
-    marker, step = F.col("running_dt"), F.lit(loop_no)
+    marker, step = F.col("running_dt"), F.col("loop_no")
     following = _by_frequency(F.date_add(marker, step), dates.month_end(marker, step))
-    return (
-        status.where(F.col("proc_status") == RUNNING)
-        .join(fields, "proc_name")
-        .select(
-            "proc_name", "proc_run_id", "run_mode", "running_dt", "start_dt", "end_dt",
-            "notebook_path", step.alias("loop_no"), following.alias("next_dt"),
-        )
+    running = status.where(F.col("proc_status") == RUNNING).join(fields, "proc_name")
+    return with_parameters(running, {"loop_no": loop_no}).select(
+        "proc_name", "proc_run_id", "run_mode", "running_dt", "start_dt", "end_dt",
+        "notebook_path", "loop_no", following.alias("next_dt"),
     )

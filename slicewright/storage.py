@@ -46,6 +46,11 @@ def save(df: DataFrame, path: str, *, partition_by: list[str] | None = None) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession, path: str) -> None:
+    """Empty a staging table that has been published, so it does not take up storage."""
+    spark.createDataFrame([], "released boolean").write.mode("overwrite").parquet(path)
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write a small derived side of a join and return its scan.
 
