@@ -9,6 +9,7 @@ from slicewright import schemas
 from slicewright.catalog import fixtures as fx
 from slicewright.catalog.joins import current_status
 from slicewright.catalog.registry import query
+from slicewright.functions import envelope
 from slicewright.operators.keys import latest_per_key
 from slicewright.plans import progress, requests, steps, windows
 from slicewright.storage import new_folder, save
@@ -298,8 +299,12 @@ SELECT l.proc_name, l.proc_run_id,
 FROM run_log l JOIN outcomes o ON o.proc_run_id = l.proc_run_id""",
 )
 def ctl_log_close(spark, sf_dir) -> DataFrame:
+    report = envelope.build(F.col("proc_status"), F.col("error_message"))
+    reports = fx.derive(spark, sf_dir, "outcomes").select(
+        *schemas.RUN_LOG_KEY, report.alias("envelope")
+    )
     return progress.close_log(
-        fx.run_log(spark, sf_dir), fx.derive(spark, sf_dir, "outcomes"), fx.as_of()
+        fx.run_log(spark, sf_dir), progress.read_outcomes(reports), fx.as_of()
     )
 
 

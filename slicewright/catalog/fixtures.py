@@ -34,9 +34,9 @@ _PROC = "concat('Customer#', lpad(CAST({id} AS STRING), 9, '0'))"
 _PROC_OF_USER = _PROC.replace("{id}", "user_id")
 _PROC_OF_CUSTOMER = _PROC.replace("{id}", "o_custkey")
 
-_SQL: dict[str, str] = {}
+DERIVATIONS: dict[str, str] = {}
 
-_SQL["config"] = """
+DERIVATIONS["config"] = """
 SELECT c_name AS proc_name,
        CASE c_custkey % 4 WHEN 0 THEN 'extract' WHEN 1 THEN 'inbound'
                           WHEN 2 THEN 'transform' ELSE 'outbound' END AS proc_type,
@@ -61,7 +61,7 @@ SELECT c_name AS proc_name,
 FROM {customer}
 """
 
-_SQL["status_events"] = f"""
+DERIVATIONS["status_events"] = f"""
 SELECT {_PROC_OF_USER} AS proc_name,
        concat('run-', CAST(event_id AS STRING)) AS proc_run_id,
        CASE event_type WHEN 'error' THEN 'Failed' WHEN 'signup' THEN 'Running'
@@ -79,7 +79,7 @@ SELECT {_PROC_OF_USER} AS proc_name,
 FROM {{events}}
 """
 
-_SQL["requests"] = f"""
+DERIVATIONS["requests"] = f"""
 SELECT {_PROC_OF_CUSTOMER} AS proc_name,
        concat('req-', CAST(o_orderkey AS STRING)) AS proc_run_id,
        CASE o_orderkey % 5 WHEN 0 THEN 'R' WHEN 1 THEN 'R' WHEN 2 THEN 'N'
@@ -101,7 +101,7 @@ SELECT {_PROC_OF_CUSTOMER} AS proc_name,
 FROM {{orders}}
 """
 
-_SQL["file_log"] = f"""
+DERIVATIONS["file_log"] = f"""
 SELECT {_PROC_OF_USER} AS proc_name,
        concat('run-', CAST(event_id AS STRING)) AS proc_run_id,
        CASE event_type WHEN 'error' THEN 'Failed' WHEN 'signup' THEN 'Processing'
@@ -114,7 +114,7 @@ SELECT {_PROC_OF_USER} AS proc_name,
 FROM {{events}}
 """
 
-_SQL["run_log"] = f"""
+DERIVATIONS["run_log"] = f"""
 SELECT {_PROC_OF_USER} AS proc_name,
        concat('run-', CAST(event_id AS STRING)) AS proc_run_id,
        CASE event_type WHEN 'error' THEN 'Failed' WHEN 'purchase' THEN 'Success'
@@ -128,7 +128,7 @@ FROM {{events}}
 """
 
 # One run outcome per event; a process is run for several dates in event order.
-_SQL["outcomes"] = f"""
+DERIVATIONS["outcomes"] = f"""
 SELECT {_PROC_OF_USER} AS proc_name,
        concat('run-', CAST(event_id AS STRING)) AS proc_run_id,
        CAST(ts AS DATE) AS running_dt,
@@ -145,7 +145,7 @@ _TABLE = re.compile(r"\{(\w+)\}")
 
 def sql(name: str) -> str:
     """A derivation as DuckDB reads it."""
-    return _TABLE.sub(r"\1", _SQL[name]).strip()
+    return _TABLE.sub(r"\1", DERIVATIONS[name]).strip()
 
 
 def ctes(*names: str) -> str:
@@ -155,7 +155,7 @@ def ctes(*names: str) -> str:
 
 def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derivation as a Spark plan."""
-    statement = _SQL[name]
+    statement = DERIVATIONS[name]
     used = {t: table(spark, sf_dir, t) for t in set(_TABLE.findall(statement))}
     return spark.sql(statement, **used)
 

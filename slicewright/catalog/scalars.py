@@ -14,7 +14,7 @@ from slicewright.operators import predicates, projection
 from slicewright.sources.columnar import cast_list
 from slicewright.sources.json_documents import parse_payload
 
-fx._SQL["texts"] = """
+fx.DERIVATIONS["texts"] = """
 SELECT doc_id, text, n_chars,
        CASE doc_id % 6 WHEN 0 THEN NULL WHEN 1 THEN concat(' ', chr(9), ' ') WHEN 2 THEN 'NuLL'
             WHEN 3 THEN concat('  ', text, chr(9), ' ') WHEN 4 THEN ' null ' ELSE text END AS raw,
@@ -84,7 +84,7 @@ def fn_string(spark, sf_dir) -> DataFrame:
     )
 
 
-fx._SQL["moments"] = """
+fx.DERIVATIONS["moments"] = """
 SELECT event_id, ts, CAST(ts AS DATE) AS d,
        CAST(event_id % 61 AS INTEGER) - 30 AS n,
        CASE event_id % 5 WHEN 0 THEN '2024021' WHEN 1 THEN '20241301'
@@ -285,7 +285,7 @@ def fn_archive_path(spark, sf_dir) -> DataFrame:
     return fx.table(spark, sf_dir, "events").select("event_id", target.alias("archive_path"))
 
 
-fx._SQL["raw_lines"] = f"""
+fx.DERIVATIONS["raw_lines"] = f"""
 SELECT l_orderkey, l_linenumber,
        CASE WHEN l_linenumber = 3 THEN 'n/a' ELSE {fx.amount("l_extendedprice")} END AS price,
        CASE WHEN l_linenumber = 5 THEN '' ELSE {fx.amount("l_tax")} END AS tax,

@@ -29,7 +29,7 @@ def snk_overwrite(spark, sf_dir) -> DataFrame:
 
 
 # Lines as a table with a business date; a few have none.
-fx._SQL["dated_lines"] = """
+fx.DERIVATIONS["dated_lines"] = """
 SELECT l_orderkey, l_linenumber, l_quantity,
        CASE WHEN l_partkey % 50 = 0 THEN NULL ELSE CAST(l_shipdate AS DATE) END AS BUSINESSDAYDATE
 FROM {lineitem}

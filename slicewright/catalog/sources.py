@@ -18,7 +18,7 @@ from slicewright.storage import new_folder
 
 UNTOUCHED = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
-fx._SQL["padded"] = f"""
+fx.DERIVATIONS["padded"] = f"""
 SELECT CAST(c_custkey AS STRING) AS c_custkey, concat('  ', c_name, ' ') AS c_name,
        concat(' ', {fx.amount("c_acctbal")}) AS c_acctbal,
        concat(c_mktsegment, '   ') AS c_mktsegment
@@ -39,7 +39,7 @@ def src_csv_trimmed(spark, sf_dir) -> DataFrame:
 
 
 # Lines with a declared layout: some are cut short, some hold a bad number.
-fx._SQL["order_lines"] = f"""
+fx.DERIVATIONS["order_lines"] = f"""
 SELECT concat(CAST(o_orderkey AS STRING), '|',
               CASE WHEN o_orderkey % 11 = 0 THEN 'abc' ELSE CAST(o_custkey AS STRING) END, '| ',
               o_orderstatus, '',

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slicewright.functions import text
+from slicewright.functions import envelope, text
 from slicewright.operators.mutations import merge_upsert, update_matched
 from slicewright.schemas import FAILED, RUN_LOG, RUN_LOG_KEY, RUNNING, STATUS_KEY, SUCCESS, conform
 from slicewright.storage import settle
@@ -36,6 +36,17 @@ def log_rows(calendar: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
+def read_outcomes(reports: DataFrame) -> DataFrame:
+    """Outcomes from the envelopes that jobs return; a job without a readable one has failed."""
+    body = F.col("_body")
+    unreadable = body["status"].isNull()
+    return reports.withColumn("_body", envelope.parse(F.col("envelope"))).select(
+        *RUN_LOG_KEY,
+        F.coalesce(body["status"], F.lit(FAILED)).alias("proc_status"),
+        F.when(unreadable, "no readable result").otherwise(body["message"]).alias("error_message"),
+    )
+
+
 def stop_after_failure(outcomes: DataFrame, process: str, order: list[str], failed: Column):
     """Outcomes up to and including each process's first failure.
 

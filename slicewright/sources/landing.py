@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slicewright.functions import filenames, text
@@ -42,10 +42,19 @@ def read_controls(spark: SparkSession, path: str, shared_prefix: str) -> DataFra
     )
 
 
-def expected_files(calendar: DataFrame, config: DataFrame) -> DataFrame:
-    """Data and control file names for each process and run date."""
-    prefix = F.col("src_file_name")
-    data_name = F.when(~text.is_blank(prefix), filenames.dated_name(prefix, F.col("running_dt")))
+def expected_files(
+    calendar: DataFrame, config: DataFrame, dated: Column | None = None
+) -> DataFrame:
+    """Data and control file names for each process and run date.
+
+    The configured name is a prefix to which the date is added; where ``dated``
+    is given and false, it is the whole name.
+    """
+    prefix, run_day = F.col("src_file_name"), F.col("running_dt")
+    full = filenames.dated_name(prefix, run_day)
+    if dated is not None:
+        full = F.when(dated, full).otherwise(prefix)
+    data_name = F.when(~text.is_blank(prefix), full)
     return (
         calendar.select("proc_name", "running_dt")
         .join(config.select("proc_name", "src_file_name"), "proc_name")
@@ -53,7 +62,7 @@ def expected_files(calendar: DataFrame, config: DataFrame) -> DataFrame:
             "proc_name",
             "running_dt",
             data_name.alias("file_name"),
-            filenames.control_name(data_name, F.col("running_dt")).alias("control_name"),
+            filenames.control_name(data_name, run_day).alias("control_name"),
         )
     )
 

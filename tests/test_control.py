@@ -260,3 +260,15 @@ def test_steps(spark):
         steps.bind_markers("SELECT '${data_dt}'", {"data_dt": "x' OR '1'='1"})
     with pytest.raises(Exception, match="no_such_table"):
         steps.run_steps(spark, [("a", "SELECT * FROM no_such_table")], data_dt="", proc_run_id="")
+
+
+def test_outcomes_from_envelopes(spark):
+    reports = spark.createDataFrame(
+        [("a", "r", date(2024, 1, 1), '{"status": "Success", "message": null}'),
+         ("b", "r", date(2024, 1, 1), '{"status": "Failed", "message": "x"}'),
+         ("c", "r", date(2024, 1, 1), "Traceback"), ("d", "r", date(2024, 1, 1), None)],
+        "proc_name string, proc_run_id string, running_dt date, envelope string")
+    got = {r.proc_name: (r.proc_status, r.error_message)
+           for r in progress.read_outcomes(reports).collect()}
+    assert got == {"a": ("Success", None), "b": ("Failed", "x"),
+                   "c": ("Failed", "no readable result"), "d": ("Failed", "no readable result")}

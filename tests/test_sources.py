@@ -138,6 +138,13 @@ def test_manifest_and_missing(spark, tmp_path):
                    "C_20240101.csv": ("C_20240101_ctrl_20240101.csv", True)}
 
 
+def test_undated_names(spark):
+    calendar = spark.createDataFrame([("a", date(2024, 1, 1))], "proc_name string, running_dt date")
+    config = spark.createDataFrame([("a", "sales.dat")], "proc_name string, src_file_name string")
+    row = landing.expected_files(calendar, config, dated=F.col("proc_name") != "a").first()
+    assert (row.file_name, row.control_name) == ("sales.dat", "sales_ctrl_20240101.csv")
+
+
 def test_dispatch_from_config(spark, tmp_path):
     row = {"src_volume_name": "raw", "src_file_name": "iris.parquet", "src_delimeter": NOT_DELIMITED}
     spec = SourceSpec.from_config(row, "/zone", "raw")
