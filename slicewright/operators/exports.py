@@ -24,6 +24,7 @@ _JSON_EXACT = {
 }
 SINGLE_FILE_ROWS = 1_000_000
 PART_ROWS = 5_000_000
+KEY_GROUPS = 65_536
 
 
 def write_delimited(
@@ -62,14 +63,27 @@ def read_delimited(spark, path: str, schema: T.StructType, sep: str = FEED_SEPAR
     )
 
 
+def _row_key(key: Column, group: Column) -> Column:
+    """Key of one group of rows, derived from the feed's key."""
+    return F.unhex(F.sha2(F.concat(key, group.cast("binary")), 256))
+
+
 def protect(df: DataFrame, key: Column) -> DataFrame:
-    """Each row as one line of encrypted text (AES-GCM with a fresh nonce per row)."""
+    """Each row as one line of encrypted text: key group, colon, AES-GCM code.
+
+    Random nonces are safe for about four billion uses of a key, fewer than a
+    large feed has rows, so rows are spread evenly over derived keys.
+    """
     body = F.to_json(F.struct(*df.columns), _JSON_EXACT)
-    coded = F.base64(F.aes_encrypt(body.cast("binary"), key))
-    return df.select(F.translate(coded, "\r\n", "").alias("value"))  # one line per row
+    group = F.pmod(F.monotonically_increasing_id(), F.lit(KEY_GROUPS)).cast("string")
+    rows = df.select(body.cast("binary").alias("body"), group.alias("key_group"))
+    coded = F.base64(F.aes_encrypt("body", _row_key(key, F.col("key_group"))))
+    one_line = F.translate(coded, "\r\n", "")
+    return rows.select(F.concat("key_group", F.lit(":"), one_line).alias("value"))
 
 
 def unprotect(lines: DataFrame, key: Column, schema: T.StructType) -> DataFrame:
     """Rows of a protected feed; a line that was tampered with fails the job."""
-    body = F.aes_decrypt(F.unbase64("value"), key).cast("string")
+    group, code = (F.split_part(F.col("value"), F.lit(":"), F.lit(i)) for i in (1, 2))
+    body = F.aes_decrypt(F.unbase64(code), _row_key(key, group)).cast("string")
     return lines.select(F.from_json(body, schema, _JSON_EXACT).alias("row")).select("row.*")

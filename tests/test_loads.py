@@ -224,6 +224,7 @@ def test_protected_feed(spark):
     exports.protect(df, key).write.text(path)
     lines = spark.read.text(path)
     assert lines.count() == 6
+    assert lines.select(F.split_part("value", F.lit(":"), F.lit(1))).distinct().count() > 1
     assert sorted(exports.unprotect(lines, key, df.schema).collect()) == sorted(df.collect())
     wrong = F.lit("fedcba9876543210").cast("binary")
     with pytest.raises(Exception, match="AES"):
