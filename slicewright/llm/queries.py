@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewright.llm import merge_coding
-from slicewright.llm.common import table
+from slicewright.llm import merge_coding, rank_profiles
+from slicewright.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,13 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by the profiles of the learning folds."""
+    docs = table(spark, sf_dir, "documents")
+    profiles = rank_profiles.learn(docs.where(fold(F.col("doc_id")) != 0))
+    return rank_profiles.predict(docs, profiles).select(
+        "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score"
+    )
