@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewright.llm import merge_coding, rank_profiles
+from slicewright.llm import decontamination, merge_coding, rank_profiles
 from slicewright.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,9 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_profiles.predict(docs, profiles).select(
         "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a passage of at least 0.8 similarity to a benchmark item."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
