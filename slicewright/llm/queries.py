@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewright.llm import decontamination, merge_coding, rank_profiles
+from slicewright.llm import decontamination, merge_coding, rank_profiles, suffix_refinement, super_kmers
 from slicewright.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,17 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a passage of at least 0.8 similarity to a benchmark item."""
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings of smaller ids."""
+    out = suffix_refinement.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    return out.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+@query
+def op9_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-word windows of smaller ids."""
+    out = super_kmers.remove_repeated_words(table(spark, sf_dir, "documents"))
+    return out.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
