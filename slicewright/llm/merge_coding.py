@@ -23,6 +23,7 @@ import heapq
 import re
 import struct
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,8 +34,8 @@ from slicewright.llm.common import small_slices
 
 SPACE = "▁"
 CUTS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-#: Distinct cuts that a worker remembers before it starts afresh.
-MEMORY = 400_000
+#: Distinct cuts that a worker remembers; the ones not met since as many others are forgotten.
+MEMORY = 300_000
 #: Symbols beyond which the agenda is a heap.
 LONG = 48
 NEVER = float("inf")
@@ -64,6 +65,7 @@ class MergeCoder:
         self.spelling = [spelled.get(i, b"") for i in ids]
         self.begin, self.end = lib.bos_id(), lib.eos_id()
         self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
 
     def merge(self, text: str) -> list[int]:
         """Ids of a text whose spaces are marks already."""
@@ -116,10 +118,14 @@ class MergeCoder:
                 offer(before[left], left)
         return [s for s in symbols if s]
 
-    def _learn(self, cuts: Iterable[str]) -> None:
-        new = sorted(cuts)
-        if len(self.known) + len(new) > MEMORY:
-            self.known.clear()
+    def _learn(self, cuts: set[str]) -> None:
+        """Code the cuts that are not remembered."""
+        new = []
+        for cut in cuts:
+            if (seen := self.older.get(cut)) is not None:
+                self.known[cut] = seen
+            else:
+                new.append(cut)
         wanted = self.library.encode([c[1:] for c in new], num_threads=1) if self.check else None
         for k, cut in enumerate(new):
             ids = self.merge(cut)
@@ -130,14 +136,13 @@ class MergeCoder:
 
     def encode_batch(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
         """Packed ids, with begin and end, and the decoded text of each text."""
+        if len(self.known) > MEMORY:
+            self.known, self.older = {}, self.known
         marked = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
         cuts = [CUTS.findall(t) for t in marked]
         ids, decoded = [], []
         frame = struct.pack("<2I", self.begin, self.end)
-        fresh = {c for own in cuts for c in own if c not in self.known}
-        if len(self.known) + len(fresh) > MEMORY:
-            fresh = {c for own in cuts for c in own}
-        self._learn(fresh)
+        self._learn({c for own in cuts for c in own} - self.known.keys())
         for own in cuts:
             coded = [self.known[c] for c in own]
             ids.append(frame[:4] + b"".join([c[0] for c in coded]) + frame[4:])
@@ -151,15 +156,21 @@ class MergeCoder:
         return text[1:] if shown and shown[0] not in self.byte_ids and text[:1] == " " else text
 
 
+@lru_cache(2)
+def coder(model_file: str, check: bool) -> MergeCoder:
+    """One coder for all tasks of a worker, so that what it remembers serves them all."""
+    return MergeCoder(model_file, check)
+
+
 def encode_decode(
     docs: DataFrame, model_file: str, *, id_col: str = "doc_id", text_col: str = "text", check: bool = True
 ) -> DataFrame:
     """``id_col``, ``ids`` (little-endian unsigned 32-bit integers) and ``decoded`` of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = MergeCoder(model_file, check)
+        own = coder(model_file, check)
         for batch in small_slices(batches, "text"):
-            ids, decoded = coder.encode_batch([t or "" for t in batch["text"].to_pylist()])
+            ids, decoded = own.encode_batch([t or "" for t in batch["text"].to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], pa.array(ids, pa.binary()), pa.array(decoded, pa.string())],
                 names=[id_col, "ids", "decoded"],

@@ -8,7 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slicewright.llm import decontamination, merge_coding, rank_profiles, suffix_refinement, super_kmers
+from slicewright.llm import (
+    decontamination,
+    lattice_scoring,
+    merge_coding,
+    rank_profiles,
+    suffix_refinement,
+    super_kmers,
+)
 from slicewright.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +68,12 @@ def op9_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the 50-word windows of smaller ids."""
     out = super_kmers.remove_repeated_words(table(spark, sf_dir, "documents"))
     return out.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+@query
+def op3_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lattice and word-unigram score of every document."""
+    held_out = F.coalesce(fold(F.col("doc_id")) == 1, F.lit(False))
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    scored = lattice_scoring.score_documents(table(spark, sf_dir, "documents"), model, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
