@@ -15,6 +15,7 @@ from slicewright.llm import (
     rank_profiles,
     suffix_refinement,
     super_kmers,
+    toxicity,
 )
 from slicewright.llm.common import fold, table
 
@@ -77,3 +78,16 @@ def op3_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     scored = lattice_scoring.score_documents(table(spark, sf_dir, "documents"), model, ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of the learning folds."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scored = toxicity.score(docs, labels, fold(F.col("doc_id")) != 0)
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id")) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
