@@ -148,6 +148,13 @@ def _shared_minimisers(bucket: pa.Table, hot_blocks: int) -> pa.Table:
     return pa.table({c: pa.array(v, t) for (c, t), v in zip([("block", pa.int64()), ("shared", pa.binary()), ("hot", pa.binary())], cols)})
 
 
+def _member(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """Which keys are in the sorted array ``of``."""
+    if not len(of):
+        return np.zeros(len(keys), bool)
+    return of[np.minimum(np.searchsorted(of, keys), len(of) - 1)] == keys
+
+
 @dataclass
 class Travelling:
     """The distinct runs of a block that go to one bucket, in the order they were met."""
@@ -164,28 +171,29 @@ def _travelling(units: Units, docs: list, shared: np.ndarray, hot: np.ndarray, b
     cut = [runs(units, t) for t in texts]
     every, n = np.unique(np.concatenate([k for _, _, k in cut]), return_counts=True)
     wanted = np.union1d(shared, every[n > 1])
+    every = np.concatenate([k for _, _, k in cut])
+    chosen = np.flatnonzero(_member(every, wanted))
+    is_hot = set(chosen[_member(every[chosen], hot)].tolist())
+    row_of = np.repeat(np.arange(len(cut)), [len(k) for _, _, k in cut])[chosen]
+    first, n = (np.concatenate([c[j] for c in cut])[chosen] for j in (0, 1))
     out: dict[int, Travelling] = {}
-    for row, (text, (first, n, key)) in enumerate(zip(texts, cut)):
-        chosen = np.flatnonzero(np.isin(key, wanted))
-        is_hot = set(np.flatnonzero(np.isin(key, hot)).tolist()) if len(hot) else ()
-        doc = docs[row][0]
-        for i in chosen.tolist():
-            a, m, k = int(first[i]), int(n[i]), int(key[i])
-            if i in is_hot:
-                singles = [(w, units.packed(text, w, w + units.width)) for w in range(a, a + m)]
-                todo = [(w, s, xxhash.xxh3_64_intdigest(s) >> 16) for w, s in singles]
-            else:
-                todo = [(a, units.packed(text, a, a + m - 1 + units.width), k)]
-            for w, s, k in todo:
-                go = out.get(k % buckets)
-                if go is None:
-                    go = out[k % buckets] = Travelling({}, [], [], [])
-                at = go.packed.setdefault((k, s), len(go.packed))
-                if at == len(go.keys):
-                    go.keys.append(k)
-                    go.first_doc.append(doc)
-                    go.places.append([])
-                go.places[at].append((row, w))
+    for i, row, a, m, k in zip(*(x.tolist() for x in (chosen, row_of, first, n, every[chosen]))):
+        text, doc = texts[row], docs[row][0]
+        if i in is_hot:
+            singles = [(w, units.packed(text, w, w + units.width)) for w in range(a, a + m)]
+            todo = [(w, s, xxhash.xxh3_64_intdigest(s) >> 16) for w, s in singles]
+        else:
+            todo = [(a, units.packed(text, a, a + m - 1 + units.width), k)]
+        for w, s, k in todo:
+            go = out.get(k % buckets)
+            if go is None:
+                go = out[k % buckets] = Travelling({}, [], [], [])
+            at = go.packed.setdefault((k, s), len(go.packed))
+            if at == len(go.keys):
+                go.keys.append(k)
+                go.first_doc.append(doc)
+                go.places.append([])
+            go.places[at].append((row, w))
     return out
 
 
@@ -194,7 +202,7 @@ def _told(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     shared = [keys_from(x) for x in answers["shared"].to_pylist() if x]
     hot = [keys_from(x) for x in answers["hot"].to_pylist() if x]
     none = np.zeros(0, np.uint64)
-    return np.concatenate([none, *shared]), np.concatenate([none, *hot])
+    return np.unique(np.concatenate([none, *shared])), np.unique(np.concatenate([none, *hot]))
 
 
 def _pack(units: Units, block: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
