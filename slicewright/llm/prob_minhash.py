@@ -1,12 +1,50 @@
-"""Near-duplicates by ProbMinHash signatures, banding and verification."""
+"""Near-duplicates by ProbMinHash signatures, banding and verification.
+
+Texts are lower-cased (A-Z) and read as words; shingles are five words in a row,
+weighted by how often they occur. Two texts are near-duplicates from a
+probability Jaccard similarity of 0.8 on; for sets it is the plain Jaccard
+similarity. Classes are what links connect; a class is named by its smallest id.
+
+1. Texts with the same words are one; only the smallest id of each goes on, so
+   copies never meet in a group.
+2. A signature has 32 bands of 4 registers. A pair at 0.8 shares a band with
+   probability 1 - 5e-8. In each band group all members are verified against
+   the smallest id: one pair for each member.
+3. Groups that this leaves in several components are taken up again. Members
+   of different components whose signatures agree in at least ``MAYBE`` of the
+   registers (four standard deviations below 0.8) are verified as pairs; where
+   that would be many more pairs than members, inside the task, which returns
+   only links that connect. A pair that shares several bands is looked at in
+   the first. Groups above ``CHUNK`` members are dealt out as pairs of chunks, so
+   no task ever holds more than two chunks.
+
+No link is left out but by the two probabilities named, and nothing is capped.
+
+Defined results: a text without a word (NULL, empty, white space) is a class of
+its own; fewer than five words are one shingle; a NULL id has a NULL class;
+rows that repeat an id share a class. Every input row gives one row.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from slicewright.llm.common import saved, small_slices
+from slicewright.llm.components import components
 from slicewright.llm.window_exchange import mixed
 
+SIMILARITY, MAYBE = 0.8, 0.65
+CHUNK = 1_024
+#: Pairs for each member of a group up to which they travel as rows.
+SPARSE = 4
+
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
@@ -58,7 +96,7 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = REGIS
     arrival = 0
     while len(element):
         arrival += 1
-        r = mixed(element + np.uint64(arrival) * STEP)
+        r = mixed(element + np.uint64(arrival * int(STEP) % 2**64))
         clock = clock - np.log(((r >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / rate
         at = row * registers + (mixed(r) % np.uint64(registers)).astype(np.int64)
         np.minimum.at(best, at, clock)
@@ -97,3 +135,162 @@ def probability_jaccard(a: tuple, b: tuple) -> float:
     xs, ys = x.sum() - np.concatenate([[0.0], np.cumsum(x)[:-1]]), np.concatenate([[0.0], np.cumsum(y)[:-1]])
     both = (x > 0) & (y > 0)
     return float((1.0 / (xs[both] / x[both] + ys[both] / y[both])).sum())
+
+
+def words_of(text: str | None) -> list[bytes]:
+    return text.encode("utf-8", "replace").lower().split() if text else []
+
+
+def sign(docs: DataFrame) -> DataFrame:
+    """``id``, ``digest`` of the words (NULL for none); ``bands`` and ``sketch`` once for each digest of a slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_slices(batches, "text"):
+            ids = batch["id"].to_pylist()
+            sets, digests, holder = {}, [], {}
+            for row, text in enumerate(batch["text"].to_pylist()):
+                words = words_of(text)
+                digest = xxhash.xxh3_128_digest(b" ".join(words)) if words else None
+                digests.append(digest)
+                if digest is not None and ids[row] is not None:
+                    if digest not in holder or ids[row] < ids[holder[digest]]:
+                        holder[digest] = row
+                    if digest not in sets:
+                        sets[digest] = shingle_weights(words)
+            own = signatures(list(sets.values()))
+            keys = dict(zip(sets, band_keys(own).tolist()))
+            sketch = dict(zip(sets, own.astype(np.uint8)))
+            first = {row: digest for digest, row in holder.items()}
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["id"],
+                    pa.array(digests, pa.binary()),
+                    pa.array([keys[first[r]] if r in first else None for r in range(len(ids))], pa.list_(pa.int64())),
+                    pa.array([sketch[first[r]].tobytes() if r in first else None for r in range(len(ids))], pa.binary()),
+                ],
+                names=["id", "digest", "bands", "sketch"],
+            )
+
+    return docs.mapInArrow(run, "id long, digest binary, bands array<long>, sketch binary")
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` whose texts are similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets: dict = {}
+            keep = []
+            for a, b, x, y in zip(*(batch[c].to_pylist() for c in ("a", "b", "x", "y"))):
+                for i, t in ((a, x), (b, y)):
+                    if i not in sets:
+                        if len(sets) > 4_096:
+                            sets = {k: sets[k] for k in (a, b) if k in sets}
+                        sets[i] = shingle_weights(words_of(t))
+                keep.append(probability_jaccard(sets[a], sets[b]) >= SIMILARITY)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    x = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
+    y = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _maybe(unit: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids and components of a unit, and its pairs (places) to look at more closely."""
+    unit = unit.take(pa.compute.sort_indices(unit["id"]))
+    ids, comp, chunk = (unit[c].to_numpy() for c in ("id", "comp", "chunk"))
+    band, across = unit["band"][0].as_py(), unit["ci"][0].as_py() != unit["cj"][0].as_py()
+    sketch = np.frombuffer(b"".join(unit["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
+    whole = np.ascontiguousarray(sketch).view(np.uint32)  # a band is four registers of a byte
+    left, right = [], []
+    for low in range(0, len(ids), 64):
+        for start in range(low, len(ids), 512):
+            a, b = slice(low, low + 64), slice(start, start + 512)
+            good = comp[a, None] != comp[None, b]
+            if across:
+                good &= chunk[a, None] != chunk[None, b]
+            good &= np.arange(len(ids))[a, None] < np.arange(len(ids))[None, b]
+            if not good.any():
+                continue
+            good &= (sketch[a, None, :] == sketch[None, b, :]).mean(2) >= MAYBE
+            good &= (whole[a, None, :] == whole[None, b, :]).argmax(2) >= band
+            x, y = np.nonzero(good)
+            left.append(x + low)
+            right.append(y + start)
+    none = np.zeros(0, np.int64)
+    return ids, comp, np.concatenate([none, *left]), np.concatenate([none, *right])
+
+
+def _look(unit: pa.Table) -> pa.Table:
+    """Pairs to verify or, where these are many, the members to verify among themselves (``b`` NULL)."""
+    ids, _, left, right = _maybe(unit)
+    if len(left) <= SPARSE * len(ids):
+        a, b = ids[left].tolist(), ids[right].tolist()
+    else:
+        a = ids[np.unique(np.concatenate([left, right]))].tolist()
+        b = [None] * len(a)
+    same = {c: pa.array([unit[c][0].as_py()] * len(a), unit.schema.field(c).type) for c in ("key", "ci", "cj")}
+    return pa.table(same | {"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _connect(unit: pa.Table) -> pa.Table:
+    """Links between components of a dense unit, as many as connect them."""
+    sets = {i: t for i, t in zip(unit["id"].to_pylist(), unit["text"].to_pylist())}
+    ids, comp, left, right = _maybe(unit.drop_columns(["text"]))
+    weights = [shingle_weights(words_of(sets[i])) for i in ids.tolist()]
+    up = {c: c for c in comp.tolist()}
+
+    def top(c: int) -> int:
+        while up[c] != c:
+            up[c] = c = up[up[c]]
+        return c
+
+    out = []
+    for x, y in zip(left.tolist(), right.tolist()):
+        c, d = top(int(comp[x])), top(int(comp[y]))
+        if c != d and probability_jaccard(weights[x], weights[y]) >= SIMILARITY:
+            up[c] = d
+            out.append((int(ids[x]), int(ids[y])))
+    a, b = zip(*out) if out else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _between(groups: DataFrame, links: DataFrame, sketches: DataFrame, texts: DataFrame, chunk: int) -> DataFrame:
+    """Links between components that share a band group."""
+    part = groups.join(components(links), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    open_ = part.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"))
+    open_ = open_.where("low < high").select("key", F.ceil(F.col("n") / chunk).cast("int").alias("chunks"))
+    own = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
+    rows = part.join(open_, "key").withColumn("chunk", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    units = saved(
+        rows.select("key", "band", "id", "comp", "chunk", F.least("chunk", "other").alias("ci"), F.greatest("chunk", "other").alias("cj")),
+        "near-units",
+    )
+    unit = ["key", "ci", "cj"]
+    drawn = units.join(sketches, "id")
+    found = saved(drawn.groupBy(*unit).applyInArrow(_look, "key long, ci int, cj int, a long, b long"), "near-pairs")
+    pairs = verified(found.where("b IS NOT NULL").select("a", "b").distinct(), texts)
+    dense = found.where("b IS NULL").select(*unit, F.col("a").alias("id"))
+    inside = drawn.join(dense, [*unit, "id"]).join(texts, "id").groupBy(*unit).applyInArrow(_connect, "a long, b long")
+    return pairs.unionAll(inside)
+
+
+def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+    """``id_col`` and ``class_id`` of each row."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    signed = saved(sign(rows), "signatures")
+    copies = signed.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"))
+    signs = signed.where("bands IS NOT NULL").join(copies.withColumnRenamed("rep", "id"), ["id", "digest"])
+    keys = signs.select("id", F.posexplode("bands").alias("band", "key"))
+    leaders = keys.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1")
+    groups = saved(keys.join(leaders.drop("n"), "key"), "band-groups")
+    members = groups.select("id").distinct()
+    texts = saved(rows.join(members, "id", "left_semi").dropDuplicates(["id"]), "near-texts")
+    star = groups.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
+    links = saved(verified(star, texts), "near-links")
+    sketches = signs.select("id", "sketch").dropDuplicates(["id"])
+    more = saved(_between(groups.drop("leader"), links, sketches, texts, chunk), "near-links")
+    named = components(links.unionAll(more))
+    out = signed.select("id", "digest").join(copies, "digest", "left").withColumn("rep", F.coalesce("rep", "id"))
+    out = out.join(named.withColumnRenamed("id", "rep"), "rep", "left")
+    return out.select(F.col("id").alias(id_col), F.coalesce("comp", "rep").alias("class_id"))

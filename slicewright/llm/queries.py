@@ -12,6 +12,7 @@ from slicewright.llm import (
     decontamination,
     lattice_scoring,
     merge_coding,
+    prob_minhash,
     rank_profiles,
     suffix_refinement,
     super_kmers,
@@ -91,3 +92,9 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return prob_minhash.classes(table(spark, sf_dir, "documents"))
