@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,10 @@ from slicewright.llm import (
     decontamination,
     lattice_scoring,
     merge_coding,
+    pii,
     prob_minhash,
     rank_profiles,
+    robust_outliers,
     suffix_refinement,
     super_kmers,
     toxicity,
@@ -98,3 +101,26 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return prob_minhash.classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document, and whether its statistics are within reach of its group's."""
+    return robust_outliers.judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        *(pii.count_of(k).alias(f"n_{k}") for k in pii.BASE),
+        F.sha2(pii.as_text("base"), 256).alias("base_sha256"),
+        pii.as_text("spans").alias("spans"),
+    )
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
