@@ -25,7 +25,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     classes = prob_minhash.classes(docs)
     others = classes.where("class_id <> doc_id").select("doc_id").distinct()
     kept = docs.join(others, "doc_id", "left_anti")
-    again = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    no_id = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))  # rows without an id are no group
+    again = F.row_number().over(Window.partitionBy("doc_id", no_id).orderBy("text"))
     return kept.withColumn("_again", again).where("_again = 1 OR doc_id IS NULL").select(docs.columns)
 
 
