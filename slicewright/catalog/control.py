@@ -48,8 +48,9 @@ SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (
 
 _GUARD_CTE = """guarded AS (
 SELECT r.*, CASE WHEN c.proc_name IS NULL THEN 'process is unknown or not active'
+                 WHEN c.n > 1 THEN 'process is configured twice'
                  WHEN s.proc_status = 'Running' THEN 'process is running already' END AS guard_error
-FROM latest r LEFT JOIN (SELECT * FROM config WHERE is_active = 1) c ON c.proc_name = r.proc_name
+FROM latest r LEFT JOIN (SELECT proc_name, count(*) AS n FROM config WHERE is_active = 1 GROUP BY 1) c ON c.proc_name = r.proc_name
 LEFT JOIN status s ON s.proc_name = r.proc_name)"""
 
 # 2024-03-31 20:00 UTC is 2024-04-01 in the business zone.
@@ -94,9 +95,9 @@ _TO_WINDOWS = ", ".join(
 
 
 def newest_accepted(spark, sf_dir) -> DataFrame:
-    """The newest accepted request of each process, from a stored request table."""
-    stored = save(fx.derive(spark, sf_dir, "requests"), new_folder(spark, "requests"))
-    accepted = requests.validate_requests(stored).where(F.col("error").isNull())
+    """The newest accepted request of each process."""
+    every = fx.derive(spark, sf_dir, "requests")
+    accepted = requests.validate_requests(every).where(F.col("error").isNull())
     needed = accepted.select(
         "proc_name", "proc_run_id", "run_mode", "start_day", "end_day", "requested_at", "request_no"
     )
@@ -133,6 +134,7 @@ def ctl_request_validate(spark, sf_dir) -> DataFrame:
     "ctl_config_validate",
     f"""{fx.ctes("config")}
 SELECT proc_name, proc_type, CASE
+  WHEN count(*) OVER (PARTITION BY proc_name) > 1 THEN 'process is configured twice'
   WHEN proc_type = 'inbound' AND coalesce(trim(src_system), '') = ''
     THEN 'source system is not configured'
   WHEN proc_type = 'inbound' AND coalesce(trim(src_file_name), '') = '' THEN 'file name is not configured'
@@ -215,7 +217,8 @@ SELECT coalesce(s.proc_name, w.proc_name) AS proc_name,
        s.end_proc_dtm,
        CASE WHEN w.proc_name IS NOT NULL AND s.proc_name IS NOT NULL THEN w.ins_proc_dtm END
            AS upd_proc_dtm
-FROM status s FULL JOIN windows w ON s.proc_name = w.proc_name""",
+FROM status s FULL JOIN (SELECT * FROM windows WHERE running_dt IS NOT NULL AND end_dt IS NOT NULL) w
+  ON s.proc_name = w.proc_name""",
 )
 def ctl_status_start(spark, sf_dir) -> DataFrame:
     status = save(current_status(spark, sf_dir), new_folder(spark, "status"))
@@ -287,6 +290,50 @@ def ctl_status_finish(spark, sf_dir) -> DataFrame:
     return progress.finish_status(current_status(spark, sf_dir), results, fx.as_of())
 
 
+@query(
+    "ctl_run_cycle",
+    f"""{_TO_WINDOWS}, {_CALENDAR_CTE},
+begun AS (SELECT * FROM windows WHERE running_dt IS NOT NULL AND end_dt IS NOT NULL),
+broken AS (SELECT proc_name, min(running_dt) AS stop FROM calendar WHERE day(running_dt) = 13 GROUP BY 1),
+tried AS (
+SELECT c.proc_name, count(*) AS n, max(c.running_dt) AS mark, bool_or(day(c.running_dt) = 13) AS failed
+FROM calendar c LEFT JOIN broken b USING (proc_name)
+WHERE stop IS NULL OR c.running_dt <= stop GROUP BY 1)
+SELECT coalesce(s.proc_name, w.proc_name) AS proc_name,
+       CASE WHEN w.proc_name IS NULL THEN s.proc_run_id ELSE w.proc_run_id END AS proc_run_id,
+       CASE WHEN w.proc_name IS NULL THEN s.proc_status
+            WHEN coalesce(t.failed, false) THEN 'Failed' ELSE 'Success' END AS proc_status,
+       CASE WHEN w.proc_name IS NULL THEN s.run_mode ELSE w.run_mode END AS run_mode,
+       CASE WHEN w.proc_name IS NULL THEN s.running_dt
+            WHEN coalesce(t.failed, false) THEN CASE WHEN t.n > 1 THEN t.mark ELSE w.running_dt END
+            END AS running_dt,
+       CASE WHEN w.proc_name IS NULL THEN s.start_dt ELSE w.start_dt END AS start_dt,
+       CASE WHEN w.proc_name IS NULL THEN s.end_dt ELSE w.end_dt END AS end_dt,
+       CASE WHEN w.proc_name IS NULL THEN s.start_proc_dtm ELSE w.start_proc_dtm END AS start_proc_dtm,
+       CASE WHEN w.proc_name IS NULL THEN s.end_proc_dtm
+            WHEN NOT coalesce(t.failed, false) THEN TIMESTAMP '{fx.AS_OF_TEXT}' END AS end_proc_dtm,
+       CASE WHEN s.proc_name IS NULL THEN w.ins_proc_dtm ELSE s.ins_proc_dtm END AS ins_proc_dtm,
+       CASE WHEN w.proc_name IS NOT NULL THEN TIMESTAMP '{fx.AS_OF_TEXT}' END AS upd_proc_dtm
+FROM status s FULL JOIN begun w ON s.proc_name = w.proc_name
+LEFT JOIN tried t ON t.proc_name = w.proc_name""",
+)
+def ctl_run_cycle(spark, sf_dir) -> DataFrame:
+    """Requests through guard, window, start and outcomes to the final status.
+
+    Every process fails on the 13th of a month; what follows is not attempted.
+    """
+    status = current_status(spark, sf_dir)
+    found = save(run_windows(spark, sf_dir, status), new_folder(spark, "windows"))
+    started = progress.start_status(status, found)
+    failed = F.dayofmonth("running_dt") == 13
+    outcomes = windows.expand_calendar(found).withColumn(
+        "proc_status", F.when(failed, schemas.FAILED).otherwise(schemas.SUCCESS)
+    )
+    tried = progress.stop_after_failure(outcomes, "proc_name", ["running_dt"], failed)
+    marked = progress.move_marker(started, tried, fx.as_of())
+    return progress.finish_status(marked, progress.results_of(tried, found), fx.as_of())
+
+
 @query(
     "ctl_log_close",
     f"""{fx.ctes("run_log", "outcomes")}

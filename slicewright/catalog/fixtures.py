@@ -58,7 +58,7 @@ SELECT c_name AS proc_name,
        CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE 'raw' END AS src_volume_name,
        CASE WHEN c_custkey % 29 = 0 THEN NULL ELSE concat('bronze.t', CAST(c_custkey AS STRING))
            END AS trgt_tbl_name
-FROM {customer}
+FROM (SELECT * FROM {customer} UNION ALL SELECT * FROM {customer} WHERE c_custkey % 47 = 0)
 """
 
 DERIVATIONS["status_events"] = f"""
@@ -70,7 +70,7 @@ SELECT {_PROC_OF_USER} AS proc_name,
        CASE WHEN event_type NOT IN ('error', 'signup') OR event_id % 3 = 0 THEN NULL
             ELSE CAST(ts AS DATE) END AS running_dt,
        CASE WHEN event_id % 5 = 0 THEN NULL ELSE CAST(ts AS DATE) - 2 END AS start_dt,
-       CAST(ts AS DATE) + 1 AS end_dt,
+       CASE WHEN event_id % 11 = 0 THEN CAST(ts AS DATE) - 1 ELSE CAST(ts AS DATE) + 1 END AS end_dt,
        ts AS start_proc_dtm,
        CASE WHEN event_type IN ('error', 'signup') THEN NULL
             ELSE ts + INTERVAL '1' HOUR END AS end_proc_dtm,
@@ -161,7 +161,7 @@ def derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def config(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Process config, one row per customer."""
+    """Process config, one row per customer, and some of them twice."""
     rows = derive(spark, sf_dir, "config").withColumn(
         "created_dtm", dates.clock(F.lit("2024-01-01 00:00:00"))
     )

@@ -296,23 +296,22 @@ def snk_protected_feed(spark, sf_dir) -> DataFrame:
 @query(
     "snk_file_ledger",
     f"""
-WITH files AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS data_dt FROM lineitem),
-named AS (SELECT concat('LINES_', strftime(data_dt, '%Y%m%d'), '.csv') AS file_name, data_dt FROM files)
+WITH files AS (SELECT CAST(l_shipdate AS DATE) AS data_dt, count(*) AS n_bytes FROM lineitem GROUP BY 1),
+named AS (SELECT concat('LINES_', strftime(data_dt, '%Y%m%d'), '.csv') AS file_name, * FROM files)
 SELECT file_name, 'INB_LINES' AS proc_name,
        CASE WHEN day(data_dt) <= 15 THEN '{fx.RUN_ID}' ELSE 'run-0002' END AS proc_run_id,
        concat('zone/in/archived/20240401030000/LINES_', strftime(data_dt, '%Y%m%d'), '_',
               strftime(data_dt, '%Y%m%d'), '_20240401030000.csv') AS archive_path,
-       TIMESTAMP '{fx.AS_OF_TEXT}' AS processed_dtm, data_dt
+       TIMESTAMP '{fx.AS_OF_TEXT}' AS processed_dtm, data_dt, n_bytes,
+       TIMESTAMP '{fx.AS_OF_TEXT}' AS modified_dtm
 FROM named""",
 )
 def snk_file_ledger(spark, sf_dir) -> DataFrame:
     """Two pick-ups of one landing zone; the second takes only what the first left."""
     path = new_folder(spark, "ledger")
-    days = fx.table(spark, sf_dir, "lineitem").select(
-        F.col("l_shipdate").cast("date").alias("data_dt")
-    ).distinct()
-    landed = days.select(
-        filenames.dated_name(F.lit("LINES"), F.col("data_dt")).alias("file_name"), "data_dt"
+    days = fx.table(spark, sf_dir, "lineitem").groupBy(F.col("l_shipdate").cast("date").alias("data_dt"))
+    landed = days.agg(F.count("*").alias("n_bytes")).withColumns(
+        {"file_name": filenames.dated_name(F.lit("LINES"), F.col("data_dt")), "modified_dtm": fx.as_of()}
     )
 
     def pick_up(files: DataFrame, run_id: str) -> None:

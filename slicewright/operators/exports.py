@@ -22,7 +22,6 @@ _JSON_EXACT = {
     "timestampNTZFormat": _EXACT["timestampNTZFormat"],
     "timestampFormat": _EXACT["timestampFormat"],
 }
-SINGLE_FILE_ROWS = 1_000_000
 PART_ROWS = 5_000_000
 KEY_GROUPS = 65_536
 
@@ -32,20 +31,9 @@ def write_delimited(
     path: str,
     *,
     sep: str = FEED_SEPARATOR,
-    single_file: bool = False,
-    single_file_rows: int = SINGLE_FILE_ROWS,
     part_rows: int = PART_ROWS,
 ) -> None:
-    """Headed delimited export of the whole table.
-
-    ``single_file`` writes one part when the table is shown to hold at most
-    ``single_file_rows`` rows.  A larger table is written by all tasks in
-    parts of at most ``part_rows`` rows, since one task could not hold it.
-    """
-    if single_file:
-        beyond = df.select(F.lit(1)).limit(single_file_rows + 1).count() > single_file_rows
-        if not beyond:
-            df = df.coalesce(1)
+    """Headed delimited export of the whole table, in parts of at most ``part_rows`` rows."""
     (
         df.write.mode("overwrite")
         .options(**_EXACT)

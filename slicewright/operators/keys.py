@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,19 +30,21 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     return _pick(df, keys, order, F.min_by)
 
 
-def only_row_per_key(df: DataFrame, keys: Sequence[str], what: str) -> DataFrame:
+def only_row_per_key(
+    df: DataFrame, keys: Sequence[str], what: str, *, apart: bool = False
+) -> DataFrame:
     """``df``, failing the job when two of its rows share a key.
 
-    The grouping leaves the rows hash-partitioned by key, as a join on the
-    same keys needs them, so the check adds no shuffle to that join.
+    The count leaves the rows partitioned and sorted by key, as a join on the
+    same keys needs them, so the check adds nothing to that join.  ``apart``
+    partitions them by more than the key: the join then shuffles this side once
+    more, and adaptive execution can split hot keys of the other side.
     """
-    rest = [c for c in df.columns if c not in keys]
-    checked = df.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.first(F.struct(*rest)).alias("_row")
-    )
     complaint = F.concat(F.lit(f"{what}: several rows for key "), F.to_json(F.struct(*keys)))
+    own = [*keys, F.xxhash64(*keys)] if apart else keys
+    count = F.count("*").over(Window.partitionBy(*own))
     single = F.when(F.col("_n") == 1, True).otherwise(F.raise_error(complaint).cast("boolean"))
-    return checked.where(single).select(*keys, "_row.*").select(*df.columns)
+    return df.withColumn("_n", count).where(single).drop("_n")
 
 
 def key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 from slicewright.functions import dates
 from slicewright.operators.keys import only_row_per_key
 from slicewright.schemas import conform
-from slicewright.storage import settle
 
 
 def overwrite(df: DataFrame, path: str) -> None:
@@ -58,13 +57,27 @@ def replace_slices(target: DataFrame, new: DataFrame, column: str) -> DataFrame:
     return kept.unionByName(new)
 
 
-def write_slices(df: DataFrame, path: str, column: str = "DATA_DT", *, gather: bool = False):
+def write_slices(
+    df: DataFrame,
+    path: str,
+    column: str = "DATA_DT",
+    *,
+    slices: Column | None = None,
+    gather: bool = False,
+):
     """Replace, in a table partitioned by ``column``, exactly the slices found in ``df``.
 
-    ``gather`` first brings each slice's rows together, for input in which every
-    task holds rows of many slices; adaptive execution splits a slice too large
-    for one task.  Input that arrives slice by slice is written as it comes.
+    ``slices`` is a condition on ``column`` for the slices that may be replaced; a
+    row outside fails the job before any slice is touched.  ``gather`` first
+    brings each slice's rows together, for input in which every task holds rows
+    of many slices; adaptive execution splits a slice too large for one task.
+    Input that arrives slice by slice is written as it comes.
     """
+    if slices is not None:
+        stray = F.raise_error(
+            F.concat(F.lit(f"row outside the slices to replace: {column} = "), F.coalesce(F.col(column).cast("string"), F.lit("NULL")))
+        )
+        df = df.where(F.when(slices, True).otherwise(stray.cast("boolean")))
     if gather:
         df = df.hint("rebalance", column)
     (
@@ -85,13 +98,13 @@ def update_matched(
     """``target`` with columns set on the rows that match a change and satisfy ``when``.
 
     ``changes`` holds at most one row per key.  Its other columns are available
-    to ``assignments`` and ``when`` as ``new_<name>``.  The changes are written
-    first: usually they are few and the target is then not shuffled at all, and
-    many target rows may share a key.
+    to ``assignments`` and ``when`` as ``new_<name>``.  Few changes are broadcast
+    by adaptive execution and the target is then not shuffled at all; of many,
+    both sides are shuffled and a hot key of the target is split.
     """
     values = [c for c in changes.columns if c not in keys]
     complete = changes.dropna(subset=list(keys))  # a NULL key matches nothing
-    source = settle(only_row_per_key(complete, keys, "update"), "changes").select(
+    source = only_row_per_key(complete, keys, "update", apart=True).select(
         *keys, *[F.col(c).alias(f"new_{c}") for c in values], F.lit(True).alias("_matched")
     )
     hit = F.col("_matched").isNotNull()

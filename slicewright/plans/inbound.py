@@ -16,6 +16,7 @@ from datetime import date
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from slicewright.functions import dates, filenames, text
 from slicewright.operators import ledger as ledgers
@@ -51,6 +52,7 @@ class Load:
     file_log: str
     ledger: str
     sep: str = ","
+    layout: StructType | None = None
 
 
 def _table(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -71,15 +73,24 @@ def file_state(spark: SparkSession, file_log: str) -> DataFrame:
 
 
 def _open_run(spark: SparkSession, load: Load, expected: DataFrame, work: str) -> DataFrame:
-    """Expected files not yet in the ledger, entered in the log as Processing."""
+    """Every expected file, what has landed of it, and whether its date is due.
+
+    A date is due when any file of it has not been loaded as it is now. Then all
+    its files are loaded, also those that the ledger holds, since the slice is
+    replaced as a whole. The others have nothing to do and are not logged.
+    """
     landed = landings.manifest(spark, load.landing)
     own = _table(spark, load.ledger, LEDGER).where(F.col("proc_name") == load.proc_name)
-    due = ledgers.unprocessed(expected, own)
-    pending = save(
-        landings.resolve(due, landed).withColumn("proc_status", F.lit(PROCESSING)),
-        f"{work}/pending",
+    files = landings.resolve(expected.select("file_name", "data_dt").distinct(), landed)
+    known = ledgers.with_loaded(files, own)
+    fresh = known.where(~F.col("loaded")).select(F.col("data_dt").alias("_d"), F.lit(True).alias("due"))
+    pending = known.join(fresh.distinct(), F.col("data_dt").eqNullSafe(F.col("_d")), "left").drop("_d")
+    pending = pending.withColumns(
+        {"due": F.coalesce("due", F.lit(False)), "proc_status": F.lit(PROCESSING)}
     )
-    append(conform(_log_rows(load, pending, total=F.lit(0)), FILE_LOG), load.file_log)
+    pending = save(pending, f"{work}/pending")
+    opened = pending.where("due")
+    append(conform(_log_rows(load, opened, total=F.lit(0)), FILE_LOG), load.file_log)
     return pending
 
 
@@ -112,15 +123,15 @@ def _failure_logged(load: Load, pending: DataFrame):
 
 
 def _due_rows(rows: DataFrame, pending: DataFrame) -> DataFrame:
-    """Rows of pending files.
+    """Rows of the files to load.
 
-    The span of pending names is a constant that prunes the scan to the files
-    within it; the join then keeps exactly the pending ones.
+    The span of their names prunes the listing; within it the join does, by
+    dynamic pruning where a landed name is a folder, and it keeps exactly them.
     """
-    landed = pending.where(~F.col("missing"))
+    landed = pending.where(F.col("due") & ~F.col("missing"))
     span = landed.agg(F.min("file_name").alias("lo"), F.max("file_name").alias("hi")).first()
     within = F.col("file_name").between(F.lit(span.lo), F.lit(span.hi))
-    return rows.where(within).join(landed.select("file_name"), "file_name", "left_semi")
+    return rows.where(within).join(landed.select("file_name").distinct(), "file_name", "left_semi")
 
 
 def _close_run(spark: SparkSession, load: Load, verdicts: DataFrame) -> DataFrame:
@@ -133,8 +144,10 @@ def _close_run(spark: SparkSession, load: Load, verdicts: DataFrame) -> DataFram
         }
     )
     total = F.coalesce("data_cnt", F.lit(0))
-    append(conform(_log_rows(load, closed, total), FILE_LOG), load.file_log)
-    accepted = closed.where(F.col("proc_status") == SUCCESS).select("file_name", "data_dt")
+    logged = closed.where(F.col("check_status") != checks.ALREADY_LOADED)
+    append(conform(_log_rows(load, logged, total), FILE_LOG), load.file_log)
+    kept = [c for c in ("n_bytes", "modified_dtm") if c in closed.columns]
+    accepted = closed.where(F.col("check_status") == checks.OK).select("file_name", "data_dt", *kept)
     append(
         ledgers.entries(
             accepted,
@@ -150,23 +163,54 @@ def _close_run(spark: SparkSession, load: Load, verdicts: DataFrame) -> DataFram
     )
 
 
-def _publish(staged: DataFrame, verdicts: DataFrame, load: Load) -> None:
+def _hold_back(verdicts: DataFrame) -> DataFrame:
+    """A slice is published when all its files are accepted; else none of them is."""
+    refused = verdicts.where(~F.col("check_status").isin(checks.OK, checks.ALREADY_LOADED))
+    dates_held = refused.select(F.col("data_dt").alias("_d"), F.lit(True).alias("_held")).distinct()
+    held = F.col("_held").isNotNull() & (F.col("check_status") == checks.OK)
+    return (
+        verdicts.join(dates_held, F.col("data_dt").eqNullSafe(F.col("_d")), "left")
+        .withColumn("message", F.when(held, "another file of the date was refused").otherwise(F.col("message")))
+        .withColumn("check_status", F.when(held, checks.SLICE_INCOMPLETE).otherwise(F.col("check_status")))
+        .drop("_d", "_held")
+    )
+
+
+def _publish(rows: DataFrame, verdicts: DataFrame, load: Load) -> None:
     """Replace the target slices of the accepted files.  Staging is already sliced: no shuffle."""
     accepted = verdicts.where(F.col("check_status") == checks.OK)
-    slices = accepted.select("file_name", F.col("data_dt").alias("_slice"))
-    rows = staged.join(slices, "file_name")
-    stamped = with_lineage(rows, F.col("_slice"), load.run_id, load.as_of)
-    write_slices(stamped.drop("file_name", "_slice"), load.target)
+    slices = accepted.select("file_name", F.col("data_dt").alias("_slice")).distinct()
+    stamped = with_lineage(rows.join(slices, "file_name"), F.col("_slice"), load.run_id, load.as_of)
+    stamped = stamped.drop("file_name", "_slice")
+    write_slices(stamped, load.target)
     # A slice announced and delivered empty has no rows to overwrite the old ones with.
     sizes = accepted.groupBy("data_dt").agg(F.sum("data_cnt").alias("n"))
-    for empty in sizes.where(F.col("n") == 0).toLocalIterator():
-        clear_slice(staged.drop("file_name"), load.target, empty.data_dt)
+    clear_slices(stamped, load.target, [r.data_dt for r in sizes.where(F.col("n") == 0).collect()])
 
 
-def clear_slice(like: DataFrame, target: str, data_dt: date) -> None:
-    """Empty one slice of a table partitioned by DATA_DT."""
-    none = with_lineage(like.limit(0), F.lit(data_dt), "", F.lit("1970-01-01")).drop("DATA_DT")
-    none.write.mode("overwrite").parquet(f"{target}/DATA_DT={data_dt.isoformat()}")
+def clear_slices(like: DataFrame, target: str, days: list[date], column: str = "DATA_DT") -> None:
+    """Empty slices of a table partitioned by date.
+
+    One file without rows, with the columns of ``like``, is written once and
+    stands in every emptied slice, so the table can be read when all are empty.
+    A calendar bounds their number; beyond that file no job is run.
+    """
+    if not days:
+        return
+    spark = like.sparkSession
+    none = new_folder(spark, "no-rows")
+    like.drop(column).limit(0).write.parquet(none)
+    fs = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    source = fs.Path(f"{none}/part-*.parquet")
+    files = [f.getPath() for f in source.getFileSystem(conf).globStatus(source)]
+    for day in days:
+        folder = fs.Path(f"{target}/{column}={day.isoformat()}")
+        there = folder.getFileSystem(conf)
+        there.delete(folder, True)
+        there.mkdirs(folder)
+        for file in files:
+            fs.FileUtil.copy(file.getFileSystem(conf), file, there, fs.Path(folder, file.getName()), False, conf)
 
 
 def load_files(
@@ -178,43 +222,108 @@ def load_files(
     """
     work = new_folder(spark, "load")
     pending = _open_run(spark, load, expected, work)
-    with _failure_logged(load, pending):
+    with _failure_logged(load, pending.where("due")):
         staged = _stage_text(spark, load, pending, f"{work}/staged")
-        verdicts = save(_check_files(pending, staged, controls), f"{work}/verdicts")
-        _publish(staged, verdicts, load)
-        release(spark, f"{work}/staged")
-        return _close_run(spark, load, verdicts)
+        found = _check_files(pending, staged, controls)
+        verdicts = save(_hold_back(found), f"{work}/verdicts")
+        if staged is not None:
+            _publish(staged.rows, verdicts, load)
+            release(spark, f"{work}/staged")
+        closed = _close_run(spark, load, verdicts)
+    release(spark, f"{work}/pending")
+    return closed
 
 
-def _stage_text(spark: SparkSession, load: Load, pending: DataFrame, path: str) -> DataFrame:
-    source = read_landed(trimming_reader(spark, load.sep), "csv", load.landing)
-    return save(_due_rows(source, pending), path, partition_by=["file_name"])
+@dataclass(frozen=True)
+class Staged:
+    """Text files parsed once: their rows, and for each file its row count and whether its header fits."""
 
+    rows: DataFrame
+    files: DataFrame
 
-def _check_files(pending: DataFrame, staged: DataFrame, controls: DataFrame) -> DataFrame:
-    """Verdict per pending file: present, announced, on its date, and complete."""
-    counts = checks.count_slices(staged, "file_name", "file_name")
+
+def _stage_text(spark: SparkSession, load: Load, pending: DataFrame, path: str) -> Staged | None:
+    """Parse the due files, every one under its own header; None when there is nothing to parse.
+
+    The feed's columns are those of its declared layout or, without one, the
+    header of its first file. Lines are staged with their place in the file,
+    so the header lines are known afterwards and no file is read twice.
+    """
+    present = pending.where(F.col("due") & ~F.col("missing") & F.col("path").isNotNull())
+    first = present.orderBy("file_name").select("path").first()
+    if first is None:
+        return None
+    names = load.layout.names if load.layout is not None else trimming_reader(spark, load.sep).csv(first.path).columns
+    # one column more than the feed has shows lines that are too long
+    cells = [f"_c{i}" for i in range(len(names) + 1)]
+    trim = load.layout is None
+    reader = spark.read.schema(", ".join(f"{c} string" for c in cells)).options(
+        sep=load.sep, header=False, ignoreLeadingWhiteSpace=trim, ignoreTrailingWhiteSpace=trim
+    )
+    lines = read_landed(reader, "csv", load.landing).withColumns(
+        {
+            "_path": F.col("_metadata.file_path"),
+            "_start": F.col("_metadata.file_block_start"),
+            "_line": F.monotonically_increasing_id(),
+        }
+    )
+    staged = save(_due_rows(lines, pending), path, partition_by=["file_name"])
+    heads = (
+        staged.where(F.col("_start") == 0)
+        .groupBy("file_name", "_path")
+        .agg(F.min("_line").alias("_head"), F.min_by(F.array(*cells), "_line").alias("_names"))
+    )
+    wanted = F.array(*[F.lit(n) for n in names], F.lit(None).cast("string"))
+    fits = F.transform("_names", lambda c: F.trim(c)) == wanted
+    per_file = heads.groupBy("file_name").agg(F.count("*").alias("n_heads"), F.bool_and(fits).alias("fits"))
+    counted = checks.count_slices(staged, "file_name", "file_name").join(per_file, "file_name", "left")
+    files = counted.select(
+        "file_name", (F.col("data_cnt") - F.coalesce("n_heads", F.lit(0))).alias("data_cnt"), F.coalesce("fits", F.lit(False)).alias("fits")
+    )
+    body = staged.join(heads.select("_path", "_head"), "_path").where((F.col("_start") > 0) | (F.col("_line") != F.col("_head")))
+    kinds = [f.dataType for f in load.layout] if load.layout is not None else ["string"] * len(names)
+    typed = [F.col(c).try_cast(k).alias(n) for c, n, k in zip(cells, names, kinds)]
+    return Staged(body.select(*typed, "file_name"), files)
+
+
+def _check_files(pending: DataFrame, staged: Staged | None, controls: DataFrame) -> DataFrame:
+    """Verdict per expected file: present, laid out as the feed, announced, on its date, and complete.
+
+    Control rows that say the same count once; a file with different ones is refused.
+    """
     run_dt, ctrl_dt = dates.compact(F.col("data_dt")), F.col("ctrl_dt")
-    data, ctrl = F.coalesce("data_cnt", F.lit(0)), F.col("ctrl_cnt")
+    ctrl = F.col("ctrl_cnt")
+    one = controls.distinct().groupBy("file_name").agg(
+        F.count("*").alias("_n_ctrl"), F.min("ctrl_dt").alias("ctrl_dt"), F.min("ctrl_cnt").alias("ctrl_cnt")
+    )
+    files = pending.withColumns({"data_cnt": F.lit(None).cast("long"), "fits": F.lit(None).cast("boolean")})
+    if staged is not None:
+        files = pending.join(staged.files, "file_name", "left")
+    data = F.coalesce("data_cnt", F.lit(0))
     status = (
-        F.when(F.col("missing"), checks.NO_DATA)
+        F.when(~F.col("due"), checks.ALREADY_LOADED)
+        .when(F.col("missing"), checks.NO_DATA)
+        .when(~F.col("fits"), checks.HEADER_MISMATCH)
         .when(ctrl.isNull(), checks.NO_CONTROL)
+        .when(F.col("_n_ctrl") > 1, checks.CONTROL_AMBIGUOUS)
         .when(checks.date_differs(run_dt, ctrl_dt), checks.DATE_MISMATCH)
         .when(data != ctrl, checks.COUNT_MISMATCH)
         .otherwise(checks.OK)
     )
     message = (
         F.when(F.col("check_status") == checks.NO_DATA, "data file not found")
+        .when(F.col("check_status") == checks.HEADER_MISMATCH, "header is not that of the feed")
         .when(F.col("check_status") == checks.NO_CONTROL, "control row not found")
+        .when(F.col("check_status") == checks.CONTROL_AMBIGUOUS, "control rows differ")
         .when(F.col("check_status") == checks.DATE_MISMATCH, checks.date_message(run_dt, ctrl_dt))
         .when(F.col("check_status") == checks.COUNT_MISMATCH, checks.count_message(data, ctrl))
     )
     return (
-        pending.join(counts, "file_name", "left")
-        .join(controls, "file_name", "left")
-        .withColumn("data_cnt", F.when(~F.col("missing"), data))
+        files.join(one, "file_name", "left")
+        .withColumn("data_cnt", F.when(F.col("due") & ~F.col("missing"), data))
         .withColumn("check_status", status)
         .withColumn("message", message)
+        .drop("_n_ctrl", "fits")
     )
 
 
@@ -234,25 +343,30 @@ def load_epoch_files(spark: SparkSession, load: Load, run_dates: DataFrame) -> D
         "data_dt",
     )
     pending = _open_run(spark, load, expected, work)
-    with _failure_logged(load, pending):
-        source = read_landed(spark.read, "parquet", load.landing)
-        due = _due_rows(source, pending)
-        staged = save(due, f"{work}/staged", partition_by=["file_name"])
-        counts = checks.count_slices(staged, "file_name", "file_name")
-        present = pending.join(counts, "file_name", "left")
-        n_rows = F.when(~F.col("missing"), F.coalesce("data_cnt", F.lit(0)))
-        verdicts = present.withColumns(
+    present = pending.where(F.col("due") & ~F.col("missing"))
+    with _failure_logged(load, pending.where("due")):
+        found, staged = pending.withColumn("data_cnt", F.lit(None).cast("long")), None
+        if not present.isEmpty():
+            source = read_landed(spark.read.option("mergeSchema", "true"), "parquet", load.landing)
+            staged = save(_due_rows(source, pending), f"{work}/staged", partition_by=["file_name"])
+            found = pending.join(checks.count_slices(staged, "file_name", "file_name"), "file_name", "left")
+        n_rows = F.when(F.col("due") & ~F.col("missing"), F.coalesce("data_cnt", F.lit(0)))
+        status = F.when(~F.col("due"), checks.ALREADY_LOADED).when(F.col("missing"), checks.NO_DATA)
+        verdicts = found.withColumns(
             {
                 "data_cnt": n_rows,
                 "ctrl_cnt": F.lit(None).cast("bigint"),
-                "check_status": F.when(F.col("missing"), checks.NO_DATA).otherwise(checks.OK),
-                "message": F.when(F.col("missing"), "no files found for the date"),
+                "check_status": status.otherwise(checks.OK),
+                "message": F.when(F.col("due") & F.col("missing"), "no files found for the date"),
             }
         )
         verdicts = save(verdicts, f"{work}/verdicts")
-        _publish(staged, verdicts, load)
-        release(spark, f"{work}/staged")
-        return _close_run(spark, load, verdicts)
+        if staged is not None:
+            _publish(staged, verdicts, load)
+            release(spark, f"{work}/staged")
+        closed = _close_run(spark, load, verdicts)
+    release(spark, f"{work}/pending")
+    return closed
 
 
 def load_source(
@@ -294,12 +408,15 @@ def load_source(
                 overwrite(staged, load.target)
             elif business:
                 dated = staged.withColumn(slice_column, F.lit(data_dt))
-                write_slices(dated, load.target, slice_column)
+                inside = F.col(slice_column) == F.lit(data_dt)
+                write_slices(dated, load.target, slice_column, slices=inside)
+                if seen["n_rows"] == 0:
+                    clear_slices(dated, load.target, [data_dt], slice_column)
             else:
                 stamped = with_lineage(staged, F.lit(data_dt), load.run_id, load.as_of)
                 write_slices(stamped, load.target)
                 if seen["n_rows"] == 0:
-                    clear_slice(staged, load.target, data_dt)
+                    clear_slices(stamped, load.target, [data_dt])
         if staged is not None:
             release(spark, f"{work}/staged")
         closed = spark.createDataFrame(

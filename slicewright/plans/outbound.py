@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from slicewright.operators import ledger as ledgers
 from slicewright.operators.exports import protect, write_delimited
 from slicewright.operators.mutations import append
+from slicewright.storage import new_folder, release, save
 
 PROTECTED_SUFFIX = ".protected"
 
@@ -26,18 +27,22 @@ def export_table(
     run_id: str,
     as_of: Column,
     key: Column | None = None,
-    single_file: bool = False,
 ) -> dict[str, str]:
     """Export ``table`` as ``<prefix>_<yyyyMMdd>.csv``, plus a protected copy when given a key.
 
+    For two copies the table is saved once, so both hold the same rows.
     Returns the paths written; the ledger records each of them.
     """
     name = f"{prefix}_{data_dt:%Y%m%d}.csv"
     paths = {"delimited": f"{folder}/{name}"}
-    write_delimited(table, paths["delimited"], single_file=single_file)
+    staged = new_folder(spark, "outbound")
+    if key is not None:
+        table = save(table, staged)
+    write_delimited(table, paths["delimited"])
     if key is not None:
         paths["protected"] = paths["delimited"] + PROTECTED_SUFFIX
         protect(table, key).write.mode("overwrite").text(paths["protected"])
+        release(spark, staged)
     names = [(path.rsplit("/", 1)[1], data_dt) for path in paths.values()]
     sent = spark.createDataFrame(names, "file_name string, data_dt date")
     append(

@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from slicewright.functions import envelope, text
 from slicewright.operators.mutations import merge_upsert, update_matched
 from slicewright.schemas import FAILED, RUN_LOG, RUN_LOG_KEY, RUNNING, STATUS_KEY, SUCCESS, conform
-from slicewright.storage import settle
 
 
 def start_status(status: DataFrame, windows: DataFrame) -> DataFrame:
     """Status table with every window entered as Running.
 
-    A known process keeps its first-seen time and its last end time.
+    A window without dates cannot run and is not entered.  A known process keeps
+    its first-seen time and its last end time.
     """
     both = ["proc_run_id", "proc_status", "run_mode", "running_dt", "start_dt", "end_dt",
             "start_proc_dtm"]
-    source = windows.select("proc_name", *both, "ins_proc_dtm")
+    usable = windows.where(F.col("window_error").isNull())
+    source = usable.select("proc_name", *both, "ins_proc_dtm")
     entered = {name: F.col(f"new_{name}") for name in both}
     return merge_upsert(
         status,
@@ -51,12 +52,14 @@ def stop_after_failure(outcomes: DataFrame, process: str, order: list[str], fail
     """Outcomes up to and including each process's first failure.
 
     The first failure is an aggregate, not a running window, so the rows of a
-    busy process are never gathered in one task.
+    busy process are never gathered in one task; grouping by more than the
+    process lets adaptive execution split a busy process in the join.
     """
     position = F.struct(*order)
-    stops = outcomes.where(failed).groupBy(process).agg(F.min(position).alias("_stop"))
+    apart = F.xxhash64(process).alias("_apart")
+    first = outcomes.where(failed).groupBy(process, apart).agg(F.min(position).alias("_stop"))
     return (
-        outcomes.join(settle(stops, "stops"), process, "left")
+        outcomes.join(first.drop("_apart"), process, "left")
         .where(F.col("_stop").isNull() | (position <= F.col("_stop")))
         .drop("_stop")
     )
@@ -120,9 +123,19 @@ def finish_status(status: DataFrame, results: DataFrame, as_of: Column) -> DataF
     )
 
 
-def results_of(outcomes: DataFrame) -> DataFrame:
-    """Failed when any date of the process failed, else Success."""
+def results_of(outcomes: DataFrame, windows: DataFrame | None = None) -> DataFrame:
+    """Failed when any date of the process failed, else Success.
+
+    With ``windows``, every window that could run has a result: one that had no
+    date left to run for has nothing to do and is a Success.
+    """
     any_failed = F.max(F.col("proc_status") == FAILED)
-    return outcomes.groupBy("proc_name").agg(
+    found = outcomes.groupBy("proc_name").agg(
         F.when(any_failed, FAILED).otherwise(SUCCESS).alias("proc_status")
     )
+    if windows is None:
+        return found
+    entered = windows.where(F.col("window_error").isNull()).select("proc_name")
+    return entered.join(found, "proc_name", "left").select(
+        "proc_name", F.coalesce("proc_status", F.lit(SUCCESS)).alias("proc_status")
+    )

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slicewright.functions import dates, text
 from slicewright.operators import predicates
-from slicewright.plans.windows import join_config, join_status
+from slicewright.plans.windows import CONFIG_FIELDS, join_status
 from slicewright.schemas import DAILY, MONTHLY, NORMAL, RERUN, RUNNING
 
 
@@ -49,7 +49,9 @@ def validate_config(config: DataFrame) -> DataFrame:
         "src_delimeter": "delimiter",
         "src_volume_name": "volume",
     }
-    rules = [
+    again = F.col("_n_configured") > 1
+    rules = [(again, "process is configured twice")]
+    rules += [
         ((kind == "inbound") & text.is_blank(F.col(name)), f"{label} is not configured")
         for name, label in inbound_fields.items()
     ]
@@ -59,18 +61,28 @@ def validate_config(config: DataFrame) -> DataFrame:
     if "script_text" in config.columns:
         rules.append(((kind == "transform") & text.is_blank(F.col("script_text")), "script is empty"))
     rules.append((~F.col("data_freq").isin(DAILY, MONTHLY), "frequency must be D or M"))
-    return config.where(predicates.active()).withColumn("error", _first_failing(rules))
+    active = config.where(predicates.active())
+    counted = active.withColumn("_n_configured", F.count("*").over(Window.partitionBy("proc_name")))
+    return counted.withColumn("error", _first_failing(rules)).drop("_n_configured")
+
+
+def config_by_process(config: DataFrame) -> DataFrame:
+    """One row for each active process; ``n_configured`` tells how many it has in the config."""
+    rest = [c for c in CONFIG_FIELDS if c != "proc_name"]
+    active = config.where(predicates.active())
+    one = active.groupBy("proc_name").agg(F.count("*").alias("n_configured"), F.min(F.struct(*rest)).alias("_c"))
+    return one.select("proc_name", "_c.*", "n_configured")
 
 
 def guard_runs(requests: DataFrame, config: DataFrame, status: DataFrame) -> DataFrame:
     """Requests with their config, last status and a ``guard_error``.
 
-    The error is NULL when the process may start: it has an active config and
-    is not running already.  Config and status are joined once, here; the run
+    The error is NULL when the process may start: it has one active config and
+    is not running already.  A doubled config stops that process alone.  Config and status are joined once, here; the run
     window is then worked out row by row.
     """
-    context = join_status(join_config(requests, config, how="left"), status)
-    error = F.when(F.col("is_active").isNull(), "process is unknown or not active").when(
-        F.col("last_proc_status") == RUNNING, "process is running already"
-    )
-    return context.withColumn("guard_error", error)
+    context = join_status(requests.join(config_by_process(config), "proc_name", "left"), status)
+    error = F.when(F.col("is_active").isNull(), "process is unknown or not active")
+    error = error.when(F.col("n_configured") > 1, "process is configured twice")
+    error = error.when(F.col("last_proc_status") == RUNNING, "process is running already")
+    return context.withColumn("guard_error", error).drop("n_configured")

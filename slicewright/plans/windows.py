@@ -11,10 +11,14 @@ from slicewright.operators.projection import with_parameters
 from slicewright.schemas import DAILY, FAILED, MONTHLY, NORMAL, RUNNING
 
 
+CONFIG_FIELDS = [
+    "proc_name", "is_active", "data_freq", "run_period", "data_back_day", "notebook_path"
+]
+
+
 def join_config(requests: DataFrame, config: DataFrame, how: str = "inner") -> DataFrame:
     """Requests with the active config of their process."""
-    fields = ["proc_name", "is_active", "data_freq", "run_period", "data_back_day", "notebook_path"]
-    return requests.join(config.where(predicates.active()).select(*fields), "proc_name", how)
+    return requests.join(config.where(predicates.active()).select(*CONFIG_FIELDS), "proc_name", how)
 
 
 def join_status(configured: DataFrame, status: DataFrame) -> DataFrame:

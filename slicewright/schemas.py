@@ -14,90 +14,81 @@ CLOCK = T.TimestampNTZType()
 STRING, INT, LONG, DATE = T.StringType(), T.IntegerType(), T.LongType(), T.DateType()
 
 
-def _struct(required: dict[str, T.DataType], optional: dict[str, T.DataType]) -> T.StructType:
-    """Schema of the columns that must be set, then those that may be NULL."""
-    must = [T.StructField(name, kind, False) for name, kind in required.items()]
-    may = [T.StructField(name, kind, True) for name, kind in optional.items()]
-    return T.StructType(must + may)
-
-
-# Column names and types of the control tables.
-CONFIG = _struct(
-    {
-        "proc_name": STRING,
-        "proc_type": STRING,
-        "is_active": INT,
-        "run_period": INT,
-        "data_back_day": INT,
-        "data_freq": STRING,
-        "notebook_path": STRING,
-        "created_by": STRING,
-        "created_dtm": CLOCK,
-    },
-    {
-        "script_path": STRING,
-        "src_system": STRING,
-        "src_file_name": STRING,
-        "src_delimeter": STRING,
-        "src_volume_name": STRING,
-        "trgt_tbl_name": STRING,
-        "updated_by": STRING,
-        "updated_dtm": CLOCK,
-    },
+# Columns of the control tables, in their order.
+CONFIG = T.StructType(
+    [
+        T.StructField("proc_name", STRING, False),
+        T.StructField("proc_type", STRING, False),
+        T.StructField("is_active", INT, False),
+        T.StructField("run_period", INT, False),
+        T.StructField("data_back_day", INT, False),
+        T.StructField("data_freq", STRING, False),
+        T.StructField("notebook_path", STRING, False),
+        T.StructField("script_path", STRING, True),
+        T.StructField("src_system", STRING, True),
+        T.StructField("src_file_name", STRING, True),
+        T.StructField("src_delimeter", STRING, True),
+        T.StructField("src_volume_name", STRING, True),
+        T.StructField("trgt_tbl_name", STRING, True),
+        T.StructField("created_by", STRING, False),
+        T.StructField("created_dtm", CLOCK, False),
+        T.StructField("updated_by", STRING, True),
+        T.StructField("updated_dtm", CLOCK, True),
+    ]
 )
-FILE_LOG = _struct(
-    {
-        "proc_name": STRING,
-        "proc_run_id": STRING,
-        "proc_status": STRING,
-        "file_name": STRING,
-        "total_record": LONG,
-        "start_proc_dtm": CLOCK,
-    },
-    {"end_proc_dtm": CLOCK, "error_message": STRING},
+FILE_LOG = T.StructType(
+    [
+        T.StructField("proc_name", STRING, False),
+        T.StructField("proc_run_id", STRING, False),
+        T.StructField("proc_status", STRING, False),
+        T.StructField("file_name", STRING, False),
+        T.StructField("total_record", LONG, False),
+        T.StructField("start_proc_dtm", CLOCK, False),
+        T.StructField("end_proc_dtm", CLOCK, True),
+        T.StructField("error_message", STRING, True),
+    ]
 )
-STATUS = _struct(
-    {
-        "proc_name": STRING,
-        "proc_run_id": STRING,
-        "proc_status": STRING,
-        "run_mode": STRING,
-        "ins_proc_dtm": CLOCK,
-    },
-    {
-        "running_dt": DATE,
-        "start_dt": DATE,
-        "end_dt": DATE,
-        "start_proc_dtm": CLOCK,
-        "end_proc_dtm": CLOCK,
-        "upd_proc_dtm": CLOCK,
-    },
+STATUS = T.StructType(
+    [
+        T.StructField("proc_name", STRING, False),
+        T.StructField("proc_run_id", STRING, False),
+        T.StructField("proc_status", STRING, False),
+        T.StructField("run_mode", STRING, False),
+        T.StructField("running_dt", DATE, True),
+        T.StructField("start_dt", DATE, True),
+        T.StructField("end_dt", DATE, True),
+        T.StructField("start_proc_dtm", CLOCK, True),
+        T.StructField("end_proc_dtm", CLOCK, True),
+        T.StructField("ins_proc_dtm", CLOCK, False),
+        T.StructField("upd_proc_dtm", CLOCK, True),
+    ]
 )
-RUN_LOG = _struct(
-    {
-        "proc_name": STRING,
-        "proc_run_id": STRING,
-        "proc_status": STRING,
-        "run_mode": STRING,
-        "start_proc_dtm": CLOCK,
-    },
-    {
-        "running_dt": DATE,
-        "start_dt": DATE,
-        "end_dt": DATE,
-        "end_proc_dtm": CLOCK,
-        "error_message": STRING,
-    },
+RUN_LOG = T.StructType(
+    [
+        T.StructField("proc_name", STRING, False),
+        T.StructField("proc_run_id", STRING, False),
+        T.StructField("proc_status", STRING, False),
+        T.StructField("run_mode", STRING, False),
+        T.StructField("running_dt", DATE, True),
+        T.StructField("start_dt", DATE, True),
+        T.StructField("end_dt", DATE, True),
+        T.StructField("start_proc_dtm", CLOCK, False),
+        T.StructField("end_proc_dtm", CLOCK, True),
+        T.StructField("error_message", STRING, True),
+    ]
 )
-LEDGER = _struct(
-    {
-        "file_name": STRING,
-        "proc_name": STRING,
-        "proc_run_id": STRING,
-        "archive_path": STRING,
-        "processed_dtm": CLOCK,
-    },
-    {"data_dt": DATE},
+# Files loaded or sent.  A landed file is known by name, size and time of change.
+LEDGER = T.StructType(
+    [
+        T.StructField("file_name", STRING, False),
+        T.StructField("proc_name", STRING, False),
+        T.StructField("proc_run_id", STRING, False),
+        T.StructField("archive_path", STRING, False),
+        T.StructField("processed_dtm", CLOCK, False),
+        T.StructField("data_dt", DATE, True),
+        T.StructField("n_bytes", LONG, True),
+        T.StructField("modified_dtm", CLOCK, True),
+    ]
 )
 
 # Keys of the control tables.  A run covers several dates, so the run log is

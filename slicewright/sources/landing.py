@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,15 +12,23 @@ from slicewright.sources.delimited import trimming_reader
 
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per landed name with its size in bytes; no file is opened."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(folder)
-        .select("path", "length")
-    )
+    """One row per landed name with size, last change (UTC) and a path; no file is opened.
+
+    A folder that does not exist has landed nothing.
+    """
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    try:
+        files = reader.load(folder).select("path", "length", "modificationTime")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = spark.createDataFrame([], "path string, length long, modificationTime timestamp")
+    changed = F.max("modificationTime")
     return files.groupBy(filenames.landed_name(F.col("path")).alias("file_name")).agg(
-        F.sum("length").alias("n_bytes"), F.count("*").alias("n_parts")
+        F.sum("length").alias("n_bytes"),
+        F.count("*").alias("n_parts"),
+        F.convert_timezone(F.current_timezone(), F.lit("UTC"), changed.cast("timestamp_ntz")).alias("modified_dtm"),
+        F.min(F.when(F.col("length") > 0, F.col("path"))).alias("path"),
     )
 
 
@@ -68,14 +77,15 @@ def expected_files(
 
 
 def resolve(expected: DataFrame, landed: DataFrame) -> DataFrame:
-    """Expected files with a ``missing`` flag; ``landed`` lists each name once.
+    """Expected files with a ``missing`` flag and what the manifest knows; ``landed`` lists each name once.
 
     Processes without a file name miss their file.  However many there are,
     they are spread over the tasks by a key that no file name can equal.
     """
     nameless = F.concat(F.lit("/"), F.xxhash64(*expected.columns).cast("string"))
     wanted = expected.withColumn("_name", F.coalesce("file_name", nameless))
-    present = landed.select(F.col("file_name").alias("_name"), F.lit(True).alias("_landed"))
+    known = [c for c in landed.columns if c not in expected.columns]
+    present = landed.select(F.col("file_name").alias("_name"), F.lit(True).alias("_landed"), *known)
     return wanted.join(present, "_name", "left").select(
-        *expected.columns, F.col("_landed").isNull().alias("missing")
+        *expected.columns, F.col("_landed").isNull().alias("missing"), *known
     )

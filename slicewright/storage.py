@@ -2,30 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
+_root_of_local_sessions: list[str] = []
+
+
+def use_root(path: str) -> None:
+    """Folder for sessions that run in this process alone and name none themselves."""
+    _root_of_local_sessions[:] = [path]
 
 
 def shared_root(spark: SparkSession) -> str:
     """Shared folder named by the session's ``spark.checkpoint.dir``.
 
-    A temporary folder stands in only for a local session that names none;
-    on a cluster a missing setting is an error, since executors would not
-    see each other's files.
+    A session without one is an error, since executors would not see each
+    other's files; only for a plain local session may ``use_root`` name a folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    local = master == "local" or master.startswith("local[")
+    if not (local and _root_of_local_sessions):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="slicewright-")
-    return _local_roots[app]
+    return _root_of_local_sessions[0].rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -49,13 +51,3 @@ def save(df: DataFrame, path: str, *, partition_by: list[str] | None = None) ->
 def release(spark: SparkSession, path: str) -> None:
     """Empty a staging table that has been published, so it does not take up storage."""
     spark.createDataFrame([], "released boolean").write.mode("overwrite").parquet(path)
-
-
-def settle(df: DataFrame, label: str) -> DataFrame:
-    """Write a small derived side of a join and return its scan.
-
-    Whether it can be broadcast is then decided on its real size; when it
-    cannot, both sides of the join are plain shuffles, which adaptive execution
-    can split at a hot key.
-    """
-    return save(df, new_folder(df.sparkSession, label))

@@ -188,7 +188,7 @@ def test_every_request_is_accepted_or_rejected(spark):
 def status_table(spark, rows):
     """rows: (proc_name, status, running_dt, end_proc_dtm)"""
     full = [
-        (n, "old", s, "N", AS_OF, d, d, d, AS_OF, e, None) for n, s, d, e in rows
+        (n, "old", s, "N", d, d, d, AS_OF, e, AS_OF, None) for n, s, d, e in rows
     ]
     return spark.createDataFrame(full, schemas.STATUS)
 
@@ -203,6 +203,10 @@ def test_start_twice_is_start_once(spark):
          ("z", "new", "Running", "N", date(2024, 2, 1), date(2024, 2, 1), date(2024, 2, 2), later, later)],
         "proc_name string, proc_run_id string, proc_status string, run_mode string, running_dt date, "
         "start_dt date, end_dt date, start_proc_dtm timestamp_ntz, ins_proc_dtm timestamp_ntz")
+    new = new.withColumn("window_error", F.lit(None).cast("string"))
+    bad = new.where("proc_name = 'z'").withColumns(
+        {"proc_name": F.lit("y"), "window_error": F.lit("run window has no dates")})
+    new = new.unionByName(bad)
     once = progress.start_status(status, new)
     rows = {r.proc_name: r for r in once.collect()}
     assert set(rows) == {"a", "b", "z"}
@@ -246,6 +250,24 @@ def test_stop_after_failure_and_marker(spark):
     assert moved["b"].running_dt == date(2024, 1, 1) and moved["b"].upd_proc_dtm is None
     results = {r.proc_name: r.proc_status for r in progress.results_of(kept).collect()}
     assert results == {"a": "Failed", "b": "Success"}
+    entered = spark.createDataFrame(
+        [("a", None), ("b", None), ("nothing to do", None), ("bad", "run window has no dates")],
+        "proc_name string, window_error string")
+    every = {r.proc_name: r.proc_status for r in progress.results_of(kept, entered).collect()}
+    assert every == {"a": "Failed", "b": "Success", "nothing to do": "Success"}
+
+
+def test_doubled_config_stops_its_process_alone(spark):
+    rows = [(n, "transform", 1, 1, 1, "D", "/j", "s", None, None, None, None, None, "me", AS_OF, None, None)
+            for n in ("once", "twice", "twice")]
+    config = spark.createDataFrame(rows, schemas.CONFIG)
+    checked = requests.validate_config(config).select("proc_name", "error").collect()
+    assert sorted((r.proc_name, r.error) for r in checked if r.error) == [
+        ("twice", "process is configured twice")] * 2
+    asked = spark.createDataFrame([("once",), ("twice",), ("none",)], "proc_name string")
+    guarded = requests.guard_runs(asked, config, spark.createDataFrame([], schemas.STATUS))
+    assert {r.proc_name: r.guard_error for r in guarded.collect()} == {
+        "once": None, "twice": "process is configured twice", "none": "process is unknown or not active"}
 
 
 def test_steps(spark):

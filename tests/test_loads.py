@@ -3,6 +3,7 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slicewright import schemas
 from slicewright.functions import dates
@@ -85,11 +86,62 @@ def test_second_run_takes_only_what_is_left(spark, zone):
     put(zone, D[1], [("fixed", 1), ("fixed", 2)])
     again = replace(load, run_id="run-2")
     assert run(spark, again, D[:2], [(D[0], "20240101", 1), (D[1], "20240102", 2)]) == {
-        feed(D[1]): "OK"}
+        feed(D[0]): "ALREADY_LOADED", feed(D[1]): "OK"}
     assert target_rows(spark, load) == [
         ("2024-01-01", "a", "1", "run-1"), ("2024-01-02", "fixed", "1", "run-2"),
         ("2024-01-02", "fixed", "2", "run-2")]
-    assert run(spark, again, D[:2], [(D[0], "20240101", 1)]) == {}
+    assert run(spark, again, D[:2], [(D[0], "20240101", 1)]) == {
+        feed(D[0]): "ALREADY_LOADED", feed(D[1]): "ALREADY_LOADED"}
+    put(zone, D[0], [("changed", 1), ("more", 2)])  # delivered again: the slice is replaced
+    assert run(spark, again, D[:2], [(D[0], "20240101", 2)])[feed(D[0])] == "OK"
+    assert [r[1] for r in target_rows(spark, load)] == ["changed", "more", "fixed", "fixed"]
+
+
+def test_files_of_a_date_are_published_together(spark, zone):
+    load = new_load(spark, zone)
+    names = ["FEED_A.csv", "FEED_B.csv"]
+    expected = spark.createDataFrame([(n, D[0]) for n in names] + [(names[0], D[0])], EXPECTED)
+
+    def go(counts):
+        rows = [(n, "20240101", c) for n, c in zip(names, counts)] * 2  # announced twice alike
+        controls = spark.createDataFrame(rows, CONTROL)
+        return {r.file_name: r.check_status for r in load_files(spark, load, expected, controls).collect()}
+
+    for n in names:
+        (zone / n).write_text(f"k|v\n{n}|1\n")
+    assert go([1, 2]) == {names[0]: "SLICE_INCOMPLETE", names[1]: "COUNT_MISMATCH"}
+    assert go([1, 1]) == {n: "OK" for n in names}
+    assert [r[1] for r in target_rows(spark, load)] == names  # neither lost nor doubled
+    (zone / names[1]).write_text("k|v\nlate|1\nlater|2\n")
+    assert go([1, 2]) == {n: "OK" for n in names}
+    assert [r[1] for r in target_rows(spark, load)] == [names[0], "late", "later"]
+
+
+def test_each_file_has_its_own_header(spark, zone):
+    load = new_load(spark, zone)
+    put(zone, D[0], [("k", "v"), ("a", 1)])  # a row like the header is a row
+    (zone / feed(D[1])).write_text("v|k|z\n1|a|9\n")
+    (zone / "CTRL.csv").write_text("FILENAME,CNT_REC\nx,1\n")
+    controls = [(D[0], "20240101", 2), (D[1], "20240102", 1)]
+    assert run(spark, load, D[:2], controls) == {feed(D[0]): "OK", feed(D[1]): "HEADER_MISMATCH"}
+    assert [r[1:3] for r in target_rows(spark, load)] == [("a", "1"), ("k", "v")]
+    differing = [(D[0], "20240101", 2), (D[0], "20240101", 3)]
+    fresh = replace(new_load(spark, zone))
+    assert run(spark, fresh, D[:1], differing) == {feed(D[0]): "CONTROL_AMBIGUOUS"}
+
+
+def test_absent_landing_folder(spark, tmp_path):
+    load = new_load(spark, tmp_path / "nowhere")
+    assert run(spark, load, D[:1], [(D[0], "20240101", 1)]) == {feed(D[0]): "NO_DATA"}
+    assert file_state(spark, load.file_log).first().proc_status == "Failed"
+
+
+def test_declared_layout(spark, zone):
+    put(zone, D[0], [("a", 1), ("b", "x")])
+    layout = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.IntegerType())])
+    load = replace(new_load(spark, zone), layout=layout)
+    assert run(spark, load, D[:1], [(D[0], "20240101", 2)]) == {feed(D[0]): "OK"}
+    assert sorted((r.k, r.v) for r in spark.read.parquet(load.target).collect()) == [("a", 1), ("b", None)]
 
 
 def test_loading_a_slice_twice_is_loading_it_once(spark, zone):
@@ -202,18 +254,12 @@ def test_one_source_replaces_the_table(spark, zone):
 HARD = [(1, 'say "hi", ok'), (2, " padded "), (3, "line\nbreak"), (4, None), (5, "ünï,cödé")]
 
 
-def test_export_round_trip_and_single_file(spark):
+def test_export_round_trip(spark):
     df = spark.createDataFrame(HARD, "k int, t string").repartition(3)
-    for single, n_parts in ((True, 1), (False, 3)):
-        path = new_folder(spark, "test")
-        exports.write_delimited(df, path, single_file=single)
-        back = exports.read_delimited(spark, path, df.schema)
-        assert sorted(back.collect()) == sorted(df.collect())
-        files = spark.read.format("binaryFile").load(path).select("path").collect()
-        assert len(files) == n_parts
-    path = new_folder(spark, "test")  # too large for one task: written whole, in parts
-    exports.write_delimited(df, path, single_file=True, single_file_rows=4)
-    assert exports.read_delimited(spark, path, df.schema).count() == 5
+    path = new_folder(spark, "test")
+    exports.write_delimited(df, path)
+    back = exports.read_delimited(spark, path, df.schema)
+    assert sorted(back.collect()) == sorted(df.collect())
     assert spark.read.format("binaryFile").load(path).count() == 3
 
 
@@ -237,7 +283,7 @@ def test_export_records_what_it_sent(spark):
     paths = export_table(
         spark, df, folder=f"{work}/out", prefix="3_Sales", data_dt=date(2024, 1, 5),
         ledger=f"{work}/ledger", proc_name="OUTB", run_id="r", as_of=dates.clock(AS_OF),
-        key=F.lit("0123456789abcdef").cast("binary"), single_file=True)
+        key=F.lit("0123456789abcdef").cast("binary"))
     assert paths["delimited"].endswith("3_Sales_20240105.csv")
     ledger = spark.read.schema(schemas.LEDGER).parquet(f"{work}/ledger").collect()
     assert {r.file_name for r in ledger} == {

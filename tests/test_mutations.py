@@ -130,10 +130,23 @@ def test_reconcile(spark):
     }
     checked = reconciliation.reconcile(counts, controls, ["f"])
     failed = F.col("check_status") != "OK"
-    with pytest.raises(RuntimeError, match="announced 3"):
-        reconciliation.raise_on_failures(
-            checked.where("f in ('a', 'b')"), failed, F.col("message"))
-    reconciliation.raise_on_failures(checked.where("f = 'a'"), failed, F.col("message"))
+    path = new_folder(spark, "test")
+    with pytest.raises(RuntimeError, match="^3 checks failed.*announced 3"):
+        reconciliation.raise_on_failures(checked, failed, F.col("message"), path)
+    assert {r.f for r in spark.read.parquet(path).collect()} == {"b", "c", "d"}  # all of them
+    reconciliation.raise_on_failures(checked.where("f = 'a'"), failed, F.col("message"), path)
+
+
+def test_partitioned_write_refuses_stray_rows(spark):
+    path = new_folder(spark, "test")
+    first = slices(spark, [(1, "a", DAY)])
+    mutations.write_slices(first, path, "d")
+    stray = slices(spark, [(2, "b", DAY), (3, "c", date(2031, 1, 1))])
+    with pytest.raises(Exception, match="outside the slices to replace"):
+        mutations.write_slices(stray, path, "d", slices=F.col("d") == F.lit(DAY))
+    assert spark.read.parquet(path).count() == 1
+    mutations.write_slices(stray.where(F.col("d") == F.lit(DAY)), path, "d", slices=F.col("d") == F.lit(DAY))
+    assert [r[0] for r in spark.read.parquet(path).select(first.columns[0]).collect()] == [2]
 
 
 def test_slice_counts_add_up(spark):

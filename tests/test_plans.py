@@ -83,12 +83,24 @@ def test_key_check_of_an_upsert_adds_no_shuffle(spark, lines):
 
 
 def test_few_changes_do_not_shuffle_the_table(spark, lines):
-    changes = lines.where("l_orderkey < 5").select("l_orderkey").distinct()
+    changes = spark.range(1, 4).withColumnRenamed("id", "l_orderkey")
     updated = mutations.update_matched(lines, changes, ["l_orderkey"], {"l_tax": F.lit(0.0)})
     text = plan(updated)
     assert "BroadcastHashJoin" in text and "hashpartitioning" not in text
 
 
+def test_building_an_update_starts_no_job(spark, lines):
+    group = "building"
+    changes = lines.select("l_orderkey").distinct()
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        mutations.update_matched(lines, changes, ["l_orderkey"], {"l_tax": F.lit(0.0)})
+        progress.stop_after_failure(lines, "l_orderkey", ["l_linenumber"], F.col("l_tax") > 0)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def _skewed_join_plan(spark, build):
     """Final plan with broadcasting off and every partition small enough to be split."""
     conf = {
