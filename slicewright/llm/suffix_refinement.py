@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from slicewright.llm.window_exchange import Units, kept_ranges, mixed, remove_repeats, sliding_min
 
 WIDTH, GRAM = 50, 16
+ODD = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xBF58476D1CE4E5B9)]
 SHIFT = [np.uint64(8), np.uint64(16), np.uint64(32)]
 
 
@@ -37,8 +38,9 @@ def eight_grams(data: np.ndarray) -> np.ndarray:
 
 def minimisers(text: bytes, low: int, high: int) -> np.ndarray:
     eight = eight_grams(np.frombuffer(text, np.uint8, high - low + WIDTH - 1, low))
-    gram = mixed(mixed(eight[:-8]) + eight[8:])
-    return sliding_min(gram, WIDTH - GRAM + 1)
+    gram = (eight[:-8] * ODD[0]) ^ (eight[8:] * ODD[1])
+    gram ^= gram >> np.uint64(29)
+    return sliding_min(gram * ODD[2], WIDTH - GRAM + 1)
 
 
 def refined(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

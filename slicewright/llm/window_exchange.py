@@ -99,13 +99,16 @@ def runs(units: Units, text) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for low in range(0, windows, STRETCH):
         high = min(windows, low + STRETCH)
         key = units.minimisers(text, low, high)
-        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        n = np.diff(np.append(cut, len(key)))
+        new = np.empty(len(key), bool)
+        new[0] = True
+        np.not_equal(key[1:], key[:-1], out=new[1:])
+        cut = np.flatnonzero(new)
+        n = np.diff(cut, append=len(key))
         if n.max() > LONGEST_RUN:
             cut = np.concatenate([np.arange(a, a + b, LONGEST_RUN) for a, b in zip(cut, n)])
             n = np.diff(np.append(cut, len(key)))
         parts.append((cut + low, n, key[cut] >> KEY_BITS))
-    return tuple(np.concatenate(p) for p in zip(*parts))
+    return parts[0] if len(parts) == 1 else tuple(np.concatenate(p) for p in zip(*parts))
 
 
 def _documents(block: pa.Table) -> list[tuple[int, bytes]]:
@@ -219,6 +222,31 @@ def _pack(units: Units, block: pa.Table, answers: pa.Table, buckets: int) -> pa.
     return pa.table({c: pa.array(v, t) for (c, t), v in zip(types.items(), cols)})
 
 
+def _least_holder(units: Units, strings: list, keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest document id for each window of all strings in turn, and the windows of each string."""
+    number: dict[tuple, int] = {}
+    same = np.array([number.setdefault(x, len(number)) for x in zip(keys.tolist(), strings)], np.int64)
+    once = [s for _, s in number]
+    key = np.array([k for k, _ in number], np.uint64)
+    windows = np.array([units.size(s) for s in once], np.int64) - (units.width - 1)
+    holder = np.full(len(once), NO_ID, np.int64)
+    np.minimum.at(holder, same, docs)
+    # windows are compared where a minimiser has several strings; alone, a string's windows have its holders
+    _, back, n = np.unique(key, return_inverse=True, return_counts=True)
+    open_ = n[back] > 1
+    of_window = np.repeat(open_, windows)
+    least = np.repeat(holder, windows)
+    if open_.any():
+        kind = units.classes([once[i] for i in np.flatnonzero(open_)], key[open_])
+        found = np.full(int(kind.max()) + 1, NO_ID, np.int64)
+        np.minimum.at(found, kind, least[of_window])
+        least[of_window] = found[kind]
+    start = np.cumsum(windows) - windows
+    n = windows[same]
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[same], n)
+    return least[at], n
+
+
 def _first_holders(units: Units, bucket: pa.Table) -> pa.Table:
     """For each block, the parts of its runs whose windows a smaller document id holds."""
     open_ = zstandard.ZstdDecompressor().decompress
@@ -230,12 +258,8 @@ def _first_holders(units: Units, bucket: pa.Table) -> pa.Table:
         keys.append(np.frombuffer(about, np.uint64, n, 4 * n))
         docs.append(np.frombuffer(about, np.int64, n, 12 * n))
     keys, docs = np.concatenate(keys), np.concatenate(docs)
-    windows = np.array([units.size(s) for s in strings], np.int64) - (units.width - 1)
+    least, windows = _least_holder(units, strings, keys, docs)
     doc = np.repeat(docs, windows)
-    kind = units.classes(strings, keys)
-    least = np.full(int(kind.max()) + 1, NO_ID, np.int64)
-    np.minimum.at(least, kind, doc)
-    least = least[kind]
     run = np.repeat(np.arange(len(strings)), windows)
     start = np.cumsum(windows) - windows
     offset = np.arange(len(run)) - np.repeat(start, windows)
