@@ -33,6 +33,8 @@ from pyspark.sql import types as T
 from slicewright.llm.common import small_slices
 
 SPACE = "▁"
+#: Fixed value: how the library spells the unknown id.
+UNKNOWN = " \u2047 "
 CUTS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Distinct cuts that a worker remembers; the ones not met since as many others are forgotten.
 MEMORY = 300_000
@@ -61,7 +63,8 @@ class MergeCoder:
             raise ValueError(f"not a merge-type vocabulary with byte fallback: {model_file}")
         spelled = {i: p.replace(SPACE, " ").encode() for p, i in self.piece_id.items()}
         spelled |= {i: bytes([b]) for b, i in self.bytes_at.items()}
-        self.byte_ids = set(self.bytes_at.values())
+        spelled[lib.unk_id()] = UNKNOWN.encode()
+        self.no_mark = {*self.bytes_at.values(), lib.unk_id()}
         self.spelling = [spelled.get(i, b"") for i in ids]
         self.begin, self.end = lib.bos_id(), lib.eos_id()
         self.known: dict[str, tuple[bytes, bytes]] = {}
@@ -153,7 +156,7 @@ class MergeCoder:
         """Text of any ids; each byte that is no UTF-8 becomes a replacement character."""
         shown = [i for i in ids if self.spelling[i]]
         text = b"".join([self.spelling[i] for i in shown]).decode("utf-8", "mark_each_byte")
-        return text[1:] if shown and shown[0] not in self.byte_ids and text[:1] == " " else text
+        return text[1:] if shown and shown[0] not in self.no_mark and text[:1] == " " else text
 
 
 @lru_cache(2)
