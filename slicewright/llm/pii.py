@@ -14,7 +14,7 @@ Positions come from the pieces between matches, so a pattern is run on the whole
 text and nothing is searched twice. All steps are column expressions.
 
 Defined results: a NULL text is empty; matches that fail their check are dropped
-without another try; a candidate that overlaps a base span is not reported
+without another try; a candidate inside a base span is not reported
 again; without candidates only the base spans count; repeated rows give repeated
 results. Only the named columns are read.
 """
@@ -161,7 +161,7 @@ def with_candidates(docs: DataFrame, text: str) -> DataFrame:
             _vote(variety >= 8, variety <= 4).alias("variety"),
         )
 
-    free = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+    free = lambda s: ~F.exists("base", lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"]))
 
     def judged(k: int, kind: str) -> Column:
         return F.transform(F.filter(f"_{kind}", free), lambda s: candidate(s, k))

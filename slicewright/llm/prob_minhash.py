@@ -109,7 +109,7 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]], registers: int = REGIS
 
 def band_keys(signature: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """A key for each band of each signature; the band's number is part of it."""
-    parts = signature.reshape(len(signature), bands, -1)
+    parts = signature.reshape(len(signature), bands, signature.shape[1] // bands)
     key = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64) * STEP, parts.shape[:2]).copy()
     for j in range(parts.shape[2]):
         key = mixed(key ^ parts[:, :, j])
