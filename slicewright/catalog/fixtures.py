@@ -184,17 +184,21 @@ SELECT * EXCLUDE (rn) FROM (
 )"""
 
 
-def land(df: DataFrame, name: Column, *, sep: str | None = None) -> str:
+def land(df: DataFrame, name: Column, *, sep: str | None = None, folder: str | None = None) -> str:
     """Write ``df`` as landed files: Parquet, or headed text when ``sep`` is given.
 
+    Into an existing ``folder``, files of the same name replace the landed ones.
+
     Rows of one landed file are brought together first, as a sender would
     deliver them; adaptive execution splits a file too large for one task.
     """
-    folder = new_folder(df.sparkSession, "landing")
+    folder = folder or new_folder(df.sparkSession, "landing")
     writer = (
         df.withColumn(filenames.LANDED_COLUMN, name)
         .hint("rebalance", filenames.LANDED_COLUMN)
-        .write.partitionBy(filenames.LANDED_COLUMN)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(filenames.LANDED_COLUMN)
     )
     if sep is None:
         writer.parquet(folder)

@@ -6,23 +6,33 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from slicewright import schemas
 from slicewright.catalog import fixtures as fx
 from slicewright.catalog.registry import query
 from slicewright.catalog.sinks import CHECK_KEY
-from slicewright.catalog.sources import land_epoch_events
+from slicewright.catalog.sources import (
+    CUSTOMER_WIDTHS,
+    FIXED_ORACLE,
+    ORDER_LAYOUT,
+    UNTOUCHED,
+    land_epoch_events,
+    land_fixed_width,
+)
 from slicewright.functions import dates, filenames
 from slicewright.operators import exports
 from slicewright.operators.mutations import write_slices
 from slicewright.plans.inbound import (
     Load,
     file_state,
+    load_configured,
     load_epoch_files,
     load_files,
     load_source,
 )
 from slicewright.plans.outbound import export_table
-from slicewright.sources.dispatch import SourceSpec
+from slicewright.sources.dispatch import NOT_DELIMITED, SourceSpec
 from slicewright.storage import new_folder
 
 PROC = "INB_EVENTS"
@@ -54,7 +64,8 @@ def new_load(spark, landing: str, sep: str = "|") -> Load:
     )
 
 
-def land_daily_events(spark, sf_dir) -> str:
+def daily_events(spark, sf_dir) -> DataFrame:
+    """Events as text, with the name of their day's file."""
     day = F.col("ts").cast("date")
     events = fx.table(spark, sf_dir, "events").select(
         F.concat(F.lit("  "), F.col("event_id").cast("string")).alias("event_id"),
@@ -64,7 +75,11 @@ def land_daily_events(spark, sf_dir) -> str:
     )
     name = filenames.dated_name(F.lit("FEED"), day)
     exact = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return fx.land(events.withColumn("landed", name).withColumn("ts", exact), F.col("landed"), sep="|")
+    return events.withColumn("landed", name).withColumn("ts", exact)
+
+
+def land_daily_events(spark, sf_dir) -> str:
+    return fx.land(daily_events(spark, sf_dir), F.col("landed"), sep="|")
 
 
 def daily_files(spark, sf_dir) -> DataFrame:
@@ -144,7 +159,161 @@ def inbound_load_multi(spark, sf_dir) -> DataFrame:
     return spark.read.parquet(load.target)
 
 
-@query("outbound_export", "SELECT * FROM documents")
+# The rows of a text load, whole: every day, with what a re-delivery changed.
+_TEXT_ROWS = f"""
+SELECT CAST(event_id AS STRING) AS event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, event_type,
+       {{value}} AS value, '{fx.RUN_ID}' AS PROC_RUN_ID,
+       TIMESTAMP '{fx.AS_OF_TEXT}' AS INS_PROC_DTM, CAST(ts AS DATE) AS DATA_DT
+FROM events"""
+
+
+def right_controls(files: DataFrame) -> DataFrame:
+    return files.select("file_name", dates.compact(F.col("data_dt")).alias("ctrl_dt"), F.col("n").alias("ctrl_cnt"))
+
+
+@query(
+    "inbound_load_mixed_headers",
+    """
+SELECT concat('FEED_', strftime(CAST(ts AS DATE), '%Y%m%d'), '.csv') AS file_name,
+       CASE WHEN day(ts) IN (5, 6) THEN 'HEADER_MISMATCH' ELSE 'OK' END AS check_status,
+       CASE WHEN day(ts) NOT IN (5, 6) THEN count(*) END AS n_rows,
+       CASE WHEN day(ts) NOT IN (5, 6) THEN CAST(sum(CAST(CAST(value AS DECIMAL(12,2)) * 100 AS BIGINT)) AS BIGINT)
+            END AS cents
+FROM events GROUP BY CAST(ts AS DATE), day(ts)""",
+)
+def inbound_load_mixed_headers(spark, sf_dir) -> DataFrame:
+    """Files of the 5th have their columns in another order, those of the 6th lack one."""
+    rows = daily_events(spark, sf_dir)
+    day = F.dayofmonth(F.col("ts").cast("timestamp_ntz"))
+    name = F.col("landed")
+    folder = fx.land(rows.where(~day.isin(5, 6)), name, sep="|")
+    fx.land(rows.where(day == 5).select("value", "event_type", "ts", "event_id", "landed"), name, sep="|", folder=folder)
+    fx.land(rows.where(day == 6).select("event_id", "event_type", "value", "landed"), name, sep="|", folder=folder)
+    load, files = new_load(spark, folder), daily_files(spark, sf_dir)
+    verdicts = load_files(spark, load, files.select("file_name", "data_dt"), right_controls(files))
+    cents = F.sum((F.col("value").cast("decimal(12,2)") * 100).cast("bigint"))
+    held = spark.read.parquet(load.target).groupBy(F.col("DATA_DT").alias("data_dt")).agg(
+        F.count("*").alias("n_rows"), cents.alias("cents")
+    )
+    return verdicts.join(held, "data_dt", "left").select("file_name", "check_status", "n_rows", "cents")
+
+
+@query("inbound_load_partial_slice", _TEXT_ROWS.replace("{value}", fx.amount("value")))
+def inbound_load_partial_slice(spark, sf_dir) -> DataFrame:
+    """Two files a day; one is announced wrongly on every third day and mended in a second run."""
+    half = F.when(F.trim("event_id").cast("bigint") % 2 == 0, "A").otherwise("B")
+    rows = daily_events(spark, sf_dir).withColumn("landed", F.concat(half, F.lit("_"), "landed"))
+    load = new_load(spark, fx.land(rows, F.col("landed"), sep="|"))
+    day = F.col("ts").cast("timestamp_ntz").cast("date")
+    files = rows.groupBy(F.col("landed").alias("file_name"), day.alias("data_dt")).agg(F.count("*").alias("n"))
+    wrong = F.col("file_name").startswith("A_") & (F.dayofmonth("data_dt") % 3 == 0)
+    first = files.withColumn("n", F.col("n") + F.when(wrong, 1).otherwise(0))
+    expected = files.select("file_name", "data_dt")
+    load_files(spark, load, expected, right_controls(first))
+    load_files(spark, load, expected, right_controls(files))
+    return spark.read.parquet(load.target)
+
+
+@query(
+    "inbound_load_redelivered",
+    _TEXT_ROWS.replace(
+        "{value}",
+        "CAST(CAST(value AS DECIMAL(12,2)) + CASE WHEN day(ts) <= 10 THEN 1000 ELSE 0 END AS DECIMAL(12,2))::STRING",
+    ),
+)
+def inbound_load_redelivered(spark, sf_dir) -> DataFrame:
+    """All files are loaded; those up to the 10th land again, changed, under the same names."""
+    rows = daily_events(spark, sf_dir)
+    folder = fx.land(rows, F.col("landed"), sep="|")
+    load, files = new_load(spark, folder), daily_files(spark, sf_dir)
+    expected = files.select("file_name", "data_dt")
+    load_files(spark, load, expected, right_controls(files))
+    again = rows.where(F.dayofmonth(F.col("ts").cast("timestamp_ntz")) <= 10)
+    more = (F.col("value").cast("decimal(12,2)") + 1000).cast("decimal(12,2)").cast("string")
+    fx.land(again.withColumn("value", more), F.col("landed"), sep="|", folder=folder)
+    load_files(spark, load, expected, right_controls(files))
+    return spark.read.parquet(load.target)
+
+
+@query(
+    "inbound_load_late_file",
+    f"""
+SELECT event_id, ts, user_id, event_type, value, props, '{fx.RUN_ID}' AS PROC_RUN_ID,
+       TIMESTAMP '{fx.AS_OF_TEXT}' AS INS_PROC_DTM, CAST(ts AS DATE) AS DATA_DT
+FROM events""",
+)
+def inbound_load_late_file(spark, sf_dir) -> DataFrame:
+    """The second half of every day lands when the first is loaded already."""
+    folder = land_epoch_events(spark, sf_dir, halves=(0,))
+    load = new_load(spark, folder)
+    run_dates = fx.table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("data_dt")).distinct()
+    load_epoch_files(spark, load, run_dates)
+    land_epoch_events(spark, sf_dir, halves=(1,), folder=folder)
+    load_epoch_files(spark, load, run_dates)
+    return spark.read.parquet(load.target)
+
+
+CONFIGURED_DAY = date(2024, 3, 31)
+
+
+@query(
+    "inbound_load_configured",
+    f"""{fx.ctes("padded")}
+SELECT 'delimited' AS kind, trim(c_custkey) AS k, trim(c_name) AS v, DATE '{CONFIGURED_DAY}' AS DATA_DT
+  FROM padded
+UNION ALL SELECT 'typed', CAST(o_orderkey AS STRING), CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING),
+  DATE '{CONFIGURED_DAY}' FROM orders
+UNION ALL SELECT 'fixed', "C_KEY", "C_BALANCE", DATE '{CONFIGURED_DAY}' FROM ({FIXED_ORACLE})
+UNION ALL SELECT 'cast', CAST(p_partkey AS STRING), CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING),
+  DATE '{CONFIGURED_DAY}' FROM part
+UNION ALL SELECT 'epoch', CAST(event_id AS STRING), event_type, CAST(ts AS DATE) FROM events""",
+)
+def inbound_load_configured(spark, sf_dir) -> DataFrame:
+    """One config row for each kind of source, from the row to the loaded slice."""
+    padded, typed, cast = (new_folder(spark, x) for x in ("padded", "typed", "cast"))
+    fx.derive(spark, sf_dir, "padded").write.options(**UNTOUCHED).csv(padded, sep="|", header=True)
+    priced = T.StructType([ORDER_LAYOUT["o_orderkey"], ORDER_LAYOUT["o_totalprice"]])
+    price = F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice")
+    fx.table(spark, sf_dir, "orders").select("o_orderkey", price).write.csv(typed, sep="|", header=True)
+    fx.table(spark, sf_dir, "part").select("p_partkey", F.col("p_retailprice").cast("string")).write.parquet(cast)
+    fixed, epoch = land_fixed_width(spark, sf_dir), land_epoch_events(spark, sf_dir)
+    sources = [
+        ("delimited", padded, "|", None, "customer", "c_custkey", "c_name"),
+        ("typed", typed, "|", priced, "orders", "o_orderkey", "o_totalprice"),
+        ("fixed", fixed, NOT_DELIMITED, schemas.fixed_width_schema(CUSTOMER_WIDTHS), "customer", "C_KEY", "C_BALANCE"),
+        ("cast", cast, NOT_DELIMITED, {"p_partkey": "string", "p_retailprice": "decimal(12,2)"}, "part", "p_partkey", "p_retailprice"),
+        ("epoch", epoch, NOT_DELIMITED, None, "events", "event_id", "event_type"),
+    ]
+    result = None
+    for kind, path, sep, layout, counted, key, value in sources:
+        root, name = path.rsplit("/", 1)
+        row = {"src_file_name": name, "src_volume_name": name if kind == "epoch" else "raw", "src_delimeter": sep}
+        load = new_load(spark, path, sep)
+        days = fx.table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("data_dt")).distinct()
+        if kind != "epoch":
+            days = spark.createDataFrame([(CONFIGURED_DAY,)], "data_dt date")
+        controls = fx.table(spark, sf_dir, counted).agg(F.count("*").alias("ctrl_cnt")).select(
+            F.lit(name).alias("file_name"), F.lit(f"{CONFIGURED_DAY:%Y%m%d}").alias("ctrl_dt"), "ctrl_cnt"
+        )
+        load_configured(
+            spark, load, row, root=root, single_file_volume="raw", run_dates=days, controls=controls,
+            layouts=lambda _, layout=layout: layout,
+        )
+        part = spark.read.parquet(load.target).select(
+            F.lit(kind).alias("kind"), F.col(key).cast("string").alias("k"), F.col(value).cast("string").alias("v"), "DATA_DT"
+        )
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
+@query(
+    "outbound_export",
+    """
+SELECT c.copy, doc_id, text, lang, source, n_chars
+FROM documents, (SELECT unnest(['delimited', 'protected']) AS copy) c
+UNION ALL
+SELECT 'ledger', NULL, unnest(['3_Documents_20240331.csv', '3_Documents_20240331.csv.protected']), NULL, NULL, NULL""",
+)
 def outbound_export(spark, sf_dir) -> DataFrame:
     work = new_folder(spark, "outbound")
     documents = fx.table(spark, sf_dir, "documents")
@@ -161,7 +330,13 @@ def outbound_export(spark, sf_dir) -> DataFrame:
         as_of=fx.as_of(),
         key=key,
     )
-    return exports.unprotect(spark.read.text(paths["protected"]), key, documents.schema)
+    names = documents.columns
+    sent = exports.read_delimited(spark, paths["delimited"], documents.schema)
+    coded = exports.unprotect(spark.read.text(paths["protected"]), key, documents.schema)
+    ledger = spark.read.schema(schemas.LEDGER).parquet(f"{work}/ledger").select(F.col("file_name").alias("text"))
+    parts = [(sent, "delimited"), (coded, "protected"), (ledger, "ledger")]
+    shown = [p.withColumn("copy", F.lit(c)) for p, c in parts]
+    return shown[0].unionByName(shown[1]).unionByName(shown[2], allowMissingColumns=True).select("copy", *names)
 
 
 BUSINESS_DAY = date(1997, 12, 31)

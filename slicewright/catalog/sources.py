@@ -109,13 +109,13 @@ def src_parquet_cast(spark, sf_dir) -> DataFrame:
     return columnar.read_cast(spark, _land_dotted(spark, sf_dir), DOTTED_TYPES)
 
 
-def land_epoch_events(spark, sf_dir) -> str:
+def land_epoch_events(spark, sf_dir, halves=(0, 1), folder: str | None = None) -> str:
     """Events landed as one epoch-named entry per day and half-day, stamped at its last moment."""
     day = F.col("ts").cast("date")
     half = F.floor(F.hour("ts") / 12)
     millis = F.unix_date(day).cast("bigint") * 86_400_000 + (half + 1) * 43_200_000 - 1
     name = F.concat(F.lit("run-"), millis.cast("string"), F.lit("-part-0"))
-    return fx.land(fx.table(spark, sf_dir, "events"), name)
+    return fx.land(fx.table(spark, sf_dir, "events").where(half.isin(*halves)), name, folder=folder)
 
 
 @query(
@@ -133,7 +133,7 @@ def src_epoch_files(spark, sf_dir) -> DataFrame:
 CUSTOMER_WIDTHS = {"C_KEY": 10, "C_NAME": 20, "C_SEGMENT": 12, "C_BALANCE": 14}
 
 
-def _land_fixed_width(spark, sf_dir) -> str:
+def land_fixed_width(spark, sf_dir) -> str:
     path = new_folder(spark, "fixed")
     fields = {
         "C_KEY": F.col("c_custkey").cast("string"),
@@ -154,7 +154,7 @@ SELECT CAST(c_custkey AS STRING) AS C_KEY, c_name AS C_NAME, c_mktsegment AS C_S
 @query("src_fixed_width", FIXED_ORACLE)
 def src_fixed_width(spark, sf_dir) -> DataFrame:
     layout = schemas.fixed_width_schema(CUSTOMER_WIDTHS)
-    return fixed_width.read_fixed_width(spark, _land_fixed_width(spark, sf_dir), layout)
+    return fixed_width.read_fixed_width(spark, land_fixed_width(spark, sf_dir), layout)
 
 
 # Documents per landed JSON file; a file is parsed by one task, so it stays small.
@@ -277,7 +277,7 @@ def src_dispatch(spark, sf_dir) -> DataFrame:
         (
             "fixed width",
             SourceSpec(
-                _land_fixed_width(spark, sf_dir),
+                land_fixed_width(spark, sf_dir),
                 NOT_DELIMITED,
                 schemas.fixed_width_schema(CUSTOMER_WIDTHS),
             ),

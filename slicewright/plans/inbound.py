@@ -10,7 +10,7 @@ Processing row and an untouched or fully replaced slice, so it can be repeated.
 from __future__ import annotations
 
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -32,6 +32,7 @@ from slicewright.schemas import (
     PROCESSING,
     SUCCESS,
     conform,
+    declared_layout,
 )
 from slicewright.sources import landing as landings
 from slicewright.sources.columnar import read_landed
@@ -425,6 +426,34 @@ def load_source(
         return _close_run(spark, load, closed)
 
 
+def load_configured(
+    spark: SparkSession,
+    load: Load,
+    row: dict,
+    *,
+    root: str,
+    single_file_volume: str,
+    run_dates: DataFrame,
+    controls: DataFrame,
+    layouts=declared_layout,
+    slice_column: str | None = "DATA_DT",
+) -> DataFrame:
+    """Load the source that a config row names, for its run dates; returns the verdicts.
+
+    A single file has one run date and is checked against its control row; a
+    folder of epoch-named files has no control file and takes any number of dates.
+    """
+    spec = SourceSpec.from_config(row, root, single_file_volume, layouts=layouts)
+    if spec.epoch_named:
+        return load_epoch_files(spark, replace(load, landing=spec.path), run_dates)
+    days = [r.data_dt for r in run_dates.select("data_dt").distinct().limit(2).collect()]
+    if len(days) != 1:
+        raise ValueError("a single file is loaded for one run date")
+    return load_source(
+        spark, load, spec, file_name=row["src_file_name"], data_dt=days[0], controls=controls, slice_column=slice_column
+    )
+
+
 _OPENED = "file_name string, data_dt date, proc_status string"
 _CLOSED = (
     "file_name string, data_dt date, data_cnt bigint, ctrl_cnt bigint, check_status string, "

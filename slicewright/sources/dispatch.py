@@ -30,14 +30,19 @@ class SourceSpec:
     json: bool = False
 
     @classmethod
-    def from_config(cls, row: dict, root: str, single_file_volume: str, **rest) -> SourceSpec:
-        """Spec of one config row; any other volume is a folder of epoch-named files."""
+    def from_config(
+        cls, row: dict, root: str, single_file_volume: str, layouts=declared_layout, **rest
+    ) -> SourceSpec:
+        """Spec of one config row; any other volume is a folder of epoch-named files.
+
+        ``layouts`` tells the declared layout of a file name.
+        """
         single = row["src_volume_name"] == single_file_volume
         tail = row["src_file_name"] if single else row["src_volume_name"]
         return cls(
             path=f"{root.rstrip('/')}/{tail}",
             delimiter=row["src_delimeter"],
-            layout=declared_layout(row["src_file_name"]) if single else None,
+            layout=layouts(row["src_file_name"]) if single else None,
             epoch_named=not single,
             **rest,
         )
