@@ -94,7 +94,8 @@ def snk_partition_replace(spark, sf_dir) -> DataFrame:
         events.where(F.dayofmonth("ts") % 2 == 0).withColumn("value", F.col("value") + 1000),
         day, "run-0002", fx.as_of(),
     )
-    mutations.write_slices(again.select(*columns), path, gather=True)
+    even = F.dayofmonth("DATA_DT") % 2 == 0
+    mutations.write_slices(again.select(*columns), path, slices=even, gather=True)
     return spark.read.parquet(path)
 
 
