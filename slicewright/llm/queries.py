@@ -121,6 +121,38 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLES["op5_suffix_dedup"] = """
+WITH b AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, i, substr(h, 2 * i - 1, 100) AS s FROM b, unnest(range(1, length(h) // 2 - 48)) t(i)),
+firsts AS (SELECT s, min(doc_id) AS d FROM win GROUP BY s HAVING count(*) > 1),
+hit AS (SELECT w.doc_id, w.i FROM win w JOIN firsts f ON f.s = w.s WHERE f.d < w.doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM hit),
+runs AS (SELECT doc_id, k, k - row_number() OVER (PARTITION BY doc_id ORDER BY k) AS r FROM gone),
+spans AS (SELECT doc_id, min(k) AS a, max(k) AS z FROM runs GROUP BY doc_id, r),
+pieces AS (
+SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM spans),
+kept AS (
+SELECT doc_id, string_agg(substr(h, 2 * before + 1, 2 * (a - 1 - before)), '' ORDER BY a) AS head,
+       max(z) AS z, count(*) AS n_spans, sum(z - a + 1) AS n FROM pieces JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT b.doc_id, CAST(length(b.h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(concat(coalesce(head, ''), substr(b.h, 2 * coalesce(z, 0) + 1)))) AS kept_sha256
+FROM b LEFT JOIN kept USING (doc_id)"""
+
+ORACLES["op9_super_kmers"] = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (
+SELECT doc_id, i, array_to_string(ws[i:i + 49], ' ') AS s FROM w, unnest(range(1, len(ws) - 48)) t(i)),
+firsts AS (SELECT s, min(doc_id) AS d FROM win GROUP BY s HAVING count(*) > 1),
+hit AS (SELECT w.doc_id, w.i FROM win w JOIN firsts f ON f.s = w.s WHERE f.d < w.doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM hit),
+word AS (SELECT doc_id, k, ws[k] AS c FROM w, unnest(range(1, len(ws) + 1)) t(k)),
+kept AS (
+SELECT doc_id, string_agg(c, ' ' ORDER BY k) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, k) GROUP BY 1)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(kept.n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)"""
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
