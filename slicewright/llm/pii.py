@@ -219,7 +219,7 @@ def classifier(found: DataFrame) -> dict[str, float] | None:
     )
     ready = VectorAssembler(inputCols=names, outputCol="x").transform(both)
     model = LogisticRegression(featuresCol="x", weightCol="weight", regParam=1e-3, maxIter=50).fit(ready)
-    return dict(zip(names, model.coefficients.tolist())) | {"": model.intercept}
+    return dict(zip(names, model.coefficients.toArray().tolist())) | {"": model.intercept}
 
 
 def find_spans(docs: DataFrame, *, text_col: str = "text") -> DataFrame:

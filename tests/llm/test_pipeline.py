@@ -20,6 +20,8 @@ from slicewright.llm.common import fold
 from slicewright.llm.decontamination import WORD, shingles
 
 SF_DIR = "/root/testdata/sf0.001"
+#: Accuracy on held-out rows needs more of them.
+LARGER = "/root/testdata/sf0.1"
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, spans string"
 
 
@@ -130,8 +132,8 @@ def test_whole_tables(spark, corpus):
 
 
 def test_held_out_toxicity(spark):
-    got = entry.queries()["op4_toxicity"](spark, "/root/testdata/sf0.01")
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    got = entry.queries()["op4_toxicity"](spark, LARGER)
+    labels = spark.read.parquet(f"{LARGER}/labels.parquet")
     held = got.where("held_out").join(labels, "doc_id").select((F.col("predicted") == F.col("toxic")).cast("int").alias("ok"))
     assert held.agg(F.avg("ok")).first()[0] > 0.95
     assert got.where(F.col("held_out") != (fold(F.col("doc_id")) == 0)).isEmpty()
