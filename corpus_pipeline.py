@@ -6,20 +6,34 @@ the columns of ``documents``; the last one returns ids and decoded text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from slicewright.llm import decontamination, merge_coding, pii, prob_minhash, toxicity
-from slicewright.llm.common import fold, saved, table
+from slicewright.llm.common import fold, saved, send_package, table
+
+
+def stage(run: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    @wraps(run)
+    def sent(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        send_package(spark)
+        return run(spark, docs, sf_dir)
+
+    return sent
 
 
+@stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose calibrated toxicity is under one half; learned from the labels outside fold 0."""
     scored = toxicity.score(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id")) != 0)
     return docs.join(scored.where("score >= 0.5").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
+@stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate class; rows without an id stay."""
     classes = prob_minhash.classes(docs)
@@ -30,12 +44,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return kept.withColumn("_again", again).where("_again = 1 OR doc_id IS NULL").select(docs.columns)
 
 
+@stage
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage like a benchmark item."""
     found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
     return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
 
 
+@stage
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every span of personal data replaced by its kind."""
     rows = docs.select(F.struct(*docs.columns).alias("doc"), "text")
@@ -44,6 +60,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return clean.select(*(new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns))
 
 
+@stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id``, packed ``ids`` and ``decoded`` text of all documents."""
     return merge_coding.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -64,6 +81,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written before the next reads it."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for name, step in STAGES[:-1]:
+        docs = saved(step(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute
@@ -17,7 +20,23 @@ GAP = r"[\x20\x09-\x0D]+"
 #: Stands for a NULL doc_id where documents are compared by id: after every id.
 NO_ID = 2**63 - 1
 #: Text handled at once inside a Python task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+
+
+_sent_to: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def send_package(spark: SparkSession) -> None:
+    """Let the Python workers of this session import the package, wherever they run.
+
+    The driver serves the archive to every executor, and drops it when it ends.
+    """
+    context = spark.sparkContext
+    if context.applicationId not in _sent_to:
+        root = Path(__file__).resolve().parents[2]
+        folder = tempfile.TemporaryDirectory(prefix="slicewright-")
+        context.addPyFile(shutil.make_archive(f"{folder.name}/slicewright", "zip", root, "slicewright"))
+        _sent_to[context.applicationId] = folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,13 +63,13 @@ def text_bytes(df: DataFrame, text: str) -> int:
     return df.agg(F.sum(F.octet_length(text))).first()[0] or 0
 
 
-def small_slices(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """The same rows in record batches of about ``SLICE_BYTES`` of text each."""
+def small_slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in record batches of about ``most`` bytes of text each."""
     for batch in batches:
         sizes = pa.compute.binary_length(batch[text]).fill_null(0).to_numpy(zero_copy_only=False)
         start = held = 0
         for i, size in enumerate(sizes):
-            if held and held + size > SLICE_BYTES:
+            if held and held + size > most:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += int(size)

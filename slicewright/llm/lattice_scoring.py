@@ -37,10 +37,10 @@ from pyspark.sql import functions as F
 from slicewright.llm.common import pieces_of, saved, text_bytes
 
 MARK = "▁"
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20
 #: Distinct words that a learning task gathers before it passes them on.
-GATHER = 400_000
+GATHER = 200_000
 PRIOR = 1_000.0
 END = -1
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import corpus_pipeline
 import public_tokenizers
@@ -21,15 +22,20 @@ from slicewright.llm import (
     super_kmers,
     toxicity,
 )
-from slicewright.llm.common import fold, table
+from slicewright.llm.common import fold, send_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[run.__name__] = run
-    return run
+    @wraps(run)
+    def sent(spark: SparkSession, sf_dir: str) -> DataFrame:
+        send_package(spark)
+        return run(spark, sf_dir)
+
+    QUERIES[run.__name__] = sent
+    return sent
 
 
 @query

@@ -77,6 +77,11 @@ def odds_of(word: str, lexicon: dict[str, float]) -> float:
     return best
 
 
+#: What most words show; and words that a task remembers before it starts afresh.
+PLAIN = (0.0, 0, 0, 0, 0)
+MEMORY = 150_000
+
+
 class Features:
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
@@ -100,13 +105,14 @@ class Features:
         n = len(raw)
         if not n:
             return [0.0] * len(FEATURES)
-        if len(self.known) > 300_000:
+        if len(self.known) > MEMORY:
             self.known.clear()
         known, seen = self.known, []
         for t in raw:
             got = known.get(t)
             if got is None:
-                got = known[t] = (*self.word(t), int(t.isupper() and len(t) > 2), int(EDGE.sub("", t.lower()) in ADDRESS))
+                got = (*self.word(t), int(t.isupper() and len(t) > 2), int(EDGE.sub("", t.lower()) in ADDRESS))
+                got = known[t] = got if any(got) else PLAIN
             seen.append(got)
         odds, hidden, odd, loud, address = np.array(seen, np.float64).T
         hits = np.flatnonzero(odds)
@@ -128,7 +134,7 @@ def _counted(rows: DataFrame, only: frozenset | None) -> DataFrame:
     """``stem``, ``n``: rows that hold each stem (of ``only``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_slices(batches, "text"):
+        for batch in small_slices(batches, "text", 1 << 19):
             held: Counter = Counter()
             for text in batch["text"].to_pylist():
                 own = {s for w in set(plain_words(text or "")) for s in stems(w)}
