@@ -3,7 +3,7 @@
 Texts and items are lower-cased and read as words (letters, digits,
 underscore). Every window of a document that is as long as an item and shares
 one shingle (five words in a row) with an item of that length gets a 64-bit
-SimHash of its words; windows that share none have similarity 0, so leaving
+SimHash of its words; a document shorter than the item is one window as a whole; windows that share none have similarity 0, so leaving
 them out loses nothing. The fingerprints of the items are indexed by
 ``radius + 1`` blocks of bits: two fingerprints at most ``radius`` bits apart
 agree in one block at least, so looking up every block finds them all. Each
@@ -157,27 +157,29 @@ class Benchmark:
         ids = np.fromiter(map(self.vocabulary.__getitem__, words), np.int64, len(words))
         best: dict[int, tuple[float, int, int]] = {}
         for length, places in sorted(self._meeting(ids).items()):
-            if len(words) < length:
-                continue
-            reach = length - min(SHINGLE, length)
-            starts = sorted({s for p in places for s in range(max(0, p - reach), min(p, len(words) - length) + 1)})
+            size = min(length, len(words))
+            if size < length and (size - SHINGLE + 1) / (length - SHINGLE + 1) < least:
+                continue  # too few shingles to be similar
+            reach = size - min(SHINGLE, size)
+            starts = sorted({s for p in places for s in range(max(0, p - reach), min(p, len(words) - size) + 1)})
             while starts:
                 last = next((i for i, s in enumerate(starts) if s > starts[0] + STRETCH), len(starts))
-                self._verify(words, np.array(starts[:last]), length, least, best)
+                self._verify(words, np.array(starts[:last]), size, length, least, best)
                 starts = starts[last:]
         return [(k, *v) for k, v in sorted(best.items())]
 
-    def _verify(self, words: list[str], starts: np.ndarray, length: int, least: float, best: dict) -> None:
-        low, high = int(starts[0]), int(starts[-1]) + length
-        prints = fingerprints(np.array([signs(w) for w in words[low:high]]), starts - low, length)
+    def _verify(self, words: list[str], starts: np.ndarray, size: int, length: int, least: float, best: dict) -> None:
+        """Compare the windows of ``size`` words with the items of ``length``."""
+        low, high = int(starts[0]), int(starts[-1]) + size
+        prints = fingerprints(np.array([signs(w) for w in words[low:high]]), starts - low, size)
         counts: dict[int, Counter] = {}
         for at, item in zip(*self.index[length].near(prints)):
             start, (key, _, own) = int(starts[at]), self.items[length][item]
             if start not in counts:
-                counts[start] = Counter(shingles(words[start : start + length]))
+                counts[start] = Counter(shingles(words[start : start + size]))
             s = similarity(counts[start], own)
-            if s >= least and (-s, start, length) < (-best.get(key, (-1.0,))[0], *best.get(key, (0, 0, 0))[1:]):
-                best[key] = (s, start, length)
+            if s >= least and (-s, start, size) < (-best.get(key, (-1.0,))[0], *best.get(key, (0, 0, 0))[1:]):
+                best[key] = (s, start, size)
 
 
 def contaminated(

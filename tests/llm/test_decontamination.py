@@ -42,6 +42,26 @@ def test_windows_like_items(spark):
     assert dc.contaminated(docs(spark, rows), table.limit(0)).collect() == []
 
 
+def test_cut_items_that_are_whole_documents(spark):
+    rng = random.Random(5)
+    items = [(i, prose(rng, rng.randrange(20, 60), 3000)) for i in range(30)] + [(50, "one two three four five six"), (51, "a b c")]
+    rows = [(500, "one two three four five"), (501, "one two three four"), (502, "a b")]
+    for i, t in items[:30]:
+        w = t.split()
+        rows += [(100 + i, " ".join(w[:-1])), (200 + i, " ".join(w[2:])), (300 + i, " ".join(w[1:-2])), (400 + i, " ".join(w[: len(w) // 2]))]
+    want = brute(rows, items)
+    for k, t in items:
+        words = dc.WORD.findall(t)
+        for d, text in rows:
+            own = dc.WORD.findall(text)
+            s = dc.similarity(Counter(dc.shingles(own)), Counter(dc.shingles(words)))
+            if len(own) < len(words) and s >= dc.SIMILARITY:
+                want[d, k] = (s, 0, len(own))
+    got = dc.contaminated(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): (r.similarity, r.first_word, r.n_words) for r in got} == want
+    assert all((100 + i, i) in want and (400 + i, i) not in want for i in range(30))
+
+
 def test_items_in_blocks(spark, monkeypatch):
     items = [(i, prose(random.Random(i), 20, 500)) for i in range(40)]
     rows = [(i, "x " + t) for i, t in items]
