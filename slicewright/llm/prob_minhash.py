@@ -15,7 +15,7 @@ similarity. Classes are what links connect; a class is named by its smallest id.
    registers (four standard deviations below 0.8) are verified as pairs; where
    that would be many more pairs than members, inside the task, which returns
    only links that connect. A pair that shares several bands is looked at in
-   the first. Groups above ``CHUNK`` members are dealt out as pairs of chunks, so
+   the first, by the keys that groups are made by. Groups above ``CHUNK`` members are dealt out as pairs of chunks, so
    no task ever holds more than two chunks.
 
 No link is left out but by the two probabilities named, and nothing is capped.
@@ -201,7 +201,7 @@ def _maybe(unit: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
     ids, comp, chunk = (unit[c].to_numpy() for c in ("id", "comp", "chunk"))
     band, across = unit["band"][0].as_py(), unit["ci"][0].as_py() != unit["cj"][0].as_py()
     sketch = np.frombuffer(b"".join(unit["sketch"].to_pylist()), np.uint8).reshape(len(ids), -1)
-    whole = np.ascontiguousarray(sketch).view(np.uint32)  # a band is four registers of a byte
+    keys = pa.compute.list_flatten(unit["bands"]).to_numpy().reshape(len(ids), -1)
     left, right = [], []
     for low in range(0, len(ids), 64):
         for start in range(low, len(ids), 512):
@@ -213,10 +213,12 @@ def _maybe(unit: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
             if not good.any():
                 continue
             good &= (sketch[a, None, :] == sketch[None, b, :]).mean(2) >= MAYBE
-            good &= (whole[a, None, :] == whole[None, b, :]).argmax(2) >= band
             x, y = np.nonzero(good)
-            left.append(x + low)
-            right.append(y + start)
+            x, y = x + low, y + start
+            # the keys that groups are made by, as bytes alone may agree in a band that is not shared
+            first = np.concatenate([(keys[x[i : i + 4_096]] == keys[y[i : i + 4_096]]).argmax(1) for i in range(0, len(x), 4_096)] or [x])
+            left.append(x[first >= band])
+            right.append(y[first >= band])
     none = np.zeros(0, np.int64)
     return ids, comp, np.concatenate([none, *left]), np.concatenate([none, *right])
 
@@ -288,7 +290,7 @@ def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     texts = saved(rows.join(members, "id", "left_semi").dropDuplicates(["id"]), "near-texts")
     star = groups.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     links = saved(verified(star, texts), "near-links")
-    sketches = signs.select("id", "sketch").dropDuplicates(["id"])
+    sketches = signs.select("id", "sketch", "bands").dropDuplicates(["id"])
     more = saved(_between(groups.drop("leader"), links, sketches, texts, chunk), "near-links")
     named = components(links.unionAll(more))
     out = signed.select("id", "digest").join(copies, "digest", "left").withColumn("rep", F.coalesce("rep", "id"))

@@ -62,6 +62,21 @@ def test_registers_estimate_probability_jaccard():
     assert abs(pm.probability_jaccard(*one) - len(np.intersect1d(a, b)) / len(np.union1d(a, b))) < 1e-12
 
 
+def test_first_shared_band_is_that_of_the_whole_keys():
+    import pyarrow as pa
+
+    a = np.arange(pm.REGISTERS, dtype=np.uint64).reshape(1, -1) << np.uint64(8)
+    b = a + np.uint64(1 << 40)  # all bytes of the sketches agree
+    b[:, 5 * pm.ROWS : 6 * pm.ROWS] = a[:, 5 * pm.ROWS : 6 * pm.ROWS]
+    b[:, 9 * pm.ROWS : 10 * pm.ROWS] = a[:, 9 * pm.ROWS : 10 * pm.ROWS]
+    both = np.concatenate([a, b])
+    for band, want in ((5, [(0, 1)]), (9, [])):
+        unit = {"id": [7, 8], "comp": [7, 8], "chunk": [0, 0], "band": [band] * 2, "ci": [0, 0], "cj": [0, 0]}
+        unit = pa.table(unit | {"sketch": [r.tobytes() for r in both.astype(np.uint8)], "bands": pm.band_keys(both).tolist()})
+        _, _, left, right = pm._maybe(unit)
+        assert list(zip(left.tolist(), right.tolist())) == want
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(i, i + 1) for i in range(0, 60)] + [(rng.randrange(100, 200), rng.randrange(100, 200)) for _ in range(60)]
