@@ -11,8 +11,10 @@ beyond ``CUT`` in the final distance, corrected for consistency, are rejected.
 Nearest documents are found by counts over narrow distance classes, so a step is
 one grouped sum with a row for each group and class; no group is gathered. The
 class in which the share is reached is taken whole, which keeps ties together.
-Groups with fewer than ``LEAST`` usable documents use their language's estimate,
-and where that has too few, the one of all documents.
+Groups with fewer than ``LEAST`` usable documents are judged by their language's
+estimate, and where that has too few, by the one of all documents. These are
+fitted on all usable documents of the language, or of the table; an estimate
+that no document is judged by is not fitted.
 
 Everything is DataFrame expressions; the loop has a fixed number of steps.
 
@@ -32,7 +34,8 @@ from slicewright.llm.text_stats import with_counts
 
 KEEP = 0.75
 STEPS = 4
-LEAST = 200
+#: The nearest three quarters of so many documents are five for each of the five dimensions.
+LEAST = 34
 FLOOR = 0.05
 #: Distance classes for each doubling of the squared distance.
 FINE = 16
@@ -132,22 +135,26 @@ def judge(
         "text-statistics",
     )
     n_own = stats.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n_own"))
-    by_lang = n_own.groupBy(F.col("lang").alias("l")).agg(F.sum("n_own").alias("n_lang"))
-    level = n_own.join(by_lang, F.col("lang").eqNullSafe(F.col("l"))).select(
+    small = F.col("n_own") < LEAST
+    by_lang = n_own.groupBy(F.col("lang").alias("l")).agg(F.sum("n_own").alias("n_lang"), F.max(small).alias("some_small"))
+    lang_judges, few = (F.col("n_lang") >= LEAST) & F.col("some_small"), F.col("n_lang") < LEAST
+    whole = by_lang.agg(F.max(few).alias("all_judges"))
+    # to_json leaves NULLs out, so the level is part of the name
+    own, of_lang = (F.concat(F.lit(k), F.to_json(F.struct(*c))) for k, c in (("source ", ["lang", "source"]), ("language ", ["lang"])))
+    of_all = F.lit("all")
+    level = n_own.join(by_lang, F.col("lang").eqNullSafe(F.col("l"))).crossJoin(F.broadcast(whole)).select(
         F.col("lang").alias("l"),
         F.col("source").alias("s"),
-        F.when(F.col("n_own") >= LEAST, F.to_json(F.struct("lang", "source")))
-        .when(F.col("n_lang") >= LEAST, F.to_json(F.struct("lang")))
-        .otherwise("all")
-        .alias("g"),
+        F.when(~small, own).when(~few, of_lang).otherwise(of_all).alias("g"),
+        F.array_compact(F.array(F.when(~small, own), F.when(lang_judges, of_lang), F.when(F.col("all_judges"), of_all))).alias("fits"),
     )
     same = F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s"))
     dealt = saved(stats.join(level, same, "left").drop("l", "s"), "outlier-groups")
-    fit = dealt.where(~F.col("base_failed")).select("g", *STATS)
+    fit = dealt.where(~F.col("base_failed")).select(F.explode("fits").alias("g"), *STATS)
     est = saved(_start(fit), "outlier-estimates").select("g", *(f"m_{i}" for i in range(len(STATS))), *(f"l_{i}_{j}" for i, j in PAIRS))
     for _ in range(STEPS):
         est = saved(_concentrated(_with_distance(fit, est)), "outlier-estimates")
     near = F.when(~F.col("base_failed"), F.col("d2") / CONSISTENCY)
-    out = _with_distance(dealt, est).withColumn("distance2", near)
+    out = _with_distance(dealt.drop("fits"), est).withColumn("distance2", near)
     kept = ~F.col("base_failed") & (F.coalesce("distance2", F.lit(0.0)) <= CUT)
     return out.select(F.col("id").alias(id_col), *counts, "base_failed", kept.alias("kept"), "distance2")

@@ -33,6 +33,25 @@ def test_base_counts_and_rejections(spark):
     assert robust_outliers.judge(docs(spark, [])).collect() == []
 
 
+def test_small_sources_are_judged_by_their_whole_language(spark):
+    rng = random.Random(2)
+    text = lambda mark="": " ".join(w + mark for w in prose(rng, rng.randrange(80, 300), 10**5).split())
+    rows = [(i, text(), "aa", "large") for i in range(150)] + [(i, text("#" * 3), "bb", "large") for i in range(200, 350)]
+    rows += [(400, text("%%%"), "aa", "small"), (401, text(), "aa", "small"), (402, text("###"), "bb", "small"), (403, text(), "bb", "small")]
+    rows += [(404, text("%" * 40), "cc", "alone"), (405, text(), "cc", "alone"), (406, text("%" * 40), None, None)]
+    got = {r.doc_id: r.kept for r in robust_outliers.judge(docs(spark, rows)).collect()}
+    assert [got[d] for d in (400, 401, 402, 403)] == [False, True, True, False]
+    assert [got[d] for d in (404, 405, 406)] == [False, True, False]
+
+
+def test_groups_of_moderate_size_have_their_own_estimate(spark):
+    rng = random.Random(3)
+    text = lambda mark="": " ".join(w + mark for w in prose(rng, rng.randrange(80, 300), 10**5).split())
+    rows = [(i, text(), "aa", "plain") for i in range(300)] + [(i, text("###"), "aa", "marked") for i in range(300, 360)]
+    got = {r.doc_id: r.kept for r in robust_outliers.judge(docs(spark, rows)).collect()}
+    assert all(got[d] for d in range(300, 360))
+
+
 def test_concentration_finds_the_narrow_share(spark):
     import numpy as np
 
