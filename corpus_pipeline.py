@@ -26,11 +26,18 @@ def stage(run: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[
     return sent
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a ``_key`` that is never NULL: the id, or for a NULL id a hash of the text."""
+    no_id = F.concat(F.lit("text "), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    return docs.withColumn("_key", F.coalesce(F.concat(F.lit("id "), F.col("doc_id").cast("string")), no_id))
+
+
 @stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose calibrated toxicity is under one half; learned from the labels outside fold 0."""
-    scored = toxicity.score(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id")) != 0)
-    return docs.join(scored.where("score >= 0.5").select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Documents whose calibrated toxicity is under one half, with or without an id; learned from the labels outside fold 0."""
+    keyed = _keyed(docs)
+    scored = toxicity.score(keyed, table(spark, sf_dir, "labels"), fold(F.col("doc_id")) != 0, keep=("_key",))
+    return keyed.join(scored.where("score >= 0.5").select("_key").distinct(), "_key", "left_anti").select(docs.columns)
 
 
 @stage
@@ -46,9 +53,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 @stage
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage like a benchmark item."""
-    found = decontamination.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    """Documents without a passage like a benchmark item, with or without an id."""
+    keyed = _keyed(docs)
+    found = decontamination.contaminated(keyed, table(spark, sf_dir, "benchmark"), id_col="_key")
+    return keyed.join(found.select("_key").distinct(), "_key", "left_anti").select(docs.columns)
 
 
 @stage

@@ -186,12 +186,13 @@ def score(
     text_col: str = "text",
     label_col: str = "toxic",
     sample: int = SAMPLE,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``id_col`` and ``score`` of each row of ``docs``; ``learning`` picks rows of ``labels`` by the id."""
+    """``id_col``, the columns ``keep`` and ``score`` of each row of ``docs``; ``learning`` picks rows of ``labels`` by the id."""
     marked = labels.where(learning).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     marked = marked.where("id IS NOT NULL AND label IN (0, 1)")
     chosen = marked.orderBy(F.xxhash64("id"), "id", "label").limit(sample)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *keep)
     # at most ``sample`` rows of two numbers are sent to the tasks
     known = saved(texts.join(F.broadcast(chosen), "id"), "toxicity-sample")
     lexicon = learn_lexicon(known)
@@ -199,17 +200,17 @@ def score(
     vector = VectorAssembler(inputCols=FEATURES, outputCol="features")
     fit = saved(with_features(known.withColumn("part", part), lexicon, ["id", "label", "part"]), "toxicity-features")
     fit = vector.transform(fit)
-    ready = vector.transform(with_features(texts, lexicon, ["id"]))
+    ready = vector.transform(with_features(texts, lexicon, ["id", *keep]))
     shares = {r.label: r["count"] for r in fit.where("part > 0").groupBy("label").count().collect()}
     if len(shares) < 2:
         share = float(shares.get(1, 0)) / sum(shares.values()) if shares else 0.5
-        return ready.select(F.col("id").alias(id_col), F.lit(share).alias("score"))
+        return ready.select(F.col("id").alias(id_col), *keep, F.lit(share).alias("score"))
     trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=15, maxDepth=4, stepSize=0.3, seed=7)
     model = trees.fit(fit.where("part > 0"))
     raw = lambda df: model.transform(df).withColumn("raw", vector_to_array("probability")[1])
     held = raw(fit.where("part = 0")).select("raw", F.col("label").cast("double").alias("label"))
     if held.select("label").distinct().count() < 2:
-        return raw(ready).select(F.col("id").alias(id_col), F.col("raw").alias("score"))
+        return raw(ready).select(F.col("id").alias(id_col), *keep, F.col("raw").alias("score"))
     steps = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(held)
     scored = steps.transform(raw(ready))
-    return scored.select(F.col("id").alias(id_col), F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")).alias("score"))
+    return scored.select(F.col("id").alias(id_col), *keep, F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")).alias("score"))

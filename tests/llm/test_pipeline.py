@@ -89,6 +89,17 @@ def test_stages_on_empty_documents(spark, small):
         assert docs.collect() == []
 
 
+def test_rows_without_an_id_are_dropped_too(spark, small):
+    folder, texts, _, items = small
+    rng = random.Random(7)
+    toxic, leak, fine = texts[0], prose(rng, 40) + " " + items[0][1] + ". " + prose(rng, 40), prose(rng, 60)
+    rows = [(None, t, "en", "s", 0, None) for t in (toxic, leak, fine, None)]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id IS NOT NULL").unionAll(spark.createDataFrame(rows, COLUMNS))
+    left = lambda df: {r.text for r in df.where("doc_id IS NULL").collect()}
+    assert left(corpus_pipeline.drop_toxic(spark, docs, folder)) == {leak, fine, None}
+    assert left(corpus_pipeline.drop_contaminated(spark, docs, folder)) == {toxic, fine, None}
+
+
 def test_every_operator_is_registered():
     names = list(entry.queries())
     assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
