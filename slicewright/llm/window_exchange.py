@@ -17,9 +17,11 @@ in how a window picks its minimiser, and in how a bucket finds equal windows.
    smallest document id that holds the window. The block removes what its later
    documents cover with them.
 
-A minimiser that very many blocks hold (``HOT_BLOCKS``) would make one bucket
-large where its surroundings differ from document to document. Its windows
-travel one by one instead, to the bucket of their own hash.
+A minimiser with very many distinct runs (``HOT_RUNS``, summed over the blocks)
+would make one bucket large, as a short line does whose surroundings differ from
+document to document. Its windows travel one by one instead, to the bucket of
+their own hash. Blocks send the number of distinct runs with each minimiser, so
+the split depends on the size of the group and not on that of the table.
 """
 
 from __future__ import annotations
@@ -41,6 +43,10 @@ from slicewright.llm.common import NO_ID, pieces_of, text_bytes
 BLOCK_BYTES = 12 << 20
 BUCKET_BYTES = 3 << 20
 HOT_BLOCKS = 4_096
+#: Distinct runs of one minimiser in a bucket at most; of ``LONGEST_RUN`` windows each at most.
+HOT_RUNS = 4_096
+#: Runs of one minimiser that a block counts up to.
+MOST_RUNS = 2**16 - 1
 #: Windows whose minimisers are found at once, and windows of one run at most.
 STRETCH, LONGEST_RUN = 1 << 18, 256
 #: Minimisers travel as 48 bits; a chance agreement only sends a run in vain.
@@ -118,30 +124,50 @@ def _documents(block: pa.Table) -> list[tuple[int, bytes]]:
     return sorted(zip(ids, texts))
 
 
+def _distinct_runs(units: Units, block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Minimisers of a block, and how many different runs each has."""
+    texts = [units.split(t) for _, t in _documents(block)]
+    cut = [runs(units, t) for t in texts]
+    row = np.repeat(np.arange(len(cut)), [len(k) for _, _, k in cut])
+    first, n, every = (np.concatenate([c[j] for c in cut]) for j in range(3))
+    del cut
+    keys, back, held = np.unique(every, return_inverse=True, return_counts=True)
+    again = np.flatnonzero(held[back] > 1)  # the other minimisers have one run
+    seen = {
+        (k, xxhash.xxh3_64_intdigest(units.packed(texts[r], a, a + m - 1 + units.width)))
+        for k, r, a, m in zip(*(x[again].tolist() for x in (back, row, first, n)))
+    }
+    held[back[again]] = 0
+    np.add.at(held, np.fromiter((k for k, _ in seen), np.int64, len(seen)), 1)
+    return keys, np.minimum(held, MOST_RUNS).astype(np.uint16)
+
+
 def _distinct_minimisers(units: Units, block: pa.Table, buckets: int) -> pa.Table:
     number = block["block"][0].as_py()
-    found, held = [], 0
-    for _, text in _documents(block):
-        found.append(np.unique(runs(units, units.split(text))[2]))
-    keys = np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+    keys, held = _distinct_runs(units, block)
     bucket = (keys % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    keys, bucket = keys[order], bucket[order]
+    keys, held, bucket = keys[order], held[order], bucket[order]
     edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(keys) else []
+    cut = lambda x: np.split(x, edges[1:]) if len(edges) else []
     return pa.table(
         {
             "bucket": pa.array([int(bucket[e]) for e in edges], pa.int64()),
             "block": pa.array([number] * len(edges), pa.int64()),
-            "keys": pa.array([key_bytes(k) for k in np.split(keys, edges[1:])] if len(edges) else [], pa.binary()),
+            "keys": pa.array([key_bytes(k) for k in cut(keys)], pa.binary()),
+            "runs": pa.array([h.tobytes() for h in cut(held)], pa.binary()),
         }
     )
 
 
-def _shared_minimisers(bucket: pa.Table, hot_blocks: int) -> pa.Table:
+def _shared_minimisers(bucket: pa.Table, hot_blocks: int, hot_runs: int) -> pa.Table:
     blocks = bucket["block"].to_numpy()
     own = [keys_from(k) for k in bucket["keys"].to_pylist()]
-    found, n = np.unique(np.concatenate(own), return_counts=True)
-    shared, hot = found[n > 1], found[n >= hot_blocks]
+    found, back, n = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
+    held = np.zeros(len(found), np.int64)
+    np.add.at(held, back, np.frombuffer(b"".join(bucket["runs"].to_pylist()), np.uint16).astype(np.int64))
+    large = held > hot_runs
+    shared, hot = found[(n > 1) | large], found[(n >= hot_blocks) | large]
     out = []
     for block, keys in zip(blocks, own):
         common = keys[np.isin(keys, shared, assume_unique=True)]
@@ -327,6 +353,7 @@ def remove_repeats(
     block_bytes: int = BLOCK_BYTES,
     bucket_bytes: int = BUCKET_BYTES,
     hot_blocks: int = HOT_BLOCKS,
+    hot_runs: int = HOT_RUNS,
 ) -> DataFrame:
     """Rows made by ``finish(id, text, removed ranges)``, one for each row of ``docs``."""
     total = text_bytes(docs, text_col)
@@ -337,9 +364,9 @@ def remove_repeats(
     )
     shared = (
         dealt.groupBy("block")
-        .applyInArrow(lambda t: _distinct_minimisers(units, t, buckets), "bucket long, block long, keys binary")
+        .applyInArrow(lambda t: _distinct_minimisers(units, t, buckets), "bucket long, block long, keys binary, runs binary")
         .groupBy("bucket")
-        .applyInArrow(lambda t: _shared_minimisers(t, hot_blocks), "block long, shared binary, hot binary")
+        .applyInArrow(lambda t: _shared_minimisers(t, hot_blocks, hot_runs), "block long, shared binary, hot binary")
     )
     holders = (
         dealt.groupBy("block")

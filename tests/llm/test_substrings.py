@@ -1,7 +1,11 @@
+import random
+from collections import Counter
+
+import pyarrow as pa
 import pytest
-from helpers import awkward, digest, docs, without_repeats
+from helpers import awkward, digest, docs, prose, without_repeats
 
-from slicewright.llm import suffix_refinement, super_kmers
+from slicewright.llm import suffix_refinement, super_kmers, window_exchange
 
 SMALL = {"block_bytes": 4_000, "bucket_bytes": 2_000}
 
@@ -30,6 +34,30 @@ def test_repeated_words(spark, options):
     assert any(w[2] for w in want)
 
 
+@pytest.mark.parametrize("run", [suffix_refinement.remove_repeated_bytes, super_kmers.remove_repeated_words])
+def test_a_short_line_in_many_documents_is_split(spark, monkeypatch, run):
+    rng = random.Random(6)
+    line = prose(rng, 5 if run is suffix_refinement.remove_repeated_bytes else 20, 10**6)
+    rows = [(i, prose(rng, 60, 10**6) + " " + line + " " + prose(rng, 60, 10**6)) for i in range(200)]
+    rows += [(300, rows[7][1]), (301, rows[8][1])]
+    units = super_kmers.WORDS if run is super_kmers.remove_repeated_words else suffix_refinement.BYTES
+    full = run(docs(spark, rows)).collect()
+    sizes = {**SMALL, "block_bytes": 40_000}
+    assert sorted(run(docs(spark, rows), **sizes, hot_runs=50).collect()) == sorted(full)
+    assert {r.doc_id for r in full if r.n_removed} == {300, 301}
+    # the line's minimisers, and no others, are hot
+    blocks = [pa.table({"id": [d for d, _ in p], "text": [t for _, t in p], "block": [k] * len(p)}) for k, p in enumerate((rows[:101], rows[101:]))]
+    sent = pa.concat_tables([window_exchange._distinct_minimisers(units, b, 1) for b in blocks])
+    told = window_exchange._shared_minimisers(sent, window_exchange.HOT_BLOCKS, 50)
+    hot = set().union(*(window_exchange.keys_from(h).tolist() for h in told["hot"].to_pylist()))
+    held = Counter(k for _, t in rows[:200] for k in set(window_exchange.runs(units, units.split(t.encode()))[2].tolist()))
+    assert hot and hot == {k for k, n in held.items() if n > 50}
+    # copies are one run, however many
+    copies = pa.table({"id": list(range(99)), "text": [rows[0][1]] * 99, "block": [0] * 99})
+    _, n = window_exchange._distinct_runs(units, copies)
+    assert n.max() == 1
+
+
 def test_nothing_to_do(spark):
     for run in (suffix_refinement.remove_repeated_bytes, super_kmers.remove_repeated_words):
         assert run(docs(spark, [])).collect() == []
