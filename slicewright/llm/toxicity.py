@@ -7,14 +7,14 @@ lexicon is learned: words and word beginnings that the toxic learning rows use
 far more often than the others. Language, source, ids and labels are no inputs
 of a score.
 
-What is fitted, the lexicon, the trees and the calibration, uses at most
-``SAMPLE`` labelled learning rows (those with the smallest hash of the id);
-scoring covers every row. Trees and calibration are Spark ML's. One fifth of
+The lexicon counts all labelled learning rows. Trees and calibration use at most
+``SAMPLE`` of them (those with the smallest hash of the id); scoring covers
+every row. Trees and calibration are Spark ML's. One fifth of
 the sample is kept from the trees for the calibration.
 
 Defined results: NULL and empty texts have all features 0 and get a score like
 any other; a row labelled twice counts twice in learning, unlabelled or NULL
-labels teach nothing; where the sample has one class only, the score is that
+labels teach nothing; where the learning rows for the trees have one class only, the score is that
 class's share, and 0.5 without any label. Scores lie between 0 and 1. Only the
 named columns are read.
 """
@@ -39,8 +39,8 @@ from pyspark.sql import types as T
 from slicewright.llm.common import saved, small_slices
 
 SAMPLE = 20_000
-#: Stems kept from the toxic rows for counting in the others, and in the lexicon.
-CANDIDATES, LEXICON = 20_000, 2_000
+#: Stem counts that a task holds before it hands them on.
+HELD = 300_000
 #: Least toxic rows with a stem, and least odds against the other rows.
 ROWS, ODDS = 4, 8.0
 #: Letters in the beginnings of words that count as stems.
@@ -130,34 +130,49 @@ class Features:
         ]
 
 
-def _counted(rows: DataFrame, only: frozenset | None) -> DataFrame:
-    """``stem``, ``n``: rows that hold each stem (of ``only``)."""
+class Stems(dict):
+    """Word as it stands in a text -> its stems; remembered up to ``MEMORY`` words."""
+
+    def __missing__(self, raw: str) -> set[str]:
+        word = EDGE.sub("", raw)
+        if len(self) >= MEMORY:
+            self.clear()
+        self[raw] = own = stems(word) if word else set()
+        return own
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """``stem``, ``n1``, ``n0``: toxic and other rows that hold each stem."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held = Stems(), (Counter(), Counter())
+
+        def handed() -> pa.RecordBatch:
+            every = list(held[0].keys() | held[1].keys())
+            out = [pa.array(every, pa.string()), *(pa.array([held[k][s] for s in every], pa.int64()) for k in (1, 0))]
+            for h in held:
+                h.clear()
+            return pa.RecordBatch.from_arrays(out, names=["stem", "n1", "n0"])
+
         for batch in small_slices(batches, "text", 1 << 19):
-            held: Counter = Counter()
-            for text in batch["text"].to_pylist():
-                own = {s for w in set(plain_words(text or "")) for s in stems(w)}
-                held.update(own if only is None else own & only)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["stem", "n"]
-            )
+            for text, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist()):
+                held[label].update(set().union(*map(known.__getitem__, set((text or "").lower().split()))))
+            if len(held[0]) + len(held[1]) > HELD:
+                yield handed()
+        yield handed()
 
-    return rows.select("text").mapInArrow(run, "stem string, n long").groupBy("stem").agg(F.sum("n").alias("n"))
+    found = rows.select("text", "label").mapInArrow(run, "stem string, n1 long, n0 long")
+    return found.groupBy("stem").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0"))
 
 
-def learn_lexicon(sample: DataFrame) -> dict[str, float]:
-    """Stem -> log odds, from ``text`` and ``label``."""
-    toxic, other = sample.where("label = 1"), sample.where("label = 0")
-    n1, n0 = toxic.count(), other.count()
-    if not n1 or not n0:
+def learn_lexicon(rows: DataFrame) -> dict[str, float]:
+    """Stem -> log odds, from ``text`` and ``label`` of all rows."""
+    n = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}
+    if not n.get(1) or not n.get(0):
         return {}
-    top = _counted(toxic, None).where(F.col("n") >= ROWS).orderBy(F.desc("n"), "stem").limit(CANDIDATES)
-    held = {r.stem: r.n for r in top.collect()}
-    against = {r.stem: r.n for r in _counted(other, frozenset(held)).collect()}
-    odds = {s: (n / n1) / ((against.get(s, 0) + 0.5) / n0) for s, n in held.items()}
-    best = sorted((s for s, o in odds.items() if o >= ODDS), key=lambda s: (-held[s] * math.log(odds[s]), s))
-    return {s: math.log(odds[s]) for s in best[:LEXICON]}
+    odds = (F.col("n1") / n[1]) / ((F.col("n0") + 0.5) / n[0])
+    best = _counted(rows).where(F.col("n1") >= ROWS).withColumn("odds", odds).where(F.col("odds") >= ODDS)
+    return {r.stem: math.log(r.odds) for r in best.select("stem", "odds").collect()}
 
 
 def with_features(rows: DataFrame, lexicon: dict[str, float], keep: list[str]) -> DataFrame:
@@ -195,7 +210,7 @@ def score(
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *keep)
     # at most ``sample`` rows of two numbers are sent to the tasks
     known = saved(texts.join(F.broadcast(chosen), "id"), "toxicity-sample")
-    lexicon = learn_lexicon(known)
+    lexicon = learn_lexicon(texts.join(marked, "id").select("text", "label"))
     part = F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(5))
     vector = VectorAssembler(inputCols=FEATURES, outputCol="features")
     fit = saved(with_features(known.withColumn("part", part), lexicon, ["id", "label", "part"]), "toxicity-features")

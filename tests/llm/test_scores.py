@@ -129,6 +129,21 @@ def test_toxicity(spark):
     assert toxicity.score(docs(spark, []), labels, F.lit(True)).collect() == []
 
 
+def test_lexicon_counts_all_labelled_rows(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 30) + (" vileword" if i % 4 == 0 else "") + (" rareslur" if i in range(0, 320, 40) else "")) for i in range(400)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    learned, real = [], toxicity.learn_lexicon
+    monkeypatch.setattr(toxicity, "learn_lexicon", lambda known: learned.append(real(known)) or learned[-1])
+    toxicity.score(docs(spark, rows), labels, F.lit(True), sample=40)
+    want = Counter(s for i, t in rows if i % 4 == 0 for s in {s for w in set(t.split()) for s in toxicity.stems(w)})
+    other = Counter(s for i, t in rows if i % 4 for s in {s for w in set(t.split()) for s in toxicity.stems(w)})
+    odds = {s: (n / 100) / ((other[s] + 0.5) / 300) for s, n in want.items() if n >= toxicity.ROWS}
+    odds = {s: math.log(o) for s, o in odds.items() if o >= toxicity.ODDS}
+    assert learned[0].keys() == odds.keys() and "rareslur" in odds
+    assert all(math.isclose(learned[0][s], o) for s, o in odds.items())
+
+
 def test_language(spark):
     rng = random.Random(4)
     vowels = {"aa": "aeiou", "bb": "yäöüw", "cc": "кислот"}
