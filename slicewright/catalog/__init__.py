@@ -8,6 +8,7 @@ from slicewright.catalog import (  # noqa: F401  (each module registers its quer
     scalars,
     sinks,
     sources,
+    versioned,
 )
 from slicewright.catalog.registry import ORACLES, QUERIES
 

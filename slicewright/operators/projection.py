@@ -11,6 +11,9 @@ from slicewright.functions import dates
 FORECAST_NUMBER = "decimal(12,2)"
 FORECAST_UNIT = "Celsius"
 
+#: Columns that ``with_lineage`` adds.
+LINEAGE = ("DATA_DT", "PROC_RUN_ID", "INS_PROC_DTM")
+
 
 def with_lineage(df: DataFrame, data_dt: Column, run_id: str | Column, as_of) -> DataFrame:
     """Stamp rows with their business date, the run that loaded them and the load time."""

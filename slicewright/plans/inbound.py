@@ -23,7 +23,7 @@ from slicewright.operators import ledger as ledgers
 from slicewright.operators import reconciliation as checks
 from slicewright.operators.keys import latest_per_key
 from slicewright.operators.mutations import append, overwrite, write_slices
-from slicewright.operators.projection import with_lineage
+from slicewright.operators.projection import LINEAGE, with_lineage
 from slicewright.schemas import (
     FAILED,
     FILE_LOG,
@@ -39,6 +39,7 @@ from slicewright.sources.columnar import read_landed
 from slicewright.sources.delimited import trimming_reader
 from slicewright.sources.dispatch import SourceSpec, read_source
 from slicewright.storage import new_folder, release, save
+from slicewright.versions import VersionedTable
 
 
 @dataclass(frozen=True)
@@ -54,6 +55,8 @@ class Load:
     ledger: str
     sep: str = ","
     layout: StructType | None = None
+    #: Whether the target is a versioned table, in which a load appears whole or not at all.
+    versioned: bool = False
 
 
 def _table(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -130,9 +133,12 @@ def _due_rows(rows: DataFrame, pending: DataFrame) -> DataFrame:
     dynamic pruning where a landed name is a folder, and it keeps exactly them.
     """
     landed = pending.where(F.col("due") & ~F.col("missing"))
-    span = landed.agg(F.min("file_name").alias("lo"), F.max("file_name").alias("hi")).first()
-    within = F.col("file_name").between(F.lit(span.lo), F.lit(span.hi))
-    return rows.where(within).join(landed.select("file_name").distinct(), "file_name", "left_semi")
+    return rows.where(_span(landed)).join(landed.select("file_name").distinct(), "file_name", "left_semi")
+
+
+def _span(files: DataFrame) -> Column:
+    span = files.agg(F.min("file_name").alias("lo"), F.max("file_name").alias("hi")).first()
+    return F.col("file_name").between(F.lit(span.lo), F.lit(span.hi))
 
 
 def _close_run(spark: SparkSession, load: Load, verdicts: DataFrame) -> DataFrame:
@@ -183,6 +189,10 @@ def _publish(rows: DataFrame, verdicts: DataFrame, load: Load) -> None:
     slices = accepted.select("file_name", F.col("data_dt").alias("_slice")).distinct()
     stamped = with_lineage(rows.join(slices, "file_name"), F.col("_slice"), load.run_id, load.as_of)
     stamped = stamped.drop("file_name", "_slice")
+    if load.versioned:
+        days = accepted.select(F.col("data_dt").alias("DATA_DT")).distinct()
+        VersionedTable(rows.sparkSession, load.target, ["DATA_DT"]).replace_slices(stamped, days)
+        return
     write_slices(stamped, load.target)
     # A slice announced and delivered empty has no rows to overwrite the old ones with.
     sizes = accepted.groupBy("data_dt").agg(F.sum("data_cnt").alias("n"))
@@ -243,48 +253,90 @@ class Staged:
     files: DataFrame
 
 
-def _stage_text(spark: SparkSession, load: Load, pending: DataFrame, path: str) -> Staged | None:
-    """Parse the due files, every one under its own header; None when there is nothing to parse.
+def _feed_columns(spark: SparkSession, load: Load, present: DataFrame) -> list[str]:
+    """Columns of the feed: of its declared layout, else of the table it has been loaded into.
 
-    The feed's columns are those of its declared layout or, without one, the
-    header of its first file. Lines are staged with their place in the file,
-    so the header lines are known afterwards and no file is read twice.
+    A feed with neither has the header that most of its first files have; of equally
+    frequent ones, that of the first file.  Only then their text is read once more.
+    """
+    if load.layout is not None:
+        return load.layout.names
+    known = _target_columns(spark, load)
+    if known:
+        return known
+    lines = read_landed(spark.read, "text", load.landing).withColumns(
+        {"_path": F.col("_metadata.file_path"), "_start": F.col("_metadata.file_block_start")}
+    )
+    lines = lines.where(_span(present)).where("_start = 0").withColumn("_line", F.monotonically_increasing_id())
+    lines = lines.join(present.select("file_name").distinct(), "file_name", "left_semi")
+    heads = lines.groupBy("_path", "file_name").agg(F.min_by("value", "_line").alias("head"))
+    heads = heads.groupBy("head").agg(F.count("*").alias("n"), F.min(F.struct("file_name", "_path")).alias("first"))
+    best = heads.orderBy(F.col("n").desc(), "first").select("first._path").first()
+    return trimming_reader(spark, load.sep).csv(best._path).columns if best else []
+
+
+def _target_columns(spark: SparkSession, load: Load) -> list[str]:
+    """Columns of a loaded table without the lineage that loading adds; none where there is no table."""
+    if load.versioned:
+        table = VersionedTable(spark, load.target, ["DATA_DT"])
+        columns = table.read().columns if table.version() else []
+    else:
+        try:
+            columns = spark.read.parquet(load.target).columns
+        except AnalysisException as missing:
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            columns = []
+    return [c for c in columns if c not in LINEAGE]
+
+
+def due_lines(spark: SparkSession, load: Load, pending: DataFrame, names: list[str]) -> DataFrame:
+    """Lines of the due files, cut into cells, and whether a line is like the header of ``names``.
+
+    Everything about a line is worked out from itself, so the filter on the file names
+    reaches the scan, and only due files are opened.
     """
-    present = pending.where(F.col("due") & ~F.col("missing") & F.col("path").isNotNull())
-    first = present.orderBy("file_name").select("path").first()
-    if first is None:
-        return None
-    names = load.layout.names if load.layout is not None else trimming_reader(spark, load.sep).csv(first.path).columns
     # one column more than the feed has shows lines that are too long
     cells = [f"_c{i}" for i in range(len(names) + 1)]
     trim = load.layout is None
     reader = spark.read.schema(", ".join(f"{c} string" for c in cells)).options(
         sep=load.sep, header=False, ignoreLeadingWhiteSpace=trim, ignoreTrailingWhiteSpace=trim
     )
-    lines = read_landed(reader, "csv", load.landing).withColumns(
-        {
-            "_path": F.col("_metadata.file_path"),
-            "_start": F.col("_metadata.file_block_start"),
-            "_line": F.monotonically_increasing_id(),
-        }
-    )
-    staged = save(_due_rows(lines, pending), path, partition_by=["file_name"])
-    heads = (
-        staged.where(F.col("_start") == 0)
-        .groupBy("file_name", "_path")
-        .agg(F.min("_line").alias("_head"), F.min_by(F.array(*cells), "_line").alias("_names"))
+    wanted = [F.trim(c).eqNullSafe(F.lit(n)) for c, n in zip(cells, names)]
+    like_head = F.col(cells[-1]).isNull() & (F.col("_metadata.file_block_start") == 0)
+    for same in wanted:
+        like_head = like_head & same
+    lines = read_landed(reader, "csv", load.landing)
+    marked = lines.withColumns({"_path": F.col("_metadata.file_path"), "_head": like_head})
+    return _due_rows(marked, pending)
+
+
+def _stage_text(spark: SparkSession, load: Load, pending: DataFrame, path: str) -> Staged | None:
+    """Parse the due files, every one under its own header; None when there is nothing to parse.
+
+    A file fits the feed when each of its parts has the feed's header in its first block.
+    Where lines like the header repeat there, one is the header and the others are rows.
+    """
+    present = pending.where(F.col("due") & ~F.col("missing") & F.col("path").isNotNull())
+    if present.isEmpty():
+        return None
+    names = _feed_columns(spark, load, present)
+    cells = [f"_c{i}" for i in range(len(names) + 1)]
+    staged = save(due_lines(spark, load, pending, names), path, partition_by=["file_name"])
+    parts = staged.groupBy("file_name", "_path").agg(
+        F.count("*").alias("n"), F.count_if("_head").alias("n_heads"), F.min(F.when(F.col("_head"), F.array(*cells))).alias("_cells")
     )
-    wanted = F.array(*[F.lit(n) for n in names], F.lit(None).cast("string"))
-    fits = F.transform("_names", lambda c: F.trim(c)) == wanted
-    per_file = heads.groupBy("file_name").agg(F.count("*").alias("n_heads"), F.bool_and(fits).alias("fits"))
-    counted = checks.count_slices(staged, "file_name", "file_name").join(per_file, "file_name", "left")
-    files = counted.select(
-        "file_name", (F.col("data_cnt") - F.coalesce("n_heads", F.lit(0))).alias("data_cnt"), F.coalesce("fits", F.lit(False)).alias("fits")
+    parts = save(parts, f"{path}_parts")
+    # a part without its header still has a first line that is no row
+    files = parts.groupBy("file_name").agg(
+        (F.sum("n") - F.count("*")).alias("data_cnt"), F.bool_and(F.col("n_heads") > 0).alias("fits")
     )
-    body = staged.join(heads.select("_path", "_head"), "_path").where((F.col("_start") > 0) | (F.col("_line") != F.col("_head")))
+    again = parts.where("n_heads > 1").select("file_name", "_cells", F.explode(F.sequence(F.lit(2), F.col("n_heads").cast("int"))))
+    rows = staged.where(~F.col("_head")).select("file_name", *cells)
+    rows = rows.unionByName(again.select("file_name", *(F.col("_cells")[i].alias(c) for i, c in enumerate(cells))))
     kinds = [f.dataType for f in load.layout] if load.layout is not None else ["string"] * len(names)
     typed = [F.col(c).try_cast(k).alias(n) for c, n, k in zip(cells, names, kinds)]
-    return Staged(body.select(*typed, "file_name"), files)
+    return Staged(rows.select(*typed, "file_name"), files)
 
 
 def _check_files(pending: DataFrame, staged: Staged | None, controls: DataFrame) -> DataFrame:

@@ -91,6 +91,17 @@ LEDGER = T.StructType(
     ]
 )
 
+# Who may run a process, until when.
+LEASE = T.StructType(
+    [
+        T.StructField("proc_name", STRING, False),
+        T.StructField("proc_run_id", STRING, False),
+        T.StructField("taken_dtm", CLOCK, False),
+        T.StructField("expires_dtm", CLOCK, False),
+        T.StructField("released", T.BooleanType(), False),
+    ]
+)
+
 # Keys of the control tables.  A run covers several dates, so the run log is
 # keyed by date as well.
 CONFIG_KEY = ["proc_name"]

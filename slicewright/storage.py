@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -51,3 +53,59 @@ def save(df: DataFrame, path: str, *, partition_by: list[str] | None = None) ->
 def release(spark: SparkSession, path: str) -> None:
     """Empty a staging table that has been published, so it does not take up storage."""
     spark.createDataFrame([], "released boolean").write.mode("overwrite").parquet(path)
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with ``text`` in one step; False, and nothing changed, where it exists.
+
+    The file is written under another name and then linked or renamed to its own, which of several
+    writers only one can do.  This needs a store whose rename does not replace, as HDFS.
+    """
+    spare = f"{path}.{uuid.uuid4().hex}.tmp"
+    if (plain := _local(path)) is not None:
+        os.makedirs(os.path.dirname(plain), exist_ok=True)
+        other = _local(spare)
+        with open(other, "x", encoding="utf-8") as f:
+            f.write(text)
+        try:
+            os.link(other, plain)
+        except FileExistsError:
+            return False
+        finally:
+            os.unlink(other)
+        return True
+    hadoop, fs = _file_system(spark, path)
+    out = fs.create(hadoop.Path(spare))
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if fs.rename(hadoop.Path(spare), hadoop.Path(path)):
+        return True
+    fs.delete(hadoop.Path(spare), False)
+    return False
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none where it does not exist."""
+    if (plain := _local(folder)) is not None:
+        return sorted(os.listdir(plain)) if os.path.isdir(plain) else []
+    hadoop, fs = _file_system(spark, folder)
+    where = hadoop.Path(folder)
+    return sorted(f.getPath().getName() for f in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, whole."""
+    if (plain := _local(path)) is not None:
+        with open(plain, encoding="utf-8") as f:
+            return f.read()
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def _local(path: str) -> str | None:
+    parts = urlparse(path)
+    return parts.path if parts.scheme in ("", "file") else None
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    return hadoop, hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
