@@ -24,7 +24,7 @@ def validate_requests(requests: DataFrame) -> DataFrame:
     params = ["proc_name", "proc_run_id", "run_mode", "start_dt", "end_dt"]
     clean = requests.withColumns({p: text.blank_to_null(F.col(p)) for p in params})
     mode, start, end = F.col("run_mode"), F.col("start_dt"), F.col("end_dt")
-    typed = clean.withColumns({"start_day": dates.parse_iso(start), "end_day": dates.parse_iso(end)})
+    typed = _worked_out(clean.withColumns({"start_day": dates.parse_iso(start), "end_day": dates.parse_iso(end)}))
     start_day, end_day = F.col("start_day"), F.col("end_day")
     rerun = mode.eqNullSafe(RERUN)
     rules = [
@@ -36,7 +36,16 @@ def validate_requests(requests: DataFrame) -> DataFrame:
         (rerun & (end_day < start_day), "end date lies before start date"),
         (mode.isNotNull() & ~mode.isin(RERUN, NORMAL), "mode must be R, N or empty"),
     ]
-    return typed.withColumn("error", _first_failing(rules))
+    return _worked_out(typed.withColumn("error", _first_failing(rules)))
+
+
+def _worked_out(df: DataFrame) -> DataFrame:
+    """The same rows, each column worked out once.
+
+    Projections collapse into what uses them, so a rule with many parts would be copied to each
+    use; a row made into an array of one and taken out again stops that, narrowly.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
 def validate_config(config: DataFrame) -> DataFrame:

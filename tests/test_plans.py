@@ -149,3 +149,10 @@ def test_shared_root_comes_from_the_session(spark):
         assert shared_root(spark) == named.rstrip("/")
     assert new_folder(spark, "a").startswith(shared_root(spark))
     assert new_folder(spark, "a") != new_folder(spark, "a")
+
+
+def test_request_rules_are_worked_out_once(spark):
+    from slicewright.catalog import QUERIES
+
+    plan = QUERIES["ctl_run_calendar"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("CASE WHEN") < 50 and len(plan) < 16_000
