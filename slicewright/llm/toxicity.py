@@ -7,10 +7,13 @@ lexicon is learned: words and word beginnings that the toxic learning rows use
 far more often than the others. Language, source, ids and labels are no inputs
 of a score.
 
-The lexicon counts all labelled learning rows. Trees and calibration use at most
-``SAMPLE`` of them (those with the smallest hash of the id); scoring covers
-every row. Trees and calibration are Spark ML's. One fifth of
-the sample is kept from the trees for the calibration.
+One fifth of the labelled learning rows, by a hash of the id, is left to the calibration. The
+lexicon counts all others and holds the ``LEXICON`` stems of the largest odds (a size of
+the model). Trees and calibration, Spark ML's, use at most ``SAMPLE``
+rows (those with the smallest hash of the id); scoring covers every row.
+
+Labelled texts are found by one join, whatever the size: a bitmap of the hashes of labelled ids, of
+``BITMAP`` bits at most, first keeps back most other texts (it only saves shuffling).
 
 Defined results: NULL and empty texts have all features 0 and get a score like
 any other; a row labelled twice counts twice in learning, unlabelled or NULL
@@ -39,6 +42,9 @@ from pyspark.sql import types as T
 from slicewright.llm.common import saved, small_slices
 
 SAMPLE = 20_000
+LEXICON = 100_000
+#: Bits of the bitmap of labelled ids: 16 MB.
+BITMAP = 2**27
 #: Stem counts that a task holds before it hands them on.
 HELD = 300_000
 #: Least toxic rows with a stem, and least odds against the other rows.
@@ -77,15 +83,16 @@ def odds_of(word: str, lexicon: dict[str, float]) -> float:
     return best
 
 
-#: What most words show; and words that a task remembers before it starts afresh.
-PLAIN = (0.0, 0, 0, 0, 0)
+#: Words that a task remembers before it starts afresh.
 MEMORY = 150_000
 
 
-class Features:
+class Features(dict):
+    """Word as it stands in a text -> what it shows, None where that is nothing."""
+
     def __init__(self, lexicon: dict[str, float]):
+        super().__init__()
         self.lexicon = lexicon
-        self.known: dict[str, tuple[float, int, int]] = {}
 
     def word(self, raw: str) -> tuple[float, int, int]:
         """Log odds, whether only undoing obfuscation found it, whether it looks obfuscated."""
@@ -100,26 +107,27 @@ class Features:
                 hidden = int(odds > 0)
         return odds, hidden, odd
 
+    def __missing__(self, raw: str) -> tuple[float, int, int, int, int] | None:
+        shown = (*self.word(raw), int(raw.isupper() and len(raw) > 2), int(EDGE.sub("", raw.lower()) in ADDRESS))
+        self[raw] = shown if any(shown) else None
+        return self[raw]
+
     def __call__(self, text: str) -> list[float]:
         raw = text.split()
         n = len(raw)
         if not n:
             return [0.0] * len(FEATURES)
-        if len(self.known) > MEMORY:
-            self.known.clear()
-        known, seen = self.known, []
-        for t in raw:
-            got = known.get(t)
-            if got is None:
-                got = (*self.word(t), int(t.isupper() and len(t) > 2), int(EDGE.sub("", t.lower()) in ADDRESS))
-                got = known[t] = got if any(got) else PLAIN
-            seen.append(got)
-        odds, hidden, odd, loud, address = np.array(seen, np.float64).T
-        hits = np.flatnonzero(odds)
+        if len(self) > MEMORY:
+            self.clear()
+        seen = list(map(self.__getitem__, raw))
+        places = [i for i, shown in enumerate(seen) if shown]
+        rows = np.array([seen[i] for i in places], np.float64).reshape(-1, 5)
+        odds, hidden, odd, loud, address = rows.T
+        at = np.array(places, np.int64)
+        hits, calls = at[odds > 0], at[address > 0]
         near = 0
-        if len(hits) and address.any():
-            reach = np.cumsum(np.concatenate([[0], address]))
-            near = int((reach[np.minimum(hits + NEAR + 1, n)] > reach[np.maximum(hits - NEAR, 0)]).sum())
+        if len(hits) and len(calls):
+            near = int((np.searchsorted(calls, hits + NEAR, "right") > np.searchsorted(calls, hits - NEAR)).sum())
         size = len(text)
         plain = text.encode("utf-8", "replace")
         capitals = (len(plain) - len(plain.translate(None, CAPITALS))) / size
@@ -172,24 +180,40 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
         return {}
     odds = (F.col("n1") / n[1]) / ((F.col("n0") + 0.5) / n[0])
     best = _counted(rows).where(F.col("n1") >= ROWS).withColumn("odds", odds).where(F.col("odds") >= ODDS)
+    best = best.orderBy(F.col("odds").desc(), F.col("n1").desc(), "stem").limit(LEXICON)
     return {r.stem: math.log(r.odds) for r in best.select("stem", "odds").collect()}
 
 
-def with_features(rows: DataFrame, lexicon: dict[str, float], keep: list[str]) -> DataFrame:
-    """``keep`` columns and the features of ``text``."""
+def _bit(id_: Column) -> Column:
+    return F.pmod(F.xxhash64(id_), F.lit(BITMAP))
+
+
+def labelled(texts: DataFrame, marked: DataFrame) -> DataFrame:
+    """``texts`` (id, text) with the ``label`` of every row of ``marked``."""
+    bits = marked.select(_bit(F.col("id")).alias("bit"))
+    maps = bits.groupBy(F.bitmap_bucket_number("bit").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("_map"))
+    place = F.bitmap_bit_position(_bit(F.col("id")))
+    byte = F.conv(F.hex(F.substring("_map", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    maybe = texts.where("id IS NOT NULL").join(F.broadcast(maps), F.bitmap_bucket_number(_bit(F.col("id"))) == F.col("_bucket"))
+    maybe = maybe.where(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), (place % 8).cast("int"))) != 0)
+    return maybe.select(*texts.columns).join(marked.hint("merge"), "id")
+
+
+def with_features(rows: DataFrame, lexicon: dict[str, float], keep: list[str], text: str = "text") -> DataFrame:
+    """``keep`` columns and the features of the column ``text``."""
     schema = T.StructType(
         [rows.schema[c] for c in keep] + [T.StructField(f, T.DoubleType()) for f in FEATURES]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(lexicon)
-        for batch in small_slices(batches, "text"):
-            out = np.array([features(t or "") for t in batch["text"].to_pylist()], np.float64).reshape(-1, len(FEATURES))
+        for batch in small_slices(batches, text):
+            out = np.array([features(t or "") for t in batch[text].to_pylist()], np.float64).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays(
                 [batch[c] for c in keep] + [pa.array(c) for c in np.ascontiguousarray(out.T)], names=[*keep, *FEATURES]
             )
 
-    return rows.select(*keep, "text").mapInArrow(run, schema)
+    return rows.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
 
 
 def score(
@@ -202,30 +226,35 @@ def score(
     label_col: str = "toxic",
     sample: int = SAMPLE,
     keep: tuple[str, ...] = (),
+    id_col_of_labels: str | None = None,
 ) -> DataFrame:
-    """``id_col``, the columns ``keep`` and ``score`` of each row of ``docs``; ``learning`` picks rows of ``labels`` by the id."""
-    marked = labels.where(learning).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+    """``id_col``, the columns ``keep`` and ``score`` of each row of ``docs``; ``learning`` picks rows of ``labels`` by the id.
+
+    A kept column has no name that a feature has.
+    """
+    part = F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(5))
+    marked = labels.where(learning).select(F.col(id_col_of_labels or id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     marked = marked.where("id IS NOT NULL AND label IN (0, 1)")
-    chosen = marked.orderBy(F.xxhash64("id"), "id", "label").limit(sample)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), *keep)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    known = saved(labelled(texts, marked).withColumn("part", part), "toxicity-labelled")
     # at most ``sample`` rows of two numbers are sent to the tasks
-    known = saved(texts.join(F.broadcast(chosen), "id"), "toxicity-sample")
-    lexicon = learn_lexicon(texts.join(marked, "id").select("text", "label"))
-    part = F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(5))
+    chosen = F.broadcast(marked.orderBy(F.xxhash64("id"), "id", "label").limit(sample).distinct())
+    lexicon = learn_lexicon(known.where("part > 0").select("text", "label"))
     vector = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    fit = saved(with_features(known.withColumn("part", part), lexicon, ["id", "label", "part"]), "toxicity-features")
+    fit = saved(with_features(known.join(chosen, ["id", "label"]), lexicon, ["id", "label", "part"]), "toxicity-features")
     fit = vector.transform(fit)
-    ready = vector.transform(with_features(texts, lexicon, ["id", *keep]))
+    out = list(dict.fromkeys([id_col, *keep]))
+    ready = vector.transform(with_features(docs, lexicon, out, text_col))
     shares = {r.label: r["count"] for r in fit.where("part > 0").groupBy("label").count().collect()}
     if len(shares) < 2:
         share = float(shares.get(1, 0)) / sum(shares.values()) if shares else 0.5
-        return ready.select(F.col("id").alias(id_col), *keep, F.lit(share).alias("score"))
+        return ready.select(*out, F.lit(share).alias("score"))
     trees = GBTClassifier(featuresCol="features", labelCol="label", maxIter=15, maxDepth=4, stepSize=0.3, seed=7)
     model = trees.fit(fit.where("part > 0"))
     raw = lambda df: model.transform(df).withColumn("raw", vector_to_array("probability")[1])
     held = raw(fit.where("part = 0")).select("raw", F.col("label").cast("double").alias("label"))
     if held.select("label").distinct().count() < 2:
-        return raw(ready).select(F.col("id").alias(id_col), *keep, F.col("raw").alias("score"))
+        return raw(ready).select(*out, F.col("raw").alias("score"))
     steps = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="score").fit(held)
     scored = steps.transform(raw(ready))
-    return scored.select(F.col("id").alias(id_col), *keep, F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")).alias("score"))
+    return scored.select(*out, F.greatest(F.lit(0.0), F.least(F.lit(1.0), "score")).alias("score"))
