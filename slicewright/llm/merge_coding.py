@@ -7,7 +7,9 @@ without a piece becomes its UTF-8 bytes.
 
 No piece of such a vocabulary has its space mark behind another character
 (``MergeCoder`` checks this), so no merge crosses the start of a word, and the
-text may be cut there. Each distinct cut is coded once per worker, and in every
+text may be cut there. The new cuts of a batch are coded together: each has its
+agenda in a row of a matrix, and all take their best pair at once; long cuts, and
+those with characters without a piece, go one by one. Each distinct cut is coded once per worker, and in every
 Arrow batch the new ones are compared with the sentencepiece library itself; a
 difference fails the job.
 
@@ -22,9 +24,12 @@ import codecs
 import heapq
 import re
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,15 +42,92 @@ SPACE = "▁"
 UNKNOWN = " \u2047 "
 CUTS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Distinct cuts that a worker remembers; the ones not met since as many others are forgotten.
-MEMORY = 150_000
+MEMORY = 400_000
 #: Symbols beyond which the agenda is a heap.
 LONG = 48
 NEVER = float("inf")
+#: Cuts that are coded together, and the rank of a pair that is no piece.
+TOGETHER, NO_RANK = 4_096, np.int32(2**31 - 1)
+MIX = 0x9E3779B97F4A7C15
 
 
 codecs.register_error("mark_each_byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
 
 
+class Pairs:
+    """Which two symbols join to which piece, and how soon, looked up for whole arrays."""
+
+    def __init__(self, cost: dict[str, float]):
+        names = [*cost, *({c for p in cost for c in p} - cost.keys())]
+        self.symbols = {p: i for i, p in enumerate(names)}
+        self.unknown = len(names)
+        self.base = self.unknown + 1
+        self.sizes = np.array([*map(len, names), 1])
+        self.of_char = np.full(0x110000, self.unknown, np.int32)
+        for name, i in self.symbols.items():
+            if len(name) == 1:
+                self.of_char[ord(name)] = i
+        rank = {c: i for i, c in enumerate(sorted(set(cost.values())))}
+        found = {}
+        for piece, c in cost.items():
+            for k in range(1, len(piece)):
+                a, b = self.symbols.get(piece[:k]), self.symbols.get(piece[k:])
+                if a is not None and b is not None:
+                    found[a * self.base + b] = (self.symbols[piece], rank[c])
+        # a hash table with free slots enough that a look-up mostly ends at its first one
+        bits = max(8, (8 * len(found)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.codes = np.full(1 << bits, -1, np.int64)
+        self.joined = np.zeros(1 << bits, np.int32)
+        self.rank = np.full(1 << bits, NO_RANK, np.int32)
+        for code, (piece, soon) in found.items():
+            slot = (code * MIX % 2**64) >> int(self.shift)
+            while self.codes[slot] >= 0:
+                slot = (slot + 1) & self.last
+            self.codes[slot], self.joined[slot], self.rank[slot] = code, piece, soon
+
+    def look_up(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Slot of each pair in ``joined`` and ``rank``; a free slot, of no rank, where the two do not join."""
+        wanted = left.astype(np.int64) * self.base + right
+        slot = ((wanted.view(np.uint64) * np.uint64(MIX)) >> self.shift).astype(np.int64)
+        found = self.codes[slot]
+        todo = np.flatnonzero((found != wanted) & (found >= 0))
+        while len(todo):
+            slot[todo] = (slot[todo] + 1) & self.last
+            found = self.codes[slot[todo]]
+            todo = todo[(found != wanted[todo]) & (found >= 0)]
+        return slot
+
+    def merge(self, cuts: list[str], width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of each cut of at most ``width`` characters after all merges, and their number."""
+        sizes = np.array([len(c) for c in cuts])
+        symbols = self.of_char[np.array(cuts, f"<U{width}").view(np.uint32).reshape(len(cuts), width)]
+        place = np.arange(width)[None, :]
+        at = self.look_up(symbols[:, :-1].ravel(), symbols[:, 1:].ravel())
+        agenda = np.where(place[:, 1:] < sizes[:, None], self.rank[at].reshape(len(cuts), -1), NO_RANK)
+        agenda = np.append(agenda, np.full((len(cuts), 1), NO_RANK), 1)
+        out, rows = symbols.copy(), np.arange(len(cuts))
+        while True:
+            best = agenda.argmin(1)
+            go = agenda[np.arange(len(rows)), best] != NO_RANK
+            if not go.all():
+                out[rows[~go]] = symbols[~go]
+                rows, symbols, agenda, best = rows[go], symbols[go], agenda[go], best[go]
+            if not len(rows):
+                return out, sizes
+            own = np.arange(len(rows))
+            joined = self.joined[self.look_up(symbols[own, best], symbols[own, best + 1])]
+            moved = np.minimum(place + (place > best[:, None]), width - 1)
+            symbols, agenda = np.take_along_axis(symbols, moved, 1), np.take_along_axis(agenda, np.minimum(place + (place >= best[:, None]), width - 1), 1)
+            symbols[own, best] = joined
+            sizes[rows] -= 1
+            after = np.minimum(best + 1, width - 1)
+            ends = best + 1 < sizes[rows]
+            agenda[own, best] = np.where(ends, self.rank[self.look_up(joined, symbols[own, after])], NO_RANK)
+            has = np.flatnonzero(best)
+            agenda[has, best[has] - 1] = self.rank[self.look_up(symbols[has, best[has] - 1], joined[has])]
+
+
 class MergeCoder:
     """Encoder and decoder of one vocabulary file."""
 
@@ -67,8 +149,12 @@ class MergeCoder:
         self.no_mark = {*self.bytes_at.values(), lib.unk_id()}
         self.spelling = [spelled.get(i, b"") for i in ids]
         self.begin, self.end = lib.bos_id(), lib.eos_id()
-        self.known: dict[str, tuple[bytes, bytes]] = {}
-        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.pairs = Pairs(self.cost)
+        self.id_of = np.array([self.piece_id.get(s, -1) for s in self.pairs.symbols] + [-1], np.int64)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        #: The cuts remembered that are not decoded to themselves.
+        self.altered: dict[str, bytes] = {}
 
     def merge(self, text: str) -> list[int]:
         """Ids of a text whose spaces are marks already."""
@@ -121,6 +207,28 @@ class MergeCoder:
                 offer(before[left], left)
         return [s for s in symbols if s]
 
+    def merge_together(self, cuts: list[str]) -> list[bytes]:
+        """Packed ids of each cut."""
+        out = [b""] * len(cuts)
+        order = sorted(range(len(cuts)), key=lambda i: len(cuts[i]))
+        for start in range(0, len(order), TOGETHER):
+            some = order[start : start + TOGETHER]
+            symbols, sizes = self.pairs.merge([cuts[i] for i in some], len(cuts[some[-1]]) + 1)
+            ids = self.id_of[symbols]
+            whole = ((ids >= 0) | (np.arange(ids.shape[1])[None, :] >= sizes[:, None])).all(1)
+            packed, row = ids.astype("<u4").tobytes(), 4 * ids.shape[1]
+            for k, (i, n, good) in enumerate(zip(some, sizes.tolist(), whole.tolist())):
+                out[i] = packed[k * row : k * row + 4 * n] if good else self._with_bytes(cuts[i], symbols[k, :n])
+        return out
+
+    def _with_bytes(self, cut: str, symbols: np.ndarray) -> bytes:
+        """Packed ids where some symbols have no piece."""
+        out, at = [], 0
+        for i, size in zip(self.id_of[symbols].tolist(), self.pairs.sizes[symbols].tolist()):
+            out.extend([i] if i >= 0 else [self.bytes_at[b] for b in cut[at].encode()])
+            at += size
+        return struct.pack(f"<{len(out)}I", *out)
+
     def _learn(self, cuts: set[str]) -> None:
         """Code the cuts that are not remembered."""
         new = []
@@ -129,27 +237,48 @@ class MergeCoder:
                 self.known[cut] = seen
             else:
                 new.append(cut)
-        wanted = self.library.encode([c[1:] for c in new], num_threads=1) if self.check else None
-        for k, cut in enumerate(new):
-            ids = self.merge(cut)
-            if wanted is not None and cut != SPACE and ids != wanted[k]:
-                raise AssertionError(f"ids differ from the library's for {cut!r}")
-            spelled = b"".join([self.spelling[i] for i in ids])
-            self.known[cut] = (struct.pack(f"<{len(ids)}I", *ids), spelled)
+        # long cuts, and one more so that this way stays checked too, are merged by themselves
+        alone = [c for k, c in enumerate(new) if not k or len(c) > LONG]
+        short = [c for k, c in enumerate(new) if k and len(c) <= LONG]
+        packed = [struct.pack(f"<{len(ids)}I", *ids) for ids in map(self.merge, alone)] + self.merge_together(short)
+        new = alone + short
+        if self.check:
+            self._compare(new, packed)
+        self.known.update(zip(new, packed))
+        if self._spelled(b"".join(packed)) != "".join(new).replace(SPACE, " ").encode():
+            spelled = zip(new, map(self._spelled, packed))
+            self.altered |= {c: s for c, s in spelled if s != c.replace(SPACE, " ").encode()}
+
+    def _spelled(self, packed: bytes) -> bytes:
+        return b"".join(map(self.spelling.__getitem__, memoryview(packed).cast("I")))
+
+    def _compare(self, cuts: list[str], packed: list[bytes]) -> None:
+        """Fail where the library codes a cut in another way."""
+        wanted = self.library.encode([c[1:] for c in cuts], num_threads=1)
+        ours = [b"" if c == SPACE else p for c, p in zip(cuts, packed)]
+        sizes = [4 * len(w) for w in wanted]
+        if sizes != list(map(len, ours)) or array("I", chain.from_iterable(wanted)).tobytes() != b"".join(ours):
+            bad = next(c for c, w, o in zip(cuts, wanted, ours) if array("I", w).tobytes() != o)
+            raise AssertionError(f"ids differ from the library's for {bad!r}")
 
     def encode_batch(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
         """Packed ids, with begin and end, and the decoded text of each text."""
         if len(self.known) > MEMORY:
             self.known, self.older = {}, self.known
-        marked = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
-        cuts = [CUTS.findall(t) for t in marked]
+            self.altered = {c: s for c, s in self.altered.items() if c in self.older}
+        cuts = [CUTS.findall(SPACE + t.replace(" ", SPACE)) if t else [] for t in texts]
         ids, decoded = [], []
         frame = struct.pack("<2I", self.begin, self.end)
-        self._learn({c for own in cuts for c in own} - self.known.keys())
-        for own in cuts:
-            coded = [self.known[c] for c in own]
-            ids.append(frame[:4] + b"".join([c[0] for c in coded]) + frame[4:])
-            decoded.append(b"".join([c[1] for c in coded])[1:].decode())  # without the mark put in front
+        words = set().union(*cuts)
+        self._learn(words - self.known.keys())
+        altered = words & self.altered.keys()
+        for text, own in zip(texts, cuts):
+            ids.append(frame[:4] + b"".join(map(self.known.__getitem__, own)) + frame[4:])
+            if altered and not altered.isdisjoint(own):
+                spelled = [self.altered[c] if c in altered else c.replace(SPACE, " ").encode() for c in own]
+                decoded.append(b"".join(spelled)[1:].decode())  # without the mark put in front
+            else:
+                decoded.append(text if SPACE not in text else text.replace(SPACE, " "))
         return ids, decoded
 
     def decode(self, ids: Iterable[int]) -> str:
