@@ -7,10 +7,10 @@ lexicon is learned: words and word beginnings that the toxic learning rows use
 far more often than the others. Language, source, ids and labels are no inputs
 of a score.
 
-One fifth of the labelled learning rows, by a hash of the id, is left to the calibration. The
-lexicon counts all others and holds the ``LEXICON`` stems of the largest odds (a size of
-the model). Trees and calibration, Spark ML's, use at most ``SAMPLE``
-rows (those with the smallest hash of the id); scoring covers every row.
+The lexicon counts all labelled learning rows and holds the ``LEXICON`` stems of the largest
+odds (a size of the model). Trees and calibration, Spark ML's, use at most ``SAMPLE``
+rows (those with the smallest hash of the id), and one fifth of these is kept from the trees for
+the calibration; scoring covers every row.
 
 Labelled texts are found by one join, whatever the size: a bitmap of the hashes of labelled ids, of
 ``BITMAP`` bits at most, first keeps back most other texts (it only saves shuffling).
@@ -239,7 +239,7 @@ def score(
     known = saved(labelled(texts, marked).withColumn("part", part), "toxicity-labelled")
     # at most ``sample`` rows of two numbers are sent to the tasks
     chosen = F.broadcast(marked.orderBy(F.xxhash64("id"), "id", "label").limit(sample).distinct())
-    lexicon = learn_lexicon(known.where("part > 0").select("text", "label"))
+    lexicon = learn_lexicon(known.select("text", "label"))
     vector = VectorAssembler(inputCols=FEATURES, outputCol="features")
     fit = saved(with_features(known.join(chosen, ["id", "label"]), lexicon, ["id", "label", "part"]), "toxicity-features")
     fit = vector.transform(fit)
