@@ -182,6 +182,15 @@ class Benchmark:
                 best[key] = (s, start, size)
 
 
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str) -> Iterator[list[tuple[int, str]]]:
+    """The items, in blocks of a bounded size."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("k"), F.col(item_text_col).alias("t")).where("t <> ''")
+    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    blocks = pieces_of(total, BLOCK_WORDS * 6)
+    dealt = items.withColumn("b", F.pmod(F.xxhash64("k", "t"), F.lit(blocks)))
+    return ([(r.k, r.t) for r in dealt.where(F.col("b") == b).collect()] for b in range(blocks))
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -197,9 +206,6 @@ def contaminated(
 
     ``first_word`` counts the normalised words of the document from 0.
     """
-    items = benchmark.select(F.col(item_col).cast("long").alias("k"), F.col(item_text_col).alias("t")).where("t <> ''")
-    total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    blocks = pieces_of(total, BLOCK_WORDS * 6)
     schema = T.StructType(
         [
             T.StructField(id_col, docs.schema[id_col].dataType),
@@ -228,6 +234,29 @@ def contaminated(
 
         return texts.mapInArrow(run, schema)
 
-    dealt = items.withColumn("b", F.pmod(F.xxhash64("k", "t"), F.lit(blocks)))
-    parts = ([(r.k, r.t) for r in dealt.where(F.col("b") == b).collect()] for b in range(blocks))
+    parts = _blocks(benchmark, item_col, item_text_col)
     return reduce(DataFrame.unionAll, [against(p) for p in parts])
+
+
+def uncontaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    *,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    least: float = SIMILARITY,
+    radius: int = RADIUS,
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that match no item.  Narrow: row by row, a filter for each block of items."""
+
+    def without(rows: DataFrame, part: list[tuple[int, str]]) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known = Benchmark(part, radius)
+            for batch in small_slices(batches, text_col):
+                clean = [not (t and known.search(t, least)) for t in batch[text_col].to_pylist()]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        return rows.mapInArrow(run, docs.schema)
+
+    return reduce(without, _blocks(benchmark, item_col, item_text_col), docs)

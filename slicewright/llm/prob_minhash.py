@@ -22,7 +22,8 @@ No link is left out but by the two probabilities named, and nothing is capped.
 
 Defined results: a text without a word (NULL, empty, white space) is a class of
 its own; fewer than five words are one shingle; a NULL id has a NULL class;
-rows that repeat an id share a class. Every input row gives one row.
+rows that repeat an id share a class, also where their texts differ, as the id connects them.
+Every input row gives one row. Texts are told apart by id and digest throughout.
 """
 
 from __future__ import annotations
@@ -33,11 +34,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slicewright.llm.common import saved, small_slices
 from slicewright.llm.components import components
+from slicewright.llm.ordering import numbered
 from slicewright.llm.window_exchange import mixed
 
 SIMILARITY, MAYBE = 0.8, 0.65
@@ -277,22 +280,86 @@ def _between(groups: DataFrame, links: DataFrame, sketches: DataFrame, texts: Da
     return pairs.unionAll(inside)
 
 
-def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
-    """``id_col`` and ``class_id`` of each row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+def with_digest(rows: DataFrame, text: str, name: str) -> DataFrame:
+    """``rows``, all columns, and as ``name`` the digest that ``sign`` gives their text."""
+    schema = T.StructType([*rows.schema.fields, T.StructField(name, T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_slices(batches, text):
+            words = map(words_of, batch[text].to_pylist())
+            digests = [xxhash.xxh3_128_digest(b" ".join(w)) if w else None for w in words]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.binary())], names=schema.fieldNames())
+
+    return rows.mapInArrow(run, schema)
+
+
+def linked(rows: DataFrame, chunk: int = CHUNK) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """From ``id``, ``text``: the signed rows, the distinct texts and their classes.
+
+    A text (``digest``) is known by the smallest id that has it, ``rep``, and its ``place`` in the order of
+    (rep, digest), so that an id with several texts has a place for each.  Classes are ``place`` and ``comp``,
+    the smallest place of the class, for texts that have a near-duplicate.
+    """
     signed = saved(sign(rows), "signatures")
     copies = signed.where("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("rep"))
-    signs = signed.where("bands IS NOT NULL").join(copies.withColumnRenamed("rep", "id"), ["id", "digest"])
+    copies = saved(numbered(copies, [], [F.col("rep").asc(), F.col("digest").asc()]), "texts")
+    own = signed.where("bands IS NOT NULL").withColumnRenamed("id", "rep")
+    signs = own.join(copies, ["rep", "digest"]).select(F.col("place").alias("id"), "bands", "sketch")
     keys = signs.select("id", F.posexplode("bands").alias("band", "key"))
     leaders = keys.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1")
     groups = saved(keys.join(leaders.drop("n"), "key"), "band-groups")
-    members = groups.select("id").distinct()
-    texts = saved(rows.join(members, "id", "left_semi").dropDuplicates(["id"]), "near-texts")
+    members = copies.join(groups.select(F.col("id").alias("place")).distinct(), "place")
+    found = with_digest(rows.withColumnRenamed("id", "rep"), "text", "digest").join(members, ["rep", "digest"])
+    texts = saved(found.dropDuplicates(["rep", "digest"]).select(F.col("place").alias("id"), "text"), "near-texts")
     star = groups.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     links = saved(verified(star, texts), "near-links")
     sketches = signs.select("id", "sketch", "bands").dropDuplicates(["id"])
     more = saved(_between(groups.drop("leader"), links, sketches, texts, chunk), "near-links")
-    named = components(links.unionAll(more))
-    out = signed.select("id", "digest").join(copies, "digest", "left").withColumn("rep", F.coalesce("rep", "id"))
-    out = out.join(named.withColumnRenamed("id", "rep"), "rep", "left")
-    return out.select(F.col("id").alias(id_col), F.coalesce("comp", "rep").alias("class_id"))
+    return signed, copies, saved(links.unionAll(more), "near-links")
+
+
+def _of_class(copies: DataFrame, links: DataFrame) -> DataFrame:
+    """``digest`` and ``class_id``, the smallest id of the class, of every distinct text."""
+    comps = components(links).select(F.col("id").alias("place"), "comp")
+    named = copies.join(comps, "place", "left").withColumn("comp", F.coalesce("comp", "place"))
+    first = copies.select(F.col("place").alias("comp"), F.col("rep").alias("class_id"))
+    return named.join(first, "comp").select("digest", "class_id", (F.col("comp") == F.col("place")).alias("leads"))
+
+
+def classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+    """``id_col`` and ``class_id`` of each row."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    signed, copies, links = linked(rows, chunk)
+    # an id with several texts connects them
+    placed = signed.where("id IS NOT NULL").select("id", "digest").join(copies, "digest")
+    several = placed.groupBy("id").agg(F.min("place").alias("a"), F.max("place").alias("z")).where("a < z")
+    same = placed.join(several, "id").where("place > a").select("a", F.col("place").alias("b"))
+    named = saved(_of_class(copies, links.unionAll(same)), "near-classes")
+    with_text = signed.select("id", "digest").where("id IS NOT NULL AND digest IS NOT NULL").join(named, "digest").select("id", "class_id")
+    bare = signed.where("id IS NULL OR digest IS NULL").select("id")
+    of_id = with_text.join(bare.distinct(), "id", "left_semi").distinct()  # rows of an id have one class
+    rest = bare.join(of_id, "id", "left").select("id", F.coalesce("class_id", "id").alias("class_id"))
+    return with_text.unionAll(rest).withColumnRenamed("id", id_col)
+
+
+def first_of_each_class(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are the first of their near-duplicate class: the row with the
+    smallest id, then digest of the words; of rows alike in both the first in the order of text.  Rows without
+    an id or a word stay.  An id with several texts is judged by each of them.
+
+    One shuffle of the rows, by id and digest; those that stay anyway are not in it.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    digest = "_digest"
+    while any(c.startswith(digest) for c in docs.columns):
+        digest += "_"
+    _, copies, links = linked(rows, chunk)
+    lead = _of_class(copies, links).where("leads").select(F.col("digest").alias(f"{digest}_led"), F.col("class_id").alias(f"{digest}_id"))
+    marked = with_digest(docs, text_col, digest)
+    no_group = F.col(id_col).isNull() | F.col(digest).isNull()
+    same = (F.col(id_col).cast("long") == F.col(f"{digest}_id")) & (F.col(digest) == F.col(f"{digest}_led"))
+    firsts = marked.where(~no_group).join(saved(lead, "near-leads").hint("merge"), same).drop(f"{digest}_id", f"{digest}_led")
+    turn = f"{digest}_turn"
+    again = Window.partitionBy(F.col(id_col).cast("long"), digest).orderBy(text_col)
+    firsts = firsts.withColumn(turn, F.row_number().over(again)).where(F.col(turn) == 1)
+    return firsts.select(docs.columns).unionAll(marked.where(no_group).select(docs.columns))

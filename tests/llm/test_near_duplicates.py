@@ -46,6 +46,19 @@ def test_classes(spark):
     assert {r.class_id for r in pm.classes(docs(spark, [(None, "a b"), (4, None)])).collect()} == {None, 4}
 
 
+def test_texts_of_one_id_keep_their_links(spark):
+    rng = random.Random(9)
+    one, two, three = (prose(rng, 120, 10**6) for _ in range(3))
+    rows = [(7, one), (7, two), (7, None), (3, two + " end"), (9, one + " end"), (12, three), (13, three + " end"), (None, one)]
+    got = pm.classes(docs(spark, rows))
+    assert found(got) == brute(rows) == {7: 3, 3: 3, 9: 3, 12: 12, 13: 12}
+    assert sorted(str(r.class_id) for r in got.collect()) == ["12", "12", "3", "3", "3", "3", "3", "None"]
+    kept = pm.first_of_each_class(docs(spark, rows)).collect()
+    assert sorted((str(r.doc_id), str(r.text)[:8]) for r in kept) == sorted(
+        [("3", two[:8]), ("7", one[:8]), ("7", "None"), ("12", three[:8]), ("None", one[:8])]
+    )
+
+
 def test_registers_estimate_probability_jaccard():
     rng = np.random.default_rng(1)
     a = np.unique(rng.integers(0, 2**63, 400).astype(np.uint64))

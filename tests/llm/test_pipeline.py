@@ -100,12 +100,33 @@ def test_rows_without_an_id_are_dropped_too(spark, small):
     assert left(corpus_pipeline.drop_contaminated(spark, docs, folder)) == {toxic, fine, None}
 
 
+def test_rows_that_repeat_an_id_are_judged_one_by_one(spark, small):
+    folder, texts, _, items = small
+    rng = random.Random(8)
+    toxic, leak = texts[0], prose(rng, 40) + " " + items[0][1] + ". " + prose(rng, 40)
+    fine, other, base = (prose(rng, 60, 10**6) for _ in range(3))
+    rows = [(900, t) for t in (toxic, leak, fine, other, fine)] + [(901, base + " more"), (901, fine), (902, base), (902, other), (903, None)]
+    clash = "doc_id long, text string, lang string, source string, n_chars long, spans string, _key string, _again int, score double, _digest string"
+    full = [(d, t, "en", "s", 0, None, f"k{i}", i, 2.0, "d") for i, (d, t) in enumerate(rows)]
+    more = spark.createDataFrame(full, clash)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 300").unionByName(more, allowMissingColumns=True)
+    left = lambda df: sorted((r._again, r._key, r.score) for r in df.where("doc_id >= 900").collect())
+    want = lambda *gone: [(i, f"k{i}", 2.0) for i in range(len(rows)) if i not in gone]
+    assert left(corpus_pipeline.drop_toxic(spark, docs, folder)) == want(0)
+    assert left(corpus_pipeline.drop_contaminated(spark, docs, folder)) == want(1)
+    # the second ``fine`` of 900 and those of larger ids go, of ``base`` the smaller id stays; the toxic one copies document 0
+    kept = left(corpus_pipeline.drop_near_duplicates(spark, docs, folder))
+    assert [k for k in kept if k[0] not in (2, 4)] == want(0, 2, 4, 6, 7, 8)
+    assert len([k for k in kept if k[0] in (2, 4)]) == 1
+    assert corpus_pipeline.drop_near_duplicates(spark, docs, folder).columns == docs.columns
+
+
 def test_every_operator_is_registered():
     names = list(entry.queries())
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op5_suffix_dedup", "op9_super_kmers"])
+@pytest.mark.parametrize("name", ["op5_suffix_dedup", "op9_super_kmers", "op11_mix", "op12_spelling", "op13_merkle"])
 def test_against_sql(spark, name):
     assert compare(spark, duck(SF_DIR), SF_DIR, entry.queries()[name], entry.oracle_sql()[name]) is None
 
