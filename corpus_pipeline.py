@@ -10,58 +10,62 @@ from collections.abc import Callable
 from functools import wraps
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slicewright.llm import decontamination, merge_coding, pii, prob_minhash, toxicity
 from slicewright.llm.common import fold, saved, send_package, table
 
 
+#: Text that goes to a Python worker at once.
+BATCH_BYTES = "4m"
+
+
 def stage(run: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage as it runs: workers get the package, and texts in batches of a few megabytes, however long they are."""
+
     @wraps(run)
     def sent(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         send_package(spark)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
         return run(spark, docs, sf_dir)
 
     return sent
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a ``_key`` that is never NULL: the id, or for a NULL id a hash of the text."""
-    no_id = F.concat(F.lit("text "), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    return docs.withColumn("_key", F.coalesce(F.concat(F.lit("id "), F.col("doc_id").cast("string")), no_id))
-
-
 @stage
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose calibrated toxicity is under one half, with or without an id; learned from the labels outside fold 0."""
-    keyed = _keyed(docs)
-    scored = toxicity.score(keyed, table(spark, sf_dir, "labels"), fold(F.col("doc_id")) != 0, keep=("_key",))
-    return keyed.join(scored.where("score >= 0.5").select("_key").distinct(), "_key", "left_anti").select(docs.columns)
+    """Rows whose calibrated toxicity is under one half, learned from the labels outside fold 0.
+
+    Row by row, so rows that repeat an id, or have none, are each judged by their own text.
+    A NULL text is scored as an empty one.
+    """
+    plain = {c: f"_{i}" for i, c in enumerate(docs.columns)}  # no name the scoring uses
+    scored = toxicity.score(
+        docs.withColumnsRenamed(plain), table(spark, sf_dir, "labels"), fold(F.col("doc_id")) != 0,
+        id_col=plain["doc_id"], text_col=plain["text"], keep=tuple(plain.values()), id_col_of_labels="doc_id",
+    )
+    return scored.where("score < 0.5").select(*(F.col(p).alias(c) for c, p in plain.items()))
 
 
 @stage
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate class; rows without an id stay."""
-    classes = prob_minhash.classes(docs)
-    others = classes.where("class_id <> doc_id").select("doc_id").distinct()
-    kept = docs.join(others, "doc_id", "left_anti")
-    no_id = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))  # rows without an id are no group
-    again = F.row_number().over(Window.partitionBy("doc_id", no_id).orderBy("text"))
-    return kept.withColumn("_again", again).where("_again = 1 OR doc_id IS NULL").select(docs.columns)
+    """The first document of each near-duplicate class, by id; rows without an id or without a word stay.
+
+    Different texts under one id are judged by themselves; of rows alike in id and words one stays.
+    """
+    return prob_minhash.first_of_each_class(docs)
 
 
 @stage
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage like a benchmark item, with or without an id."""
-    keyed = _keyed(docs)
-    found = decontamination.contaminated(keyed, table(spark, sf_dir, "benchmark"), id_col="_key")
-    return keyed.join(found.select("_key").distinct(), "_key", "left_anti").select(docs.columns)
+    """Rows without a passage like a benchmark item; row by row, so ids may repeat or be NULL.  A NULL text stays."""
+    return decontamination.uncontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 @stage
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with every span of personal data replaced by its kind."""
+    """All rows, with every span of personal data replaced by its kind and ``n_chars`` counted anew; a NULL text stays NULL."""
     rows = docs.select(F.struct(*docs.columns).alias("doc"), "text")
     clean = pii.find_spans(rows).withColumn("clean", pii.redacted("text", "spans"))
     new = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
@@ -70,7 +74,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 @stage
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id``, packed ``ids`` and ``decoded`` text of all documents."""
+    """``doc_id``, packed ``ids`` and ``decoded`` text of all rows; a NULL text is coded as an empty one."""
     return merge_coding.encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
