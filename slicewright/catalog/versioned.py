@@ -173,7 +173,7 @@ _LINE = """concat_ws('|', CAST(o_orderkey AS STRING),
   CASE WHEN o_orderkey % 97 = 0 THEN 'n/a' ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS STRING) END,
   CASE WHEN o_orderkey % 89 = 0 THEN NULL WHEN o_orderkey % 83 = 0 THEN '' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END,
   CASE WHEN o_orderkey % 79 = 0 THEN 'x' END)"""
-fx.DERIVATIONS["order_lines"] = f"""
+fx.DERIVATIONS["checked_lines"] = f"""
 SELECT concat('ORD_', CAST(o_orderkey % 8 AS STRING), '.csv') AS file_name, o_orderkey, {_LINE} AS line FROM {{orders}}
 """
 CHECKED_LAYOUT = T.StructType(
@@ -191,22 +191,22 @@ _REASON = """CASE WHEN (o_orderkey % 89 = 0) <> (o_orderkey % 79 = 0) THEN 'numb
 
 
 def checked_orders(spark, sf_dir) -> DataFrame:
-    lines = fx.derive(spark, sf_dir, "order_lines")
+    lines = fx.derive(spark, sf_dir, "checked_lines")
     folder = new_folder(spark, "landing")
     lines.select(F.col("line").alias("value"), F.col("file_name").alias("landed")).write.partitionBy("landed").text(folder)
     return delimited.read_checked(spark, folder, CHECKED_LAYOUT, "|", header=False)
 
 
-@query("src_csv_rejected", f"{fx.ctes('order_lines')} SELECT file_name, line, {_REASON} AS reason FROM order_lines WHERE {_REASON} IS NOT NULL")
+@query("src_csv_rejected", f"{fx.ctes('checked_lines')} SELECT file_name, line, {_REASON} AS reason FROM checked_lines WHERE {_REASON} IS NOT NULL")
 def src_csv_rejected(spark, sf_dir) -> DataFrame:
     return delimited.rejected(checked_orders(spark, sf_dir))
 
 
 @query(
     "src_csv_accepted",
-    f"""{fx.ctes('order_lines')}
+    f"""{fx.ctes('checked_lines')}
 SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, file_name
-FROM orders JOIN order_lines USING (o_orderkey) WHERE {_REASON} IS NULL""",
+FROM orders JOIN checked_lines USING (o_orderkey) WHERE {_REASON} IS NULL""",
 )
 def src_csv_accepted(spark, sf_dir) -> DataFrame:
     return delimited.accepted(checked_orders(spark, sf_dir))
@@ -214,10 +214,10 @@ def src_csv_accepted(spark, sf_dir) -> DataFrame:
 
 @query(
     "src_csv_reject_verdicts",
-    f"""{fx.ctes('order_lines')}
+    f"""{fx.ctes('checked_lines')}
 SELECT file_name, count(*) AS n_rows, count({_REASON}) AS n_rejected,
        CASE WHEN count({_REASON}) > 0.045 * count(*) THEN 'ROWS_REJECTED' ELSE 'OK' END AS row_status
-FROM order_lines GROUP BY file_name""",
+FROM checked_lines GROUP BY file_name""",
 )
 def src_csv_reject_verdicts(spark, sf_dir) -> DataFrame:
     return delimited.reject_verdicts(checked_orders(spark, sf_dir), most=0.045)
