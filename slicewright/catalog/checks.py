@@ -13,6 +13,7 @@ from slicewright.catalog.registry import query
 from slicewright.functions import dates, filenames
 from slicewright.operators import reconciliation
 from slicewright.operators.keys import key_violations, required_violations
+from slicewright.storage import new_folder, save
 
 COUNTED = ["customer", "documents", "events", "lineitem", "orders", "part"]
 
@@ -63,6 +64,28 @@ def agg_slice_reconcile(spark, sf_dir) -> DataFrame:
     return reconciliation.reconcile(counts, order_controls(counts), ["slice_dt"])
 
 
+@query(
+    "agg_content_reconcile",
+    """
+WITH faults AS (SELECT CAST(o_orderdate AS DATE) AS slice_dt, o_orderkey % 997 = 0 AS changed, o_orderkey % 991 = 0 AS emptied,
+                       o_orderkey % 983 = 0 AS doubled FROM orders)
+SELECT slice_dt, CAST(count(*) + count_if(doubled) AS BIGINT) AS data_cnt, count(*) AS ctrl_cnt,
+       CASE WHEN count_if(doubled) > 0 THEN 'COUNT_MISMATCH'
+            WHEN count_if(changed OR emptied) > 0 THEN 'CONTENT_MISMATCH' ELSE 'OK' END AS check_status
+FROM faults GROUP BY slice_dt""",
+)
+def agg_content_reconcile(spark, sf_dir) -> DataFrame:
+    """Orders read back from a table in which single cells were changed or emptied and single rows doubled."""
+    orders = fx.table(spark, sf_dir, "orders").withColumn("slice_dt", F.col("o_orderdate").cast("date"))
+    key = F.col("o_orderkey")
+    price = F.when(key % 997 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    status = F.when(key % 991 != 0, F.col("o_orderstatus"))
+    stored = orders.withColumns({"o_totalprice": price.cast(orders.schema["o_totalprice"].dataType), "o_orderstatus": status})
+    held = save(stored.unionAll(stored.where(key % 983 == 0)), new_folder(spark, "contents"))
+    read, written = (reconciliation.digest_slices(df, ["slice_dt"]) for df in (held, orders))
+    return reconciliation.reconcile_contents(read, written, ["slice_dt"])
+
+
 @query(
     "agg_date_check",
     """

@@ -107,6 +107,15 @@ def snk_csv_export(spark, sf_dir) -> DataFrame:
     return exports.read_delimited(spark, path, events.schema)
 
 
+@query("snk_csv_feed", "SELECT * FROM lineitem")
+def snk_csv_feed(spark, sf_dir) -> DataFrame:
+    """One feed file, written by all tasks, proved and read back."""
+    path = new_folder(spark, "export") + "/LINES_20240331.csv"
+    lines = fx.table(spark, sf_dir, "lineitem")
+    exports.write_feed(lines, path, verify=True)
+    return exports.read_delimited(spark, path, lines.schema, line_breaks=False)
+
+
 @query(
     "snk_log_append",
     f"""{fx.ctes("file_log")}

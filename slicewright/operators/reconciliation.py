@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slicewright.schemas import FAILED, SUCCESS
 
@@ -15,6 +16,7 @@ DATE_MISMATCH = "DATE_MISMATCH"
 NO_CONTROL = "NO_CONTROL"
 NO_DATA = "NO_DATA"
 STRAY_ROWS = "STRAY_ROWS"
+CONTENT_MISMATCH = "CONTENT_MISMATCH"
 HEADER_MISMATCH = "HEADER_MISMATCH"
 CONTROL_AMBIGUOUS = "CONTROL_AMBIGUOUS"
 SLICE_INCOMPLETE = "SLICE_INCOMPLETE"
@@ -78,6 +80,57 @@ def reconcile(counts: DataFrame, controls: DataFrame, keys: Sequence[str]) -> Da
     )
 
 
+#: What a digest consists of.
+DIGEST = ["n_rows", "hash_sum", "hash_xor"]
+
+
+def digest(schema: T.StructType, *, blank_is_null: bool = False) -> list[Column]:
+    """Aggregates that prove the contents of rows, whatever their order and partitioning.
+
+    The number of rows, the sum of one hash of each row and the exclusive or of another: partial results
+    add up, a repeated row counts as often as it occurs, and NULL differs from every value and from NULL in another column.
+    ``blank_is_null`` takes empty texts for NULL, as a delimited file does.  Maps have no hash.
+    """
+    cells = []
+    for field in schema.fields:
+        value = F.col(f"`{field.name.replace('`', '``')}`")
+        if blank_is_null and isinstance(field.dataType, T.StringType):
+            value = F.nullif(value, F.lit(""))
+        cells += [value, value.isNull()]
+    first, second = (F.xxhash64(F.lit(seed), *cells) for seed in (1, 2))
+    n_rows, hash_sum, hash_xor = DIGEST
+    return [
+        F.count("*").alias(n_rows),
+        F.coalesce(F.sum(first.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)").alias(hash_sum),
+        F.coalesce(F.bit_xor(second), F.lit(0)).cast("long").alias(hash_xor),
+    ]
+
+
+def digest_slices(df: DataFrame, keys: Sequence[str], *, blank_is_null: bool = False) -> DataFrame:
+    """Digest of each slice, added up in every task before the shuffle."""
+    return df.groupBy(*keys).agg(*digest(df.schema, blank_is_null=blank_is_null))
+
+
+def reconcile_contents(data: DataFrame, proof: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Digests of what was read (``data``) against those taken when it was written (``proof``), slice by slice.
+
+    Slices meet by keys of equal value, NULL included.
+    """
+    ours, theirs = data.select(F.struct(*keys).alias("k"), F.struct(*DIGEST).alias("d")), proof.select(
+        F.struct(*keys).alias("k"), F.struct(*DIGEST).alias("p")
+    )
+    status = (
+        F.when(F.col("p").isNull(), NO_CONTROL)
+        .when(F.col("d").isNull(), NO_DATA)
+        .when(F.col("d.n_rows") != F.col("p.n_rows"), COUNT_MISMATCH)
+        .when(F.col("d") != F.col("p"), CONTENT_MISMATCH)
+        .otherwise(OK)
+    )
+    return ours.join(theirs, "k", "full_outer").select(
+        "k.*", F.col("d.n_rows").alias("data_cnt"), F.col("p.n_rows").alias("ctrl_cnt"), status.alias("check_status")
+    )
+
+
 def load_metrics(file_log: DataFrame) -> DataFrame:
     """Files, rows and time span per process and outcome."""
     return file_log.groupBy("proc_name", "proc_status").agg(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slicewright.operators import ledger as ledgers
-from slicewright.operators.exports import protect, write_delimited
+from slicewright.operators.exports import protect, write_delimited, write_feed
 from slicewright.operators.mutations import append
 from slicewright.storage import new_folder, release, save
 
@@ -27,9 +27,13 @@ def export_table(
     run_id: str,
     as_of: Column,
     key: Column | None = None,
+    one_file: bool = False,
+    verify: bool = False,
 ) -> dict[str, str]:
     """Export ``table`` as ``<prefix>_<yyyyMMdd>.csv``, plus a protected copy when given a key.
 
+    The name is that of a folder of headed parts, or with ``one_file`` of a single file.  ``verify``
+    reads the delimited copy back before the ledger says that it was sent.
     For two copies the table is saved once, so both hold the same rows.
     Returns the paths written; the ledger records each of them.
     """
@@ -38,7 +42,7 @@ def export_table(
     staged = new_folder(spark, "outbound")
     if key is not None:
         table = save(table, staged)
-    write_delimited(table, paths["delimited"])
+    (write_feed if one_file else write_delimited)(table, paths["delimited"], verify=verify)
     if key is not None:
         paths["protected"] = paths["delimited"] + PROTECTED_SUFFIX
         protect(table, key).write.mode("overwrite").text(paths["protected"])

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import shutil
 import uuid
+from collections.abc import Sequence
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -93,6 +95,49 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
     return sorted(f.getPath().getName() for f in fs.listStatus(where)) if fs.exists(where) else []
 
 
+def sizes_in(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Names and sizes of the files in a folder that Spark wrote; hidden ones are left out."""
+    if (plain := _local(folder)) is not None:
+        found = [(e.name, e.stat().st_size) for e in os.scandir(plain) if e.is_file()]
+    else:
+        hadoop, fs = _file_system(spark, folder)
+        found = [(f.getPath().getName(), f.getLen()) for f in fs.listStatus(hadoop.Path(folder)) if f.isFile()]
+    return {name: size for name, size in sorted(found) if name[0] not in "._"}
+
+
+def join_files(spark: SparkSession, parts: Sequence[str], target: str) -> None:
+    """Put files together in this order as ``target``, which they replace in one step; the parts are used up.
+
+    The store does it: HDFS concatenates by handing over the blocks, without moving a byte.  On a plain
+    local path the bytes are copied.  A store that cannot concatenate refuses.
+    """
+    spare = f"{target}.{uuid.uuid4().hex}.tmp"
+    if (plain := _local(target)) is not None:
+        with open(_local(spare), "xb") as out:
+            for part in parts:
+                with open(_local(part), "rb") as f:
+                    shutil.copyfileobj(f, out, 1 << 20)
+        os.replace(_local(spare), plain)
+        return
+    hadoop, fs = _file_system(spark, target)
+    first, *rest = (hadoop.Path(p) for p in parts)
+    fs.rename(first, hadoop.Path(spare))
+    if rest:
+        fs.concat(hadoop.Path(spare), _java_array(spark, hadoop.Path, rest))
+    replace = hadoop.Options.Rename.OVERWRITE
+    context = hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(hadoop.Path(spare), hadoop.Path(target), _java_array(spark, hadoop.Options.Rename, [replace]))
+
+
+def remove_staging(spark: SparkSession, folder: str) -> None:
+    """Remove a staging folder whose files have been published."""
+    if (plain := _local(folder)) is not None:
+        shutil.rmtree(plain)
+        return
+    hadoop, fs = _file_system(spark, folder)
+    fs.delete(hadoop.Path(folder), True)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small file, whole."""
     if (plain := _local(path)) is not None:
@@ -109,3 +154,10 @@ def _local(path: str) -> str | None:
 def _file_system(spark: SparkSession, path: str):
     hadoop = spark._jvm.org.apache.hadoop.fs
     return hadoop, hadoop.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _java_array(spark: SparkSession, kind, items: Sequence):
+    out = spark.sparkContext._gateway.new_array(kind, len(items))
+    for i, item in enumerate(items):
+        out[i] = item
+    return out

@@ -1,5 +1,6 @@
 from dataclasses import replace
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +8,7 @@ from pyspark.sql import types as T
 
 from slicewright import schemas
 from slicewright.functions import dates
-from slicewright.operators import exports
+from slicewright.operators import exports, reconciliation
 from slicewright.plans.inbound import (
     Load, file_state, load_epoch_files, load_files, load_source, save_counted)
 from slicewright.plans.outbound import export_table
@@ -263,6 +264,52 @@ def test_export_round_trip(spark):
     assert spark.read.format("binaryFile").load(path).count() == 3
 
 
+def test_one_feed_file(spark, tmp_path):
+    path = f"{tmp_path}/out/FEED_20240105.csv"
+    df = spark.createDataFrame(HARD, "k int, t string").repartition(3)
+    exports.write_feed(df, path, verify=True)
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["FEED_20240105.csv"]
+    assert sorted(exports.read_delimited(spark, path, df.schema).collect()) == sorted(df.collect())
+    text = Path(path).read_text(encoding="utf-8")
+    assert text.startswith("k,t\n") and text.count("k,t\n") == 1
+    exports.write_feed(spark.range(200_000).repartitionByRange(7, "id").sortWithinPartitions("id"), path, sep="|")
+    assert Path(path).read_text().split() == ["id", *map(str, range(200_000))]  # replaced, and in order
+    exports.write_feed(df.limit(0), path, verify=True)
+    assert Path(path).read_text() == "k,t\n"
+
+
+def test_a_feed_that_reads_back_otherwise_is_not_sent(spark, tmp_path):
+    path = f"{tmp_path}/FEED.csv"
+    exports.write_feed(spark.createDataFrame([("old",)], "t string"), path)
+    odd = spark.createDataFrame([(None,), ("x",)], "t string")  # an empty line is read as no row
+    with pytest.raises(exports.ContentError, match="read back"):
+        exports.write_feed(odd, path, verify=True)
+    with pytest.raises(exports.ContentError, match="read back"):
+        exports.write_delimited(odd, f"{tmp_path}/parts", verify=True)
+    assert [p.name for p in tmp_path.iterdir() if p.is_file()] == ["FEED.csv"]
+    assert Path(path).read_text() == "t\nold\n"
+
+
+def test_digests_tell_contents_apart(spark):
+    schema = "a string, b string, n long, x array<double>"
+    rows = [("p", None, 1, [1.0]), (None, "p", 1, None), ("", "q", 2**62, [None, 2.0]), ("", "q", 2**62, [None, 2.0])]
+
+    def of(rows, **how):
+        df = spark.createDataFrame(rows, schema)
+        return tuple(df.agg(*reconciliation.digest(df.schema, **how)).first())
+
+    assert of(rows) == of(rows[::-1]) and of([]) == (0, 0, 0)
+    changed = [rows[:3], [*rows[:2], rows[0], rows[0]], [("p", "p", 1, [1.0]), (None, None, 1, None), *rows[2:]], [(None, "p", 1, [1.0]), ("p", None, 1, None), *rows[2:]]]
+    assert len({of(rows), *map(of, changed)}) == 5
+    assert of([("", None, 1, None)]) != of([(None, "", 1, None)])
+    assert of([("", None, 1, None)], blank_is_null=True) == of([(None, "", 1, None)], blank_is_null=True)
+    df = spark.createDataFrame(rows, schema)
+    slices = reconciliation.digest_slices(df, ["b"])
+    other = reconciliation.digest_slices(spark.createDataFrame([rows[0], (None, "p", 2, None), ("", "z", 0, None)], schema), ["b"])
+    got = {r.b: r.check_status for r in reconciliation.reconcile_contents(slices, other, ["b"]).collect()}
+    assert got == {None: "OK", "p": "CONTENT_MISMATCH", "q": "NO_CONTROL", "z": "NO_DATA"}
+
+
 def test_protected_feed(spark):
     key = F.lit("0123456789abcdef").cast("binary")
     df = spark.createDataFrame(HARD + [(6, "x" * 5000)], "k int, t string")
@@ -289,3 +336,8 @@ def test_export_records_what_it_sent(spark):
     assert {r.file_name for r in ledger} == {
         "3_Sales_20240105.csv", "3_Sales_20240105.csv.protected"}
     assert exports.read_delimited(spark, paths["delimited"], df.schema).count() == 5
+    one = export_table(
+        spark, df, folder=f"{work}/one", prefix="3_Sales", data_dt=date(2024, 1, 5), ledger=f"{work}/ledger2",
+        proc_name="OUTB", run_id="r", as_of=dates.clock(AS_OF), one_file=True, verify=True)
+    assert Path(one["delimited"]).is_file()
+    assert exports.read_delimited(spark, one["delimited"], df.schema).count() == 5
