@@ -5,8 +5,9 @@ underscore). Every window of a document that is as long as an item and shares
 one shingle (five words in a row) with an item of that length gets a 64-bit
 SimHash of its words; a document shorter than the item is one window as a whole; windows that share none have similarity 0, so leaving
 them out loses nothing. The fingerprints of the items are indexed by
-``radius + 1`` blocks of bits: two fingerprints at most ``radius`` bits apart
-agree in one block at least, so looking up every block finds them all. Each
+four blocks of 16 bits: two fingerprints at most ``radius`` bits apart
+are at most a quarter of it apart in one block at least, so looking for every block with
+so many bits changed finds them all. Each
 candidate is then verified by its weighted shingle similarity: the sum of the
 smaller over the sum of the larger shingle counts.
 
@@ -25,7 +26,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,14 @@ from slicewright.llm.common import pieces_of, small_slices
 WORD = re.compile(r"\w+")
 SHINGLE = 5
 SIMILARITY = 0.8
-#: Bits two fingerprints may differ in. Windows at similarity 0.8 differ in about 8 of 64.
-RADIUS = 16
+#: Bits two fingerprints may differ in. Windows at similarity 0.8 differ in about 8 of 64, short ones in up to 21.
+RADIUS = 23
+#: Bits of a block of the index.
+BLOCK_BITS = 16
+#: Looking a block up costs about as much as so many comparisons.
+LOOKUP_COST = 4
+#: Pairs of blocks held at once.
+PAIRS = 1 << 22
 BLOCK_WORDS = 1_000_000
 #: Windows whose bit sums are held at once.
 STRETCH = 2_048
@@ -71,30 +78,57 @@ def fingerprints(bits: np.ndarray, starts: np.ndarray, length: int) -> np.ndarra
     return (ones.astype(np.uint64) << BITS).sum(1, dtype=np.uint64)
 
 
+@lru_cache
+def _changes(bits: int) -> np.ndarray:
+    """All ways to change at most ``bits`` bits of a block."""
+    every = np.arange(1 << BLOCK_BITS).astype(np.uint16)
+    return every[np.bitwise_count(every) <= bits]
+
+
 class Blocks:
-    """Fingerprints of the items of one length, indexed by every block of bits."""
+    """Fingerprints of the items of one length, indexed by four blocks of 16 bits.
+
+    Of two fingerprints at most ``radius`` bits apart, one block is at most ``radius // 4`` bits apart.
+    """
 
     def __init__(self, prints: np.ndarray, radius: int):
-        self.prints, self.radius = prints, radius
-        edges = np.linspace(0, 64, radius + 2).astype(int)
+        self.prints, self.radius, self.bits = prints, radius, radius // (64 // BLOCK_BITS)
         self.parts = []
-        for low, high in zip(edges[:-1], edges[1:]):
-            mask = np.uint64((1 << int(high - low)) - 1)
-            values = prints >> np.uint64(low) & mask
+        for low in range(0, 64, BLOCK_BITS):
+            values = self._block(prints, low)
             order = np.argsort(values, kind="stable")
-            self.parts.append((np.uint64(low), mask, values[order], order))
+            self.parts.append((low, order, *np.unique(values[order], return_index=True, return_counts=True)))
+
+    @staticmethod
+    def _block(prints: np.ndarray, low: int) -> np.ndarray:
+        return (prints >> np.uint64(low)).astype(np.uint16)
+
+    def _alike(self, own: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``own`` and in the sorted ``values`` of blocks a few bits apart.
+
+        Few values are compared one by one; among many, all changes of the own block are looked up.
+        """
+        changes = _changes(self.bits)
+        if len(values) <= LOOKUP_COST * len(changes):
+            return np.nonzero(np.bitwise_count(own[:, None] ^ values) <= self.bits)
+        probes = own[:, None] ^ changes
+        place = np.minimum(np.searchsorted(values, probes), len(values) - 1)
+        at, change = np.nonzero(values[place] == probes)
+        return at, place[at, change]
 
     def near(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All pairs (place in ``prints``, item) within the radius."""
+        step = max(1, PAIRS // max(len(self.prints), len(_changes(self.bits))))
         pairs = []
-        for low, mask, values, order in self.parts:
-            own = prints >> low & mask
-            first, last = np.searchsorted(values, own, "left"), np.searchsorted(values, own, "right")
-            n = last - first
-            at = np.repeat(np.arange(len(prints)), n)
-            item = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)]
-            close = np.bitwise_count(prints[at] ^ self.prints[item]) <= self.radius
-            pairs.append(at[close] * len(self.prints) + item[close])
+        for begin in range(0, len(prints), step):
+            some = prints[begin : begin + step]
+            for low, order, values, first, count in self.parts:
+                at, value = self._alike(self._block(some, low), values)
+                n = count[value]
+                at = np.repeat(at, n)
+                item = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first[value], n)]
+                close = np.bitwise_count(some[at] ^ self.prints[item]) <= self.radius
+                pairs.append((at[close] + begin) * len(self.prints) + item[close])
         found = np.unique(np.concatenate(pairs))
         return found // len(self.prints), found % len(self.prints)
 

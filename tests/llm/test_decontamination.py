@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 from helpers import awkward, docs, prose
 
 from slicewright.llm import decontamination as dc
@@ -70,13 +71,29 @@ def test_items_in_blocks(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, i) for i, _ in items}
 
 
-def test_blocks_find_all_within_the_radius():
+@pytest.mark.parametrize("cost", [4, 0])
+@pytest.mark.parametrize("pairs", [1 << 22, 300])
+def test_blocks_find_all_within_the_radius(monkeypatch, cost, pairs):
+    monkeypatch.setattr(dc, "LOOKUP_COST", cost)  # 0: look changes up, however few items
+    monkeypatch.setattr(dc, "PAIRS", pairs)
     rng = np.random.default_rng(0)
     items = rng.integers(0, 2**63, 60).astype(np.uint64)
-    probes = items[rng.integers(0, 60, 200)]
+    items[50:] = items[:10]  # items alike
+    probes = items[rng.integers(0, 60, 100)]
     for _ in range(20):
-        probes = probes ^ (np.uint64(1) << rng.integers(0, 64, 200).astype(np.uint64))
-    for radius in (3, 16):
+        probes = probes ^ (np.uint64(1) << rng.integers(0, 64, 100).astype(np.uint64))
+    for radius in (0, 3, 16, 23):
         at, item = dc.Blocks(items, radius).near(probes)
         near = np.bitwise_count(probes[:, None] ^ items[None, :]) <= radius
         assert set(zip(at.tolist(), item.tolist())) == set(zip(*map(list, np.nonzero(near))))
+
+
+def test_recall_of_the_radius(spark):
+    """Over the test documents, the fingerprints lose no window that verification accepts."""
+    folder = "/root/testdata/sf0.01"
+    texts, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
+    got, all_of_them = (
+        {(r.doc_id, r.item_id) for r in dc.contaminated(texts, items, radius=radius).select("doc_id", "item_id").collect()}
+        for radius in (dc.RADIUS, 64)
+    )
+    assert got <= all_of_them and len(got) >= 0.99 * len(all_of_them)
