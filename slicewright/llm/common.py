@@ -64,7 +64,10 @@ def text_bytes(df: DataFrame, text: str) -> int:
 
 
 def small_slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in record batches of about ``most`` bytes of text each."""
+    """The same rows in record batches of about ``most`` bytes of text each.
+
+    At the end what Arrow keeps for later batches goes back, as the worker lives on for other stages.
+    """
     for batch in batches:
         sizes = pa.compute.binary_length(batch[text]).fill_null(0).to_numpy(zero_copy_only=False)
         start = held = 0
@@ -75,3 +78,4 @@ def small_slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE
             held += int(size)
         if start < batch.num_rows:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()

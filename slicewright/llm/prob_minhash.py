@@ -53,7 +53,11 @@ BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 STEP = np.uint64(0x9E3779B97F4A7C15)
 #: Word hashes that a worker remembers before it starts afresh.
-MEMORY = 200_000
+MEMORY = 60_000
+#: Text that a worker signs at once.
+SIGN_BYTES = 1 << 19
+#: Distinct shingles of the texts that a worker holds while it verifies pairs.
+HELD = 1_000_000
 
 
 class WordHashes(dict):
@@ -148,7 +152,7 @@ def sign(docs: DataFrame) -> DataFrame:
     """``id``, ``digest`` of the words (NULL for none); ``bands`` and ``sketch`` once for each digest of a slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_slices(batches, "text"):
+        for batch in small_slices(batches, "text", SIGN_BYTES):
             ids = batch["id"].to_pylist()
             sets, digests, holder = {}, [], {}
             for row, text in enumerate(batch["text"].to_pylist()):
@@ -183,13 +187,16 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets: dict = {}
-            keep = []
-            for a, b, x, y in zip(*(batch[c].to_pylist() for c in ("a", "b", "x", "y"))):
+            keep, held = [], 0
+            for a, b, x, y in zip(*(batch[c] for c in ("a", "b", "x", "y"))):
+                a, b = a.as_py(), b.as_py()
                 for i, t in ((a, x), (b, y)):
                     if i not in sets:
-                        if len(sets) > 4_096:
+                        if held > HELD:
                             sets = {k: sets[k] for k in (a, b) if k in sets}
-                        sets[i] = shingle_weights(words_of(t))
+                            held = sum(len(e) for e, _ in sets.values())
+                        sets[i] = shingle_weights(words_of(t.as_py()))
+                        held += len(sets[i][0])
                 keep.append(probability_jaccard(sets[a], sets[b]) >= SIMILARITY)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 

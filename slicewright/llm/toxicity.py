@@ -138,14 +138,24 @@ class Features(dict):
         ]
 
 
+class Numbers(dict):
+    """Stem -> its number, in the order in which they come up."""
+
+    def __missing__(self, stem: str) -> int:
+        self[stem] = n = len(self)
+        return n
+
+
 class Stems(dict):
-    """Word as it stands in a text -> its stems; remembered up to ``MEMORY`` words."""
+    """Word as it stands in a text -> the numbers of its stems; each stem is held once, however many words have it."""
 
-    def __missing__(self, raw: str) -> set[str]:
+    def __init__(self):
+        super().__init__()
+        self.numbers = Numbers()
+
+    def __missing__(self, raw: str) -> tuple[int, ...]:
         word = EDGE.sub("", raw)
-        if len(self) >= MEMORY:
-            self.clear()
-        self[raw] = own = stems(word) if word else set()
+        self[raw] = own = tuple(map(self.numbers.__getitem__, stems(word))) if word else ()
         return own
 
 
@@ -156,17 +166,21 @@ def _counted(rows: DataFrame) -> DataFrame:
         known, held = Stems(), (Counter(), Counter())
 
         def handed() -> pa.RecordBatch:
-            every = list(held[0].keys() | held[1].keys())
-            out = [pa.array(every, pa.string()), *(pa.array([held[k][s] for s in every], pa.int64()) for k in (1, 0))]
-            for h in held:
-                h.clear()
-            return pa.RecordBatch.from_arrays(out, names=["stem", "n1", "n0"])
+            counts = [np.fromiter((h[n] for n in range(len(known.numbers))), np.int64, len(known.numbers)) for h in held]
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(list(known.numbers), pa.string()), pa.array(counts[1]), pa.array(counts[0])], names=["stem", "n1", "n0"]
+            )
+            for d in (*held, known.numbers, known):
+                d.clear()
+            return out
 
         for batch in small_slices(batches, "text", 1 << 19):
             for text, label in zip(batch["text"].to_pylist(), batch["label"].to_pylist()):
                 held[label].update(set().union(*map(known.__getitem__, set((text or "").lower().split()))))
-            if len(held[0]) + len(held[1]) > HELD:
+            if len(known.numbers) > HELD:
                 yield handed()
+            elif len(known) > MEMORY:
+                known.clear()
         yield handed()
 
     found = rows.select("text", "label").mapInArrow(run, "stem string, n1 long, n0 long")
