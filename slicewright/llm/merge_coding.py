@@ -42,7 +42,7 @@ SPACE = "▁"
 UNKNOWN = " \u2047 "
 CUTS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Distinct cuts that a worker remembers; the ones not met since as many others are forgotten.
-MEMORY = 400_000
+MEMORY = 150_000
 #: Symbols beyond which the agenda is a heap.
 LONG = 48
 NEVER = float("inf")
