@@ -42,6 +42,8 @@ from pyspark.sql import types as T
 from slicewright.llm.common import saved, small_slices
 
 SAMPLE = 20_000
+#: Partitions of the sample.
+PARTS = 8
 LEXICON = 100_000
 #: Bits of the bitmap of labelled ids: 16 MB.
 BITMAP = 2**27
@@ -256,7 +258,8 @@ def score(
     lexicon = learn_lexicon(known.select("text", "label"))
     vector = VectorAssembler(inputCols=FEATURES, outputCol="features")
     fit = saved(with_features(known.join(chosen, ["id", "label"]), lexicon, ["id", "label", "part"]), "toxicity-features")
-    fit = vector.transform(fit)
+    # in a fixed order, which the trees' candidate splits depend on, so that reruns agree
+    fit = vector.transform(fit.repartition(PARTS, "id").sortWithinPartitions("id", "label", *FEATURES))
     out = list(dict.fromkeys([id_col, *keep]))
     ready = vector.transform(with_features(docs, lexicon, out, text_col))
     shares = {r.label: r["count"] for r in fit.where("part > 0").groupBy("label").count().collect()}

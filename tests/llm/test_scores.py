@@ -129,6 +129,18 @@ def test_toxicity(spark):
     assert toxicity.score(docs(spark, []), labels, F.lit(True)).collect() == []
 
 
+def test_toxicity_does_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 60) + (" vile you scum" * rng.randrange(1, 4) if rng.random() < (0.9 if i % 3 == 0 else 0.1) else "")) for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    turned = docs(spark, rows[::-1]).repartition(7, F.xxhash64("text"))
+    one, two = (
+        {r.doc_id: r.score for r in toxicity.score(d, some, F.lit(True)).collect()}
+        for d, some in ((docs(spark, rows).coalesce(1), labels), (turned, labels.repartition(5, F.hash("doc_id"))))
+    )
+    assert one == two and len(set(one.values())) > 2
+
+
 def test_lexicon_counts_all_labelled_rows(spark, monkeypatch):
     rng = random.Random(8)
     rows = [(i, prose(rng, 30) + (" vileword" if i % 4 == 0 else "") + (" rareslur" if i in range(0, 320, 40) else "")) for i in range(400)]
