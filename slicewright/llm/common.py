@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,11 +65,37 @@ def text_bytes(df: DataFrame, text: str) -> int:
     return df.agg(F.sum(F.octet_length(text))).first()[0] or 0
 
 
+_forgets: list[Callable[[], None]] = []
+_stage: int | None = None
+
+
+def lasts_a_stage(forget: Callable[[], None]) -> None:
+    """Have ``forget`` called in a worker when its first task of another stage starts.
+
+    Workers live on from stage to stage; what one stage remembers is of no use to the next.
+    """
+    _forgets.append(forget)
+
+
+def _new_stage() -> None:
+    global _stage
+    context = TaskContext.get()
+    if context is None or context.stageId() == _stage:
+        return
+    if _stage is not None:
+        for forget in _forgets:
+            forget()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    _stage = context.stageId()
+
+
 def small_slices(batches: Iterable[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in record batches of about ``most`` bytes of text each.
 
     At the end what Arrow keeps for later batches goes back, as the worker lives on for other stages.
     """
+    _new_stage()
     for batch in batches:
         sizes = pa.compute.binary_length(batch[text]).fill_null(0).to_numpy(zero_copy_only=False)
         start = held = 0

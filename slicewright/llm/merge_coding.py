@@ -35,14 +35,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slicewright.llm.common import small_slices
+from slicewright.llm.common import lasts_a_stage, small_slices
 
 SPACE = "▁"
 #: Fixed value: how the library spells the unknown id.
 UNKNOWN = " \u2047 "
 CUTS = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 #: Distinct cuts that a worker remembers; the ones not met since as many others are forgotten.
-MEMORY = 150_000
+MEMORY = 100_000
+#: Text that is coded at once.
+CODE_BYTES = 1 << 20
 #: Symbols beyond which the agenda is a heap.
 LONG = 48
 NEVER = float("inf")
@@ -290,19 +292,21 @@ class MergeCoder:
 
 @lru_cache(2)
 def coder(model_file: str, check: bool) -> MergeCoder:
-    """One coder for all tasks of a worker, so that what it remembers serves them all."""
+    """One coder for all tasks that a worker runs for a stage, so that what it remembers serves them all."""
     return MergeCoder(model_file, check)
 
 
+lasts_a_stage(coder.cache_clear)
+
+
 def encode_decode(
     docs: DataFrame, model_file: str, *, id_col: str = "doc_id", text_col: str = "text", check: bool = True
 ) -> DataFrame:
     """``id_col``, ``ids`` (little-endian unsigned 32-bit integers) and ``decoded`` of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(model_file, check)
-        for batch in small_slices(batches, "text"):
-            ids, decoded = own.encode_batch([t or "" for t in batch["text"].to_pylist()])
+        for batch in small_slices(batches, "text", CODE_BYTES):
+            ids, decoded = coder(model_file, check).encode_batch([t or "" for t in batch["text"].to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], pa.array(ids, pa.binary()), pa.array(decoded, pa.string())],
                 names=[id_col, "ids", "decoded"],

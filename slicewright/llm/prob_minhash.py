@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slicewright.llm.common import saved, small_slices
+from slicewright.llm.common import lasts_a_stage, saved, small_slices
 from slicewright.llm.components import components
 from slicewright.llm.ordering import numbered
 from slicewright.llm.window_exchange import mixed
@@ -67,6 +67,7 @@ class WordHashes(dict):
 
 
 HASHES = WordHashes()
+lasts_a_stage(HASHES.clear)
 
 
 def shingle_weights(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

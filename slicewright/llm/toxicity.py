@@ -48,7 +48,7 @@ LEXICON = 100_000
 #: Bits of the bitmap of labelled ids: 16 MB.
 BITMAP = 2**27
 #: Stem counts that a task holds before it hands them on.
-HELD = 300_000
+HELD = 150_000
 #: Least toxic rows with a stem, and least odds against the other rows.
 ROWS, ODDS = 4, 8.0
 #: Letters in the beginnings of words that count as stems.

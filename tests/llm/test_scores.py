@@ -4,12 +4,14 @@ import math
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import public_tokenizers
+import pyarrow as pa
 from helpers import awkward, counts, docs, prose
 from pyspark.sql import functions as F
 
-from slicewright.llm import lattice_scoring, rank_profiles, robust_outliers, toxicity
+from slicewright.llm import common, lattice_scoring, rank_profiles, robust_outliers, toxicity
 from slicewright.llm.common import fold
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -141,6 +143,18 @@ def test_toxicity_does_not_depend_on_the_order_of_rows(spark):
     assert one == two and len(set(one.values())) > 2
 
 
+def test_memories_of_a_worker_last_a_stage(monkeypatch):
+    stage, forgotten = [None], []
+    context = lambda: stage[0] is not None and SimpleNamespace(stageId=lambda: stage[0]) or None
+    monkeypatch.setattr(common, "TaskContext", SimpleNamespace(get=context))
+    monkeypatch.setattr(common, "_forgets", [lambda: forgotten.append(stage[0])])
+    monkeypatch.setattr(common, "_stage", None)
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", None])], names=["text"])
+    for stage[0] in (None, 3, 3, 4, None, 4, 6):
+        assert list(common.small_slices([batch], "text")) == [batch]
+    assert forgotten == [4, 6]
+
+
 def test_lexicon_counts_all_labelled_rows(spark, monkeypatch):
     rng = random.Random(8)
     rows = [(i, prose(rng, 30) + (" vileword" if i % 4 == 0 else "") + (" rareslur" if i in range(0, 320, 40) else "")) for i in range(400)]
