@@ -401,3 +401,28 @@ def ctl_sql_steps(spark, sf_dir) -> DataFrame:
         proc_run_id=fx.RUN_ID,
         sources={"lineitem": fx.table(spark, sf_dir, "lineitem")},
     )
+
+
+SCRIPT = """
+DECLARE cut DATE DEFAULT CAST(:data_dt AS DATE);
+DECLARE n_late BIGINT DEFAULT 0;
+DECLARE note STRING DEFAULT 'counted; complete';
+BEGIN
+  DECLARE EXIT HANDLER FOR TABLE_OR_VIEW_NOT_FOUND
+    SET note = 'counted; no table of late lines';
+  SET n_late = (SELECT count(*) FROM late_lines);
+END;
+SELECT l_returnflag, count(*) AS n_lines, n_late, note, '${proc_run_id}' AS PROC_RUN_ID
+FROM {lineitem} WHERE l_shipdate < cut GROUP BY l_returnflag;
+"""
+
+
+@query(
+    "ctl_sql_script",
+    f"""
+SELECT l_returnflag, count(*) AS n_lines, CAST(0 AS BIGINT) AS n_late, 'counted; no table of late lines' AS note, '{fx.RUN_ID}' AS PROC_RUN_ID
+FROM lineitem WHERE l_shipdate < DATE '2000-06-30' GROUP BY l_returnflag""",
+)
+def ctl_sql_script(spark, sf_dir) -> DataFrame:
+    lineitem = fx.table(spark, sf_dir, "lineitem")
+    return steps.run_script(spark, SCRIPT, data_dt="2000-06-30", proc_run_id=fx.RUN_ID, sources={"lineitem": lineitem})

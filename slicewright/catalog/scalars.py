@@ -12,7 +12,7 @@ from slicewright.catalog.registry import query
 from slicewright.functions import dates, envelope, filenames, text
 from slicewright.operators import predicates, projection
 from slicewright.sources.columnar import cast_list
-from slicewright.sources.json_documents import parse_payload
+from slicewright.sources.json_documents import as_variant, drifting, parse_payload, variant_fields
 
 fx.DERIVATIONS["texts"] = """
 SELECT doc_id, text, n_chars,
@@ -215,6 +215,52 @@ def src_payload_rows(spark, sf_dir) -> DataFrame:
     )
 
 
+def drifting_payloads(spark, sf_dir) -> DataFrame:
+    """``event_id`` and the props of events as a feed that changed its fields four times; every fifth text is cut off."""
+    k = F.get_json_object("props", "$.k")
+    shape = F.col("event_id") % 5
+    payload = (
+        F.when(shape == 1, F.concat(F.lit('{"k": "'), k, F.lit('"}')))
+        .when(shape == 2, F.concat(F.lit('{"k": {"n": '), k, F.lit('}, "unit": "pt"}')))
+        .when(shape == 3, F.concat(F.lit('{"k": null, "all": ['), k, F.lit("]}")))
+        .when(shape == 4, F.substring("props", 1, 5))
+        .otherwise(F.col("props"))
+    )
+    return fx.table(spark, sf_dir, "events").select("event_id", payload.alias("payload"))
+
+
+@query(
+    "src_variant_rows",
+    """
+SELECT event_id, CASE WHEN event_id % 5 <> 4 THEN CAST(props ->> '$.k' AS BIGINT) END AS k,
+       CASE WHEN event_id % 5 = 2 AND props IS NOT NULL THEN 'pt' END AS unit,
+       event_id % 5 = 4 AND props IS NOT NULL AS malformed
+FROM events""",
+)
+def src_variant_rows(spark, sf_dir) -> DataFrame:
+    rows = drifting_payloads(spark, sf_dir).withColumn("doc", as_variant(F.col("payload")))
+    doc = F.col("doc")
+    return rows.select(
+        "event_id",
+        drifting(doc, ["$.k", "$.k.n", "$.all[0]"], "bigint").alias("k"),
+        drifting(doc, ["$.unit"], "string").alias("unit"),
+        (F.col("payload").isNotNull() & doc.isNull()).alias("malformed"),
+    )
+
+
+@query(
+    "src_variant_fields",
+    """
+WITH shapes(shape, field, kind) AS (VALUES (0, 'k', 'BIGINT'), (1, 'k', 'STRING'), (2, 'k', 'OBJECT<n: BIGINT>'),
+  (2, 'unit', 'STRING'), (3, 'k', 'VOID'), (3, 'all', 'ARRAY<BIGINT>'))
+SELECT field, kind, count(*) AS n_rows FROM events JOIN shapes ON event_id % 5 = shape
+WHERE props IS NOT NULL GROUP BY field, kind""",
+)
+def src_variant_fields(spark, sf_dir) -> DataFrame:
+    rows = drifting_payloads(spark, sf_dir).select(as_variant(F.col("payload")).alias("doc"))
+    return variant_fields(rows, "doc")
+
+
 @query(
     "fn_array",
     f"""WITH {DOCUMENTS_CTE}

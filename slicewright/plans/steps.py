@@ -1,4 +1,4 @@
-"""Parameterised SQL steps."""
+"""Parameterised SQL steps and scripts."""
 
 from __future__ import annotations
 
@@ -51,3 +51,30 @@ def run_steps(
     if result is None:
         raise ValueError("no SQL step to run")
     return result
+
+
+def run_script(
+    spark: SparkSession,
+    script: str,
+    *,
+    data_dt: str,
+    proc_run_id: str,
+    sources: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Run a whole SQL script and return the result of its last query.
+
+    The text is not split: Spark runs it as one compound statement, so ``;`` may stand in literals,
+    and the script may declare variables and handlers, branch and loop.  Declarations come
+    first.  Parameters and ``sources`` are written as in ``run_steps``; a script with other braces has
+    no ``sources``.  The first error without a handler ends the run; Spark 4.1
+    cannot handle an error in the tasks of a ``SET``.
+
+    Spark hands the last result to the driver, so a script writes large results to tables
+    and ends with a short report.
+    """
+    if not script.strip():
+        raise ValueError("no SQL script to run")
+    values = dict(zip(PARAMETERS, (data_dt, proc_run_id)))
+    body = bind_markers(script, values).rstrip()
+    end = "" if body.endswith(";") else ";"
+    return spark.sql(f"BEGIN\n{body}{end}\nEND", args=values, **(sources or {}))

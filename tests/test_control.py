@@ -284,6 +284,25 @@ def test_steps(spark):
         steps.run_steps(spark, [("a", "SELECT * FROM no_such_table")], data_dt="", proc_run_id="")
 
 
+def test_script(spark):
+    run = lambda text, **more: steps.run_script(spark, text, data_dt="2024-01-01", proc_run_id="r", **more)
+    one = spark.createDataFrame([(1, "a;b"), (2, None)], "n int, t string")
+    got = run("""DECLARE turns INT DEFAULT 0;
+        WHILE turns < 3 DO SET turns = turns + 1; END WHILE;
+        SELECT t, turns, :data_dt AS d, '${proc_run_id}' AS r FROM {src} WHERE t LIKE '%;%'""", sources={"src": one})
+    assert [tuple(r) for r in got.collect()] == [("a;b", 3, "2024-01-01", "r")]
+    handled = run("""BEGIN
+          DECLARE EXIT HANDLER FOR SQLEXCEPTION SELECT 'failed; logged' AS t;
+          SELECT 1 / 0 AS t;
+          SELECT 'not reached' AS t;
+        END;""")
+    assert [r.t for r in handled.collect()] == ["failed; logged"]
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        run("SELECT 1 / 0; SELECT 2;").collect()
+    with pytest.raises(ValueError):
+        run(" \n")
+
+
 def test_outcomes_from_envelopes(spark):
     reports = spark.createDataFrame(
         [("a", "r", date(2024, 1, 1), '{"status": "Success", "message": null}'),

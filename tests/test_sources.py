@@ -164,3 +164,18 @@ def test_dispatch_from_config(spark, tmp_path):
 def test_landed_name_of_metadata_path(spark):
     path = F.lit("file:/x/landed=run-5-part-0/part-00000.parquet")
     assert spark.range(1).select(filenames.landed_name(path)).first()[0] == "run-5-part-0"
+
+
+def test_documents_with_drifting_fields(spark):
+    texts = ['{"a": 1}', '{"a": "2"}', '{"a": {"n": 3}}', '{"a": [4]}', '{"a": null, "b": 1.5}', "[1]", '{"a": ', "", None, '{"a": "x"}']
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, payload string")
+    docs = rows.withColumn("doc", json_documents.as_variant(F.col("payload")))
+    got = docs.select("id", json_documents.drifting(F.col("doc"), ["$.a", "$.a.n", "$.a[0]"], "bigint").alias("a"), F.isnull("doc").alias("bad"))
+    assert {r.id: (r.a, r.bad) for r in got.collect()} == {
+        0: (1, False), 1: (2, False), 2: (3, False), 3: (4, False), 4: (None, False), 5: (None, False),
+        6: (None, True), 7: (None, True), 8: (None, True), 9: (None, False)}
+    fields = json_documents.variant_fields(docs, "doc")
+    assert {(r.field, r.kind): r.n_rows for r in fields.collect()} == {
+        ("a", "BIGINT"): 1, ("a", "STRING"): 2, ("a", "OBJECT<n: BIGINT>"): 1, ("a", "ARRAY<BIGINT>"): 1,
+        ("a", "VOID"): 1, ("b", "DECIMAL(2,1)"): 1}
+    assert json_documents.variant_fields(docs.limit(0), "doc").collect() == []
