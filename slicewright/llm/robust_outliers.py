@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slicewright.llm.common import saved
+from slicewright.llm.common import pieces_of, saved
 from slicewright.llm.text_stats import with_counts
 
 KEEP = 0.75
@@ -37,6 +37,8 @@ STEPS = 4
 #: The nearest three quarters of so many documents are five for each of the five dimensions.
 LEAST = 34
 FLOOR = 0.05
+#: Groups whose estimates are written to one file.
+GROUPS = 10_000
 #: Distance classes for each doubling of the squared distance.
 FINE = 16
 #: For five normal features: the 1 - 1e-6 quantile of chi square, and what the
@@ -111,14 +113,22 @@ def _concentrated(rows: DataFrame) -> DataFrame:
 
 
 def _start(rows: DataFrame) -> DataFrame:
-    """Medians and median deviations of each group, without correlation."""
-    mids = rows.groupBy("g").agg(*(F.percentile_approx(x, 0.5, 2_000).alias(f"m_{i}") for i, x in enumerate(STATS)))
+    """Medians and median deviations of each group, without correlation.
+
+    The medians are written first: a join with a table of known size sends it to the rows, not a group's rows to one task.
+    """
+    mids = saved(rows.groupBy("g").agg(*(F.percentile_approx(x, 0.5, 2_000).alias(f"m_{i}") for i, x in enumerate(STATS))), "outlier-medians")
     off = rows.join(mids, "g").groupBy("g").agg(
         *(F.percentile_approx(F.abs(F.col(x) - F.col(f"m_{i}")), 0.5, 2_000).alias(f"d_{i}") for i, x in enumerate(STATS))
     )
     spread = {f"l_{i}_{i}": F.greatest(1.4826 * F.col(f"d_{i}"), F.lit(2 * FLOOR)) for i in range(len(STATS))}
     flat = {f"l_{i}_{j}": F.lit(0.0) for i, j in PAIRS if i != j}
-    return mids.join(off, "g").withColumns(spread | flat)
+    return _kept(mids.join(off, "g").withColumns(spread | flat).drop(*(f"d_{i}" for i in range(len(STATS)))), mids.count())
+
+
+def _kept(est: DataFrame, groups: int) -> DataFrame:
+    """The estimates of ``groups`` groups, written to a file for every ``GROUPS`` of them."""
+    return saved(est.repartition(pieces_of(groups, GROUPS)), "outlier-estimates")
 
 
 def judge(
@@ -151,9 +161,10 @@ def judge(
     same = F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s"))
     dealt = saved(stats.join(level, same, "left").drop("l", "s"), "outlier-groups")
     fit = dealt.where(~F.col("base_failed")).select(F.explode("fits").alias("g"), *STATS)
-    est = saved(_start(fit), "outlier-estimates").select("g", *(f"m_{i}" for i in range(len(STATS))), *(f"l_{i}_{j}" for i, j in PAIRS))
+    est = _start(fit)
+    groups = est.count()
     for _ in range(STEPS):
-        est = saved(_concentrated(_with_distance(fit, est)), "outlier-estimates")
+        est = _kept(_concentrated(_with_distance(fit, est)), groups)
     near = F.when(~F.col("base_failed"), F.col("d2") / CONSISTENCY)
     out = _with_distance(dealt.drop("fits"), est).withColumn("distance2", near)
     kept = ~F.col("base_failed") & (F.coalesce("distance2", F.lit(0.0)) <= CUT)

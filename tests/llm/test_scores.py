@@ -71,6 +71,29 @@ def test_concentration_finds_the_narrow_share(spark):
     assert (far[800:] > robust_outliers.CUT).all() and (far[:800] > robust_outliers.CUT).mean() < 0.01
 
 
+def test_a_groups_rows_are_not_dealt_to_one_task_and_estimates_take_few_files(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, prose(rng, rng.randrange(60, 200), 10**5), f"l{i % 6}", "s") for i in range(240)]
+    real, kept = robust_outliers.saved, []
+
+    def saved(df, label):
+        by_group = df._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin [g")
+        kept.append((label, by_group, out := real(df, label)))
+        return out
+
+    monkeypatch.setattr(robust_outliers, "saved", saved)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert robust_outliers.judge(docs(spark, rows)).count() == 240
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    estimates = [(by_group, out) for label, by_group, out in kept if label == "outlier-estimates"]
+    assert len(estimates) == 1 + robust_outliers.STEPS
+    assert all(out.count() == 6 and len(out.inputFiles()) == 1 for _, out in estimates)
+    # the one join left in the first plan is of two tables with a row for each group
+    assert estimates[0][0] <= 1
+
+
 def spellings(word, weights, byte_weights):
     """Sum over all segmentations, written out."""
     if not word:
