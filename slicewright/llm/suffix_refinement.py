@@ -21,26 +21,45 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 
-from slicewright.llm.window_exchange import Units, kept_ranges, mixed, remove_repeats, sliding_min
+from slicewright.llm.window_exchange import NO_SIDE, SIDE_BITS, Units, kept_ranges, mixed, remove_repeats, sliding_min
 
 WIDTH, GRAM = 50, 16
+#: Bytes on one side of a gram: every window has as many on its left or on its right.
+HALF = (WIDTH - GRAM + 1) // 2
+PLACES = np.arange(1 << 16, dtype=np.uint64)
 ODD = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xBF58476D1CE4E5B9)]
-SHIFT = [np.uint64(8), np.uint64(16), np.uint64(32)]
 
 
 def eight_grams(data: np.ndarray) -> np.ndarray:
-    """The eight bytes from each place on, as one number."""
-    x = data.astype(np.uint64)
-    for shift, reach in zip(SHIFT, (1, 2, 4)):
-        x = x[:-reach] | x[reach:] << shift
-    return x
+    """The eight bytes from each place on, as one number; a view."""
+    return np.ndarray((max(0, len(data) - 7),), "<u8", data, strides=(1,))
 
 
 def minimisers(text: bytes, low: int, high: int) -> np.ndarray:
-    eight = eight_grams(np.frombuffer(text, np.uint8, high - low + WIDTH - 1, low))
+    eight = eight_grams(np.frombuffer(text, np.uint8, high - low + WIDTH - 1, low)).astype(np.uint64)
     gram = (eight[:-8] * ODD[0]) ^ (eight[8:] * ODD[1])
     gram ^= gram >> np.uint64(29)
-    return sliding_min(gram * ODD[2], WIDTH - GRAM + 1)
+    gram *= ODD[2]
+    gram &= ~PLACES[-1]
+    gram |= PLACES[: len(gram)]
+    return sliding_min(gram, WIDTH - GRAM + 1)
+
+
+def sides(texts: list[bytes], row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A byte (1 to 254) for the 17 bytes before each gram and one for those after it."""
+    size = np.array([len(t) for t in texts], np.int64)
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    eight = eight_grams(data)
+    place = at + (np.cumsum(size) - size)[row]
+
+    def side(start: np.ndarray, there: np.ndarray) -> np.ndarray:
+        start = np.where(there, start, 0)
+        x = mixed(eight[start]) + eight[start + 8]
+        x = mixed(mixed(x) + eight[start + HALF - 8])
+        return np.where(there, (x >> np.uint64(32)) % np.uint64(254) + np.uint64(1), np.uint64(NO_SIDE))
+
+    left = side(place - HALF, at >= HALF)
+    return left << SIDE_BITS | side(place + GRAM, at + GRAM + HALF <= size[row])
 
 
 def refined(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,7 +91,7 @@ def classes(strings: list[bytes], keys: np.ndarray) -> np.ndarray:
     size = np.array([len(s) for s in strings], np.int64)
     windows = size - (WIDTH - 1)
     start = np.repeat(np.cumsum(size) - size - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
-    eight = eight_grams(data)
+    eight = eight_grams(data).astype(np.uint64)
     sixteen, alone = refined(eight[:-8], eight[8:])
     done = alone[start]
     for offset in (16, 32, 34):  # a window is settled as soon as a part of it is unique
@@ -87,7 +106,7 @@ def classes(strings: list[bytes], keys: np.ndarray) -> np.ndarray:
     return out
 
 
-BYTES = Units(WIDTH, lambda text: text, minimisers, lambda text, a, b: text[a:b], classes, len)
+BYTES = Units(WIDTH, lambda text: text, minimisers, lambda text, a, b: text[a:b], classes, len, sides, b"".join)
 
 
 def _finish(doc, text: bytes, gone: list) -> tuple:

@@ -7,9 +7,13 @@ in how a window picks its minimiser, and in how a bucket finds equal windows.
 2. Each window names one minimiser: the smallest hash among the short grams it
    holds. Equal windows name the same one. Consecutive windows with the same
    minimiser form a run.
-3. Every block sends its distinct minimisers to their buckets; what comes back
-   are those that several blocks hold. All other windows occur in one block.
-4. Runs whose minimiser came back, or occurs twice in the block, travel as one
+3. Every block sends its distinct minimisers to their buckets, each with a byte
+   for the units on either side of the gram. Two equal windows hold the gram at
+   one place, and with it half of the remaining units on its left or on its
+   right: runs whose sides both differ hold no equal windows. What comes back are
+   the minimisers that meet one of another block so. All other windows occur in
+   one block.
+4. Runs whose minimiser came back, or meets another in the block, travel as one
    packed string each to the minimiser's bucket; equal runs of a block travel
    once, with the smallest document id. That is what keeps copies, however
    many, from meeting in one task.
@@ -22,6 +26,9 @@ would make one bucket large, as a short line does whose surroundings differ from
 document to document. Its windows travel one by one instead, to the bucket of
 their own hash. Blocks send the number of distinct runs with each minimiser, so
 the split depends on the size of the group and not on that of the table.
+
+Short grams recur by chance the more often the larger the table is. The sides
+keep what travels at the share of windows that do repeat, whatever the size.
 """
 
 from __future__ import annotations
@@ -47,10 +54,14 @@ HOT_BLOCKS = 4_096
 HOT_RUNS = 4_096
 #: Runs of one minimiser that a block counts up to.
 MOST_RUNS = 2**16 - 1
-#: Windows whose minimisers are found at once, and windows of one run at most.
-STRETCH, LONGEST_RUN = 1 << 18, 256
+#: Windows whose minimisers are found at once (places in them have 16 bits), and windows of one run at most.
+STRETCH, LONGEST_RUN = (1 << 16) - 256, 256
 #: Minimisers travel as 48 bits; a chance agreement only sends a run in vain.
 KEY_BITS, KEY_BYTES = np.uint64(16), 6
+#: The lower 16 bits beside a minimiser: a byte for the left and one for the right side of its gram.
+SIDE, SIDE_BITS = np.uint64(255), np.uint64(8)
+#: A side that no window reaches over, as the text ends before; one that may be equal to any.
+NO_SIDE, ANY_SIDE = 0, 255
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -69,6 +80,11 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - reach)], x[width - reach :]) if width > reach else x
 
 
+def _counted(n: np.ndarray) -> np.ndarray:
+    """0 to n - 1, for each n in turn."""
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
 def key_bytes(keys: np.ndarray) -> bytes:
     return np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()
 
@@ -86,7 +102,7 @@ class Units:
     width: int
     #: text -> units; anything with a length that ``minimisers`` and ``packed`` take
     split: Callable
-    #: units, first and last window -> a 64-bit minimiser for each window
+    #: units, first and last window -> a 64-bit minimiser for each window, of which the upper 48 count
     minimisers: Callable
     #: units, first unit, end unit -> bytes
     packed: Callable
@@ -94,29 +110,61 @@ class Units:
     classes: Callable
     #: packed string -> units in it
     size: Callable
+    #: texts, text and place of grams -> the 16 bits of their sides; without it, runs meet by the minimiser alone.
+    #: The lower 16 bits of a minimiser are then the place of the first such gram, from the first window on
+    sides: Callable | None = None
+    #: several texts' units -> those of one text that holds them one after another, to be read at once
+    joined: Callable | None = None
 
 
-def runs(units: Units, text) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, windows and minimiser (48 bits) of each run of a text."""
+def runs(units: Units, text) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First window, windows, minimiser (48 bits) and place of the gram of each run of a text; -1: at several places."""
     windows = len(text) - units.width + 1
     if windows <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     parts = []
     for low in range(0, windows, STRETCH):
-        high = min(windows, low + STRETCH)
-        key = units.minimisers(text, low, high)
-        new = np.empty(len(key), bool)
-        new[0] = True
-        np.not_equal(key[1:], key[:-1], out=new[1:])
-        cut = np.flatnonzero(new)
-        n = np.diff(cut, append=len(key))
-        if n.max() > LONGEST_RUN:
-            cut = np.concatenate([np.arange(a, a + b, LONGEST_RUN) for a, b in zip(cut, n)])
-            n = np.diff(np.append(cut, len(key)))
-        parts.append((cut + low, n, key[cut] >> KEY_BITS))
+        cut, n, key, at = _stretch(units.minimisers(text, low, min(windows, low + STRETCH)))
+        parts.append((cut + low, n, key, np.where(at < 0, at, at + low)))
     return parts[0] if len(parts) == 1 else tuple(np.concatenate(p) for p in zip(*parts))
 
 
+def _stretch(found: np.ndarray, breaks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The runs among the minimisers of windows side by side; one starts at each of ``breaks``."""
+    key = found >> KEY_BITS
+    new = np.empty(len(key), bool)
+    new[0] = True
+    np.not_equal(key[1:], key[:-1], out=new[1:])
+    if breaks is not None:
+        new[breaks] = True
+    cut = np.flatnonzero(new)
+    n = np.diff(np.append(cut, len(key)))
+    if n.max() > LONGEST_RUN:
+        pieces = -(-n // LONGEST_RUN)
+        cut = np.repeat(cut, pieces) + _counted(pieces) * LONGEST_RUN
+        n = np.diff(np.append(cut, len(key)))
+    # equal windows name the first of equal grams, which stays in place within a run or comes nearer its end
+    at = np.where(found[cut] == found[cut + n - 1], (found[cut] & np.uint64(0xFFFF)).astype(np.int64), -1)
+    return cut, n, key[cut], at
+
+
+def _runs_of(units: Units, texts: list, first_row: int) -> tuple[np.ndarray, ...]:
+    """Row and runs of several texts, of at most STRETCH units together or one alone."""
+    size = np.array([len(t) for t in texts], np.int64)
+    if len(texts) == 1 or size.sum() < units.width:
+        parts = [(np.full(len(r[0]), first_row + i), *r) for i, t in enumerate(texts) for r in [runs(units, t)]]
+        return tuple(np.concatenate(p) for p in zip(*parts))
+    start = np.cumsum(size) - size
+    stop = start + np.maximum(0, size - (units.width - 1))  # windows from there on reach into the next text
+    windows = int(size.sum()) - (units.width - 1)
+    breaks = np.concatenate([start, stop])
+    cut, n, key, at = _stretch(units.minimisers(units.joined(texts), 0, windows), breaks[breaks < windows])
+    row = np.searchsorted(start, cut, side="right") - 1
+    own = np.flatnonzero(cut < stop[row])
+    row, cut, n, key, at = (x[own] for x in (row, cut, n, key, at))
+    return row + first_row, cut - start[row], n, key, np.where(at < 0, at, at - start[row])
+
+
 def _documents(block: pa.Table) -> list[tuple[int, bytes]]:
     """Id and UTF-8 text, by id; rows without an id come last."""
     ids = block["id"].fill_null(NO_ID).to_pylist()
@@ -124,55 +172,118 @@ def _documents(block: pa.Table) -> list[tuple[int, bytes]]:
     return sorted(zip(ids, texts))
 
 
+@dataclass
+class Cut:
+    """The runs of a block's documents, in order."""
+
+    #: document (row of the block), first window and windows of each run
+    row: np.ndarray
+    first: np.ndarray
+    n: np.ndarray
+    #: minimiser and sides
+    entry: np.ndarray
+
+
+def _cut(units: Units, texts: list) -> Cut:
+    edges, held = [0], 0
+    for i, text in enumerate(texts):
+        if i and (units.joined is None or held + len(text) > STRETCH):
+            edges.append(i)
+            held = 0
+        held += len(text)
+    each = [_runs_of(units, texts[a:b], a) for a, b in zip(edges, [*edges[1:], len(texts)])]
+    row, first, n, key, at = (np.concatenate(c) for c in zip(*each))
+    del each
+    sides = np.full(len(at), ANY_SIDE | ANY_SIDE << 8, np.uint64)
+    if units.sides and (once := np.flatnonzero(at >= 0)).size:
+        sides[once] = units.sides(texts, row[once], at[once])
+    return Cut(row, first, n, key << KEY_BITS | sides)
+
+
+def _beside(x: np.ndarray) -> np.ndarray:
+    """Which of sorted numbers have an equal one next to them."""
+    out = np.zeros(len(x), bool)
+    same = x[1:] == x[:-1]
+    out[1:] = same
+    out[:-1] |= same
+    return out
+
+
+def _meeting(entries: np.ndarray) -> np.ndarray:
+    """Which entries have another one with their minimiser and an equal side."""
+    order = np.argsort(entries)
+    at = order[_beside(entries[order] >> KEY_BITS)]
+    found = entries[at]
+    key, left, right = found >> KEY_BITS, found >> SIDE_BITS & SIDE, found & SIDE
+    met = _beside(found >> SIDE_BITS) & (left != NO_SIDE)
+    by_right = key << SIDE_BITS | right
+    turned = np.argsort(by_right, kind="stable")
+    met[turned] |= _beside(by_right[turned]) & (right[turned] != NO_SIDE)
+    met |= _member(key, key[left == ANY_SIDE])
+    out = np.zeros(len(entries), bool)
+    out[at] = met
+    return out
+
+
 def _distinct_runs(units: Units, block: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Minimisers of a block, and how many different runs each has."""
+    """Minimisers of a block with their sides, and how many different runs each has."""
     texts = [units.split(t) for _, t in _documents(block)]
-    cut = [runs(units, t) for t in texts]
-    row = np.repeat(np.arange(len(cut)), [len(k) for _, _, k in cut])
-    first, n, every = (np.concatenate([c[j] for c in cut]) for j in range(3))
-    del cut
-    keys, back, held = np.unique(every, return_inverse=True, return_counts=True)
-    again = np.flatnonzero(held[back] > 1)  # the other minimisers have one run
+    cut = _cut(units, texts)
+    entries, back, held = np.unique(cut.entry, return_inverse=True, return_counts=True)
+    again = np.flatnonzero(held[back] > 1)  # the others have one run
     seen = {
         (k, xxhash.xxh3_64_intdigest(units.packed(texts[r], a, a + m - 1 + units.width)))
-        for k, r, a, m in zip(*(x[again].tolist() for x in (back, row, first, n)))
+        for k, r, a, m in zip(*(x[again].tolist() for x in (back, cut.row, cut.first, cut.n)))
     }
     held[back[again]] = 0
     np.add.at(held, np.fromiter((k for k, _ in seen), np.int64, len(seen)), 1)
-    return keys, np.minimum(held, MOST_RUNS).astype(np.uint16)
+    return entries, np.minimum(held, MOST_RUNS).astype(np.uint16)
 
 
 def _distinct_minimisers(units: Units, block: pa.Table, buckets: int) -> pa.Table:
     number = block["block"][0].as_py()
-    keys, held = _distinct_runs(units, block)
-    bucket = (keys % np.uint64(buckets)).astype(np.int64)
+    entries, held = _distinct_runs(units, block)
+    bucket = (entries >> KEY_BITS) % np.uint64(buckets)
     order = np.argsort(bucket, kind="stable")
-    keys, held, bucket = keys[order], held[order], bucket[order]
-    edges = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(keys) else []
-    cut = lambda x: np.split(x, edges[1:]) if len(edges) else []
+    entries, held, bucket = entries[order], held[order], bucket[order]
+    edges, ends = _groups(bucket)
+    keys, sides, held = key_bytes(entries >> KEY_BITS), entries.astype(np.uint16).tobytes(), held.tobytes()
+    cut = lambda x, size: pa.array([x[a * size : b * size] for a, b in zip(edges.tolist(), ends.tolist())], pa.binary())
     return pa.table(
         {
-            "bucket": pa.array([int(bucket[e]) for e in edges], pa.int64()),
+            "bucket": pa.array(bucket[edges].astype(np.int64)),
             "block": pa.array([number] * len(edges), pa.int64()),
-            "keys": pa.array([key_bytes(k) for k in cut(keys)], pa.binary()),
-            "runs": pa.array([h.tobytes() for h in cut(held)], pa.binary()),
+            "keys": cut(keys, KEY_BYTES),
+            "sides": cut(sides, 2),
+            "runs": cut(held, 2),
         }
     )
 
 
+def _groups(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the stretches of equal values."""
+    edge = np.flatnonzero(np.concatenate([np.ones(min(len(x), 1), bool), x[1:] != x[:-1]]))
+    return edge, np.append(edge[1:], len(x))[: len(edge)]
+
+
 def _shared_minimisers(bucket: pa.Table, hot_blocks: int, hot_runs: int) -> pa.Table:
     blocks = bucket["block"].to_numpy()
-    own = [keys_from(k) for k in bucket["keys"].to_pylist()]
-    found, back, n = np.unique(np.concatenate(own), return_inverse=True, return_counts=True)
-    held = np.zeros(len(found), np.int64)
-    np.add.at(held, back, np.frombuffer(b"".join(bucket["runs"].to_pylist()), np.uint16).astype(np.int64))
-    large = held > hot_runs
-    shared, hot = found[(n > 1) | large], found[(n >= hot_blocks) | large]
+    sent = bucket["keys"].to_pylist()
+    ends = np.cumsum([len(k) // KEY_BYTES for k in sent])
+    keys = keys_from(b"".join(sent))
+    entries = keys << KEY_BITS | np.frombuffer(b"".join(bucket["sides"].to_pylist()), np.uint16).astype(np.uint64)
+    shared = _meeting(entries)
+    # blocks that hold a key, and its runs: a message has a key's entries one after another
+    new = np.concatenate([np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1]])
+    new[ends[:-1][ends[:-1] < len(keys)]] = True
+    found, back = np.unique(keys, return_inverse=True)
+    held = np.bincount(back, np.frombuffer(b"".join(bucket["runs"].to_pylist()), np.uint16), len(found))
+    hot = ((held > hot_runs) | (np.bincount(back[new], minlength=len(found)) >= hot_blocks))[back]
     out = []
-    for block, keys in zip(blocks, own):
-        common = keys[np.isin(keys, shared, assume_unique=True)]
-        if len(common):
-            out.append((int(block), key_bytes(common), key_bytes(common[np.isin(common, hot, assume_unique=True)])))
+    for block, a, b in zip(blocks.tolist(), [0, *ends.tolist()], ends.tolist()):
+        common, split = entries[a:b][shared[a:b]], keys[a:b][hot[a:b] & new[a:b]]
+        if len(common) or len(split):
+            out.append((block, common.tobytes(), key_bytes(split)))
     cols = list(zip(*out)) or [(), (), ()]
     return pa.table({c: pa.array(v, t) for (c, t), v in zip([("block", pa.int64()), ("shared", pa.binary()), ("hot", pa.binary())], cols)})
 
@@ -186,63 +297,65 @@ def _member(keys: np.ndarray, of: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Travelling:
-    """The distinct runs of a block that go to one bucket, in the order they were met."""
-
-    packed: dict
-    keys: list
-    first_doc: list
-    #: for each run, its places: document (row of the block) and first window
-    places: list
-
-
-def _travelling(units: Units, docs: list, shared: np.ndarray, hot: np.ndarray, buckets: int) -> dict[int, Travelling]:
+    """The distinct runs of a block that travel, by bucket and then in the order they were met."""
+
+    strings: list
+    keys: np.ndarray
+    first_doc: np.ndarray
+    #: buckets, and where their runs start and end
+    buckets: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    #: the places of all runs, run after run: number of the run, document (row of the block), first window
+    run: np.ndarray
+    row: np.ndarray
+    first: np.ndarray
+
+
+def _travelling(units: Units, docs: list, shared: np.ndarray, hot: np.ndarray, buckets: int) -> Travelling:
     texts = [units.split(t) for _, t in docs]
-    cut = [runs(units, t) for t in texts]
-    every, n = np.unique(np.concatenate([k for _, _, k in cut]), return_counts=True)
-    wanted = np.union1d(shared, every[n > 1])
-    every = np.concatenate([k for _, _, k in cut])
-    chosen = np.flatnonzero(_member(every, wanted))
-    is_hot = set(chosen[_member(every[chosen], hot)].tolist())
-    row_of = np.repeat(np.arange(len(cut)), [len(k) for _, _, k in cut])[chosen]
-    first, n = (np.concatenate([c[j] for c in cut])[chosen] for j in (0, 1))
-    out: dict[int, Travelling] = {}
-    for i, row, a, m, k in zip(*(x.tolist() for x in (chosen, row_of, first, n, every[chosen]))):
-        text, doc = texts[row], docs[row][0]
-        if i in is_hot:
-            singles = [(w, units.packed(text, w, w + units.width)) for w in range(a, a + m)]
-            todo = [(w, s, xxhash.xxh3_64_intdigest(s) >> 16) for w, s in singles]
-        else:
-            todo = [(a, units.packed(text, a, a + m - 1 + units.width), k)]
-        for w, s, k in todo:
-            go = out.get(k % buckets)
-            if go is None:
-                go = out[k % buckets] = Travelling({}, [], [], [])
-            at = go.packed.setdefault((k, s), len(go.packed))
-            if at == len(go.keys):
-                go.keys.append(k)
-                go.first_doc.append(doc)
-                go.places.append([])
-            go.places[at].append((row, w))
-    return out
+    cut = _cut(units, texts)
+    chosen = np.flatnonzero(_member(cut.entry, shared) | _meeting(cut.entry))
+    row, first, n, keys = cut.row[chosen], cut.first[chosen], cut.n[chosen], cut.entry[chosen] >> KEY_BITS
+    del cut
+    split = _member(keys, hot)
+    if split.any():  # window by window
+        times = np.where(split, n, 1)
+        first = np.repeat(first, times) + _counted(times)
+        row, keys, n, split = (np.repeat(x, times) for x in (row, keys, np.where(split, 1, n), split))
+    number: dict[bytes, int] = {}
+    strings = (units.packed(texts[r], a, e) for r, a, e in zip(row.tolist(), first.tolist(), (first + n - 1 + units.width).tolist()))
+    run = np.fromiter((number.setdefault(s, len(number)) for s in strings), np.int64, len(row))
+    met = np.empty(len(number), np.int64)
+    met[run[::-1]] = np.arange(len(run))[::-1]  # equal strings have one minimiser; documents are in order
+    strings, keys, split, first_doc = list(number), keys[met], split[met], np.array([d for d, _ in docs], np.int64)[row[met]]
+    del number
+    for i in np.flatnonzero(split).tolist():
+        keys[i] = xxhash.xxh3_64_intdigest(strings[i]) >> 16
+    bucket = (keys % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    starts, ends = _groups(bucket[order])
+    return Travelling([strings[i] for i in order.tolist()], keys[order], first_doc[order], bucket[order][starts], starts, ends, place[run], row, first)
 
 
 def _told(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Shared and hot minimisers of a block."""
-    shared = [keys_from(x) for x in answers["shared"].to_pylist() if x]
-    hot = [keys_from(x) for x in answers["hot"].to_pylist() if x]
-    none = np.zeros(0, np.uint64)
-    return np.unique(np.concatenate([none, *shared])), np.unique(np.concatenate([none, *hot]))
+    """Minimisers of a block that runs of others meet, with their sides; hot minimisers."""
+    shared = np.frombuffer(b"".join(x for x in answers["shared"].to_pylist() if x), np.uint64)
+    hot = keys_from(b"".join(x for x in answers["hot"].to_pylist() if x))
+    return np.sort(shared), np.sort(hot)
 
 
 def _pack(units: Units, block: pa.Table, answers: pa.Table, buckets: int) -> pa.Table:
     rows = []
     if block.num_rows:
         squeeze = zstandard.ZstdCompressor(level=3)
-        for bucket, go in _travelling(units, _documents(block), *_told(answers), buckets).items():
-            strings = [s for _, s in go.packed]
-            sizes = np.array([len(s) for s in strings], np.uint32).tobytes()
-            about = sizes + np.array(go.keys, np.uint64).tobytes() + np.array(go.first_doc, np.int64).tobytes()
-            rows.append((bucket, block["block"][0].as_py(), len(strings), squeeze.compress(b"".join(strings)), squeeze.compress(about)))
+        go = _travelling(units, _documents(block), *_told(answers), buckets)
+        number, sizes = block["block"][0].as_py(), np.array([len(s) for s in go.strings], np.uint32)
+        for bucket, a, b in zip(go.buckets.tolist(), go.starts.tolist(), go.ends.tolist()):
+            about = sizes[a:b].tobytes() + go.keys[a:b].tobytes() + go.first_doc[a:b].tobytes()
+            rows.append((bucket, number, b - a, squeeze.compress(b"".join(go.strings[a:b])), squeeze.compress(about)))
     cols = list(zip(*rows)) or [(), (), (), (), ()]
     types = {"bucket": pa.int64(), "block": pa.int64(), "n": pa.int64(), "packed": pa.binary(), "about": pa.binary()}
     return pa.table({c: pa.array(v, t) for (c, t), v in zip(types.items(), cols)})
@@ -250,10 +363,11 @@ def _pack(units: Units, block: pa.Table, answers: pa.Table, buckets: int) -> pa.
 
 def _least_holder(units: Units, strings: list, keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Smallest document id for each window of all strings in turn, and the windows of each string."""
-    number: dict[tuple, int] = {}
-    same = np.array([number.setdefault(x, len(number)) for x in zip(keys.tolist(), strings)], np.int64)
-    once = [s for _, s in number]
-    key = np.array([k for k, _ in number], np.uint64)
+    number: dict[bytes, int] = {}
+    same = np.fromiter((number.setdefault(s, len(number)) for s in strings), np.int64, len(strings))
+    once = list(number)
+    key = np.empty(len(once), np.uint64)
+    key[same] = keys  # equal strings have one minimiser
     windows = np.array([units.size(s) for s in once], np.int64) - (units.width - 1)
     holder = np.full(len(once), NO_ID, np.int64)
     np.minimum.at(holder, same, docs)
@@ -269,8 +383,7 @@ def _least_holder(units: Units, strings: list, keys: np.ndarray, docs: np.ndarra
         least[of_window] = found[kind]
     start = np.cumsum(windows) - windows
     n = windows[same]
-    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start[same], n)
-    return least[at], n
+    return least[_counted(n) + np.repeat(start[same], n)], n
 
 
 def _first_holders(units: Units, bucket: pa.Table) -> pa.Table:
@@ -287,8 +400,7 @@ def _first_holders(units: Units, bucket: pa.Table) -> pa.Table:
     least, windows = _least_holder(units, strings, keys, docs)
     doc = np.repeat(docs, windows)
     run = np.repeat(np.arange(len(strings)), windows)
-    start = np.cumsum(windows) - windows
-    offset = np.arange(len(run)) - np.repeat(start, windows)
+    offset = _counted(windows)
     earlier = least < doc
     new = earlier & np.concatenate([[True], (run[1:] != run[:-1]) | (least[1:] != least[:-1]) | ~earlier[:-1]])
     at = np.flatnonzero(new)
@@ -309,37 +421,42 @@ def _first_holders(units: Units, bucket: pa.Table) -> pa.Table:
 
 def _removed(units: Units, docs: list, answers: pa.Table, buckets: int) -> list[list[tuple[int, int]]]:
     """Per document of a block, the unit ranges to remove: merged, by place."""
-    going = _travelling(units, docs, *_told(answers), buckets)
-    gone: list[list[tuple[int, int]]] = [[] for _ in docs]
+    go = _travelling(units, docs, *_told(answers), buckets)
+    ids = np.array([d for d, _ in docs], np.int64)
+    # in a document later than the run's first one, all of its windows are repeats
+    size = np.array([units.size(s) for s in go.strings], np.int64)
+    whole = np.flatnonzero(ids[go.row] > go.first_doc[go.run])
+    found = [(go.row[whole], go.first[whole], go.first[whole] + size[go.run[whole]])]
     open_ = zstandard.ZstdDecompressor().decompress
-    told = {}
+    told = []
     for bucket, parts in zip(answers["bucket"].to_pylist(), answers["parts"].to_pylist()):
         if parts is not None:
-            told[bucket] = np.frombuffer(open_(parts), np.int64).reshape(4, -1)
-    for bucket, go in going.items():
-        # in a document later than the run's first one, all of its windows are repeats
-        for (_, string), at in go.packed.items():
-            places = go.places[at]
-            if docs[places[-1][0]][0] > go.first_doc[at]:
-                n = units.size(string)
-                for row, w in places:
-                    if docs[row][0] > go.first_doc[at]:
-                        gone[row].append((w, w + n))
-        for run, offset, n, least in told.get(bucket, np.zeros((4, 0), np.int64)).T.tolist():
-            for row, w in go.places[run]:
-                if docs[row][0] > least:
-                    gone[row].append((w + offset, w + offset + n - 1 + units.width))
-    return [merged(g) for g in gone]
-
-
-def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(ranges):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+            told.append(np.frombuffer(open_(parts), np.int64).reshape(4, -1).copy())
+            told[-1][0] += go.starts[np.searchsorted(go.buckets, bucket)]
+    if told:
+        run, offset, n, least = np.concatenate(told, axis=1)
+        order = np.argsort(go.run, kind="stable")
+        held = np.bincount(go.run, minlength=len(go.strings))
+        place = order[np.repeat((np.cumsum(held) - held)[run], held[run]) + _counted(held[run])]
+        offset, n, least = (np.repeat(x, held[run]) for x in (offset, n, least))
+        row, low = go.row[place], go.first[place] + offset
+        later = ids[row] > least
+        found.append((row[later], low[later], (low + n - 1 + units.width)[later]))
+    gone: list[list[tuple[int, int]]] = [[] for _ in docs]
+    for row, low, high in merged(*(np.concatenate(x) for x in zip(*found))):
+        gone[row].append((low, high))
+    return gone
+
+
+def merged(row: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """The ranges of each row, by place; those that overlap or touch are one."""
+    order = np.lexsort((low, row))
+    row, low, high = row[order], low[order], high[order]
+    apart = row << 40  # no text is as long
+    reach = np.maximum.accumulate(high + apart)
+    start = np.flatnonzero(np.concatenate([np.ones(min(len(row), 1), bool), (low + apart)[1:] > reach[:-1]]))
+    end = np.append(start[1:], len(row))[: len(start)] - 1
+    return zip(row[start].tolist(), low[start].tolist(), (reach[end] - apart[end]).tolist())
 
 
 def remove_repeats(
@@ -364,7 +481,7 @@ def remove_repeats(
     )
     shared = (
         dealt.groupBy("block")
-        .applyInArrow(lambda t: _distinct_minimisers(units, t, buckets), "bucket long, block long, keys binary, runs binary")
+        .applyInArrow(lambda t: _distinct_minimisers(units, t, buckets), "bucket long, block long, keys binary, sides binary, runs binary")
         .groupBy("bucket")
         .applyInArrow(lambda t: _shared_minimisers(t, hot_blocks, hot_runs), "block long, shared binary, hot binary")
     )

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pyarrow as pa
+import pyarrow.compute
 import pytest
 from helpers import awkward, digest, docs, prose, without_repeats
 
@@ -58,6 +59,49 @@ def test_a_short_line_in_many_documents_is_split(spark, monkeypatch, run):
     assert n.max() == 1
 
 
+def travelling(units, rows, n_blocks, buckets=3):
+    """How many distinct runs the blocks send."""
+    parts = [rows[k::n_blocks] for k in range(n_blocks)]
+    blocks = [pa.table({"id": [d for d, _ in p], "text": [t for _, t in p], "block": [k] * len(p)}) for k, p in enumerate(parts)]
+    sent = pa.concat_tables([window_exchange._distinct_minimisers(units, b, buckets) for b in blocks])
+    told = [window_exchange._shared_minimisers(sent.filter(pa.compute.equal(sent["bucket"], b)), 4_096, 4_096) for b in range(buckets)]
+    told = pa.concat_tables(told)
+    sent = [window_exchange._pack(units, b, told.filter(pa.compute.equal(told["block"], k)), buckets) for k, b in enumerate(blocks)]
+    return sum(pa.compute.sum(x["n"]).as_py() or 0 for x in sent)
+
+
+def test_a_short_phrase_that_many_documents_hold_does_not_travel():
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    phrases = [text(24) for _ in range(30)]
+    rows = [(i, "".join(text(60) + p for p in phrases) + text(60)) for i in range(20)]
+    # phrases are in runs of every document, their sides differ: but for a chance of 1 in 127 a pair, none can repeat
+    held = Counter(k for _, t in rows for k in set(window_exchange.runs(suffix_refinement.BYTES, t.encode())[2].tolist()))
+    assert sum(n for n in held.values() if n > 1) > 250
+    sent = travelling(suffix_refinement.BYTES, rows, 4)
+    assert sent < 100
+    assert travelling(suffix_refinement.BYTES, [*rows, (400, rows[3][1])], 4) > sent + 200
+
+
+def test_windows_that_repeat_among_many_that_nearly_do(spark):
+    rng = random.Random(9)
+    few = lambda n: "".join(rng.choices("ab", k=n))
+    spell = few(200)
+    rows = [(i, few(rng.randrange(120)) + spell[a : a + n] + few(rng.randrange(120))) for i, (a, n) in enumerate((a % 100, 40 + a % 20) for a in range(60))]
+    rows += [(100 + i, spell[a : a + 50]) for i, a in enumerate((0, 0, 50, 150))]  # as long as one window
+    rows += [(200 + i, "ab" * 40 + c * 70 + "ab" * 40) for i, c in enumerate("aabab")]
+    long = prose(rng, 12_000, 10**6)[:70_000]
+    at = window_exchange.STRETCH - 30
+    rows += [(300, long), (301, few(90) + long[at : at + 60] + few(90)), (302, long[:50] + few(9)), (303, few(9) + long[-50:]), (None, long[-60:])]
+    rows += [(304, long[at + 49 : at + 99]), (305, "x" + long[1_000:1_049] + "x")]
+    want = []
+    for d, u, gone in without_repeats(rows, 50, lambda t: t):
+        want.append((d, len(u), sum(gone), digest(bytes(b for b, g in zip(u, gone) if not g))))
+    for options in ({}, SMALL, {**SMALL, "hot_runs": 5}):
+        got = suffix_refinement.remove_repeated_bytes(docs(spark, rows), **options).collect()
+        assert sorted(((*r[:3], digest(bytes(r.kept))) for r in got), key=str) == sorted(want, key=str)
+
+
 def test_nothing_to_do(spark):
     for run in (suffix_refinement.remove_repeated_bytes, super_kmers.remove_repeated_words):
         assert run(docs(spark, [])).collect() == []
